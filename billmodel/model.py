@@ -22,8 +22,13 @@ from .sources.cur import conform, finalised
 
 class CostModel:
     def __init__(self, bill: DataFrame, *, fill_unused: bool = False, fee_grain: str = "row",
-                 rds_only: bool = False, emr_broadcast_rows: int = DEFAULT_BROADCAST_ROWS):
+                 rds_only: bool = False, emr_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                 wide: DataFrame | None = None):
+        """``wide`` may be the already written wide table (``sources.sink``);
+        reports and checks then read it instead of rebuilding it."""
         self.bill = conform(bill)
+        if wide is not None:
+            self.__dict__["wide"] = wide
         self.fill_unused = fill_unused
         self.fee_grain = fee_grain
         self.rds_only = rds_only

@@ -48,10 +48,34 @@ WIDE_MODEL_COLUMNS = [
 PARTITION_COLUMN = "bb_usage_year_month"
 
 
-def _base_rows(base: DataFrame, rds_only: bool) -> DataFrame:
-    """Model columns of every kept base row, one projection of one scan."""
+def _facets(rds_only: bool) -> dict:
     fs = {name: make() for name, make in facets.FACETS.items() if name != "rds"}
     fs["rds"] = facets.rds(rds_only)
+    return fs
+
+
+def _with_cluster_names(base: DataFrame, emr_broadcast_rows: int) -> DataFrame:
+    """Kept base rows plus the EMR name lookup (``_emr_*`` columns).
+
+    The lookups run on the narrow base rows, before the wide projection, so
+    the joins stay inside whole-stage code generation and the wide row is
+    built once, at the top.
+    """
+    fs = _facets(False)
+    fee, other = fs["emr_fee"], fs["emr_other"]
+    typ = F.col("line_item_line_item_type")
+    kept = base.where(typ.isNull() | ~typ.isin(*REPLACED_FEE_TYPES)).select(
+        "*",
+        other.guarded("bb_emr_cluster_id").alias("_emr_tag_id"),
+        fee.guarded("bb_emr_cluster_id").alias("_emr_fee_id"),
+    )
+    return emr.attach_cluster_names(kept, emr.cluster_name_by_id(base), "_emr_tag_id", "_emr_fee_id",
+                                    emr_broadcast_rows)
+
+
+def _base_rows(base: DataFrame, rds_only: bool, emr_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Model columns of every kept base row: one projection over one scan."""
+    fs = _facets(rds_only)
     ebs, ec2, od, spot, ri, sp = (fs[k] for k in ("ebs", "ec2", "ec2_on_demand", "ec2_spot", "ri_used", "sp_used"))
     dt, nat, fee, other, s3s, s3r, mp, rds, elb = (
         fs[k] for k in ("data_transfer", "nat_gateway", "emr_fee", "emr_other", "s3_storage",
@@ -85,9 +109,9 @@ def _base_rows(base: DataFrame, rds_only: bool) -> DataFrame:
         "bb_vpc_usage_type": nat.guarded("_bb_vpc_usage_type"),
         "bb_sp_cost_type": sp.guarded("bb_sp_cost_type"),
         "bb_ri_cost_type": ri.guarded("bb_ri_cost_type"),
-        "_emr_tag_id": other.guarded("bb_emr_cluster_id"),
-        "_emr_fee_id": fee.guarded("bb_emr_cluster_id"),
-        "_emr_fee_name": fee.guarded("bb_emr_cluster_name"),
+        "bb_emr_cluster_name": F.coalesce(c("_emr_dim_name"), fee.guarded("bb_emr_cluster_name"),
+                                          c("_emr_dim_id"), c("_emr_fee_id")),
+        "bb_emr_cluster_id": F.coalesce(c("_emr_tag_id"), c("_emr_fee_id")),
         "bb_emr_instance_role": other.guarded("bb_emr_instance_role"),
         "bb_ec2_purchase_option": F.coalesce(od.guarded("bb_ec2_purchase_option"), ri.guarded("bb_ec2_purchase_option"),
                                              sp.guarded("bb_usage_type"), spot.guarded("bb_ec2_purchase_option")),
@@ -120,11 +144,10 @@ def _base_rows(base: DataFrame, rds_only: bool) -> DataFrame:
         "bb_elb_usage_type": elb.guarded("bb_elb_usage_type"),
         "bb_elb_type": elb.guarded("bb_elb_type"),
     }
-    typ = c("line_item_line_item_type")
-    kept = base.where(typ.isNull() | ~typ.isin(*REPLACED_FEE_TYPES))
-    return kept.select(
+    rows = _with_cluster_names(base, emr_broadcast_rows)
+    return rows.select(
         c("bb_id"),
-        *[e.alias(n) for n, e in model.items()],
+        *[model[n].alias(n) for n in WIDE_MODEL_COLUMNS[1:]],
         *[c(n) for n in base.columns if n != "bb_id"],
         c("_bb_usage_year_month").alias(PARTITION_COLUMN),
     )
@@ -163,14 +186,6 @@ def wide_costs(base: DataFrame, *, fill_unused: bool = False, fee_grain: str = "
     per commitment and period before subtracting), ``rds_only`` (fill the RDS
     columns on AmazonRDS lines only).
     """
-    rows = _base_rows(base, rds_only)
-    rows = emr.attach_cluster_names(rows, emr.cluster_name_by_id(base), "_emr_tag_id", "_emr_fee_id",
-                                    emr_broadcast_rows)
-    rows = (
-        rows.withColumn("bb_emr_cluster_name",
-                        F.coalesce("_emr_dim_name", "_emr_fee_name", "_emr_dim_id", "_emr_fee_id"))
-        .withColumn("bb_emr_cluster_id", F.coalesce("_emr_tag_id", "_emr_fee_id"))
-    )
-    order = WIDE_MODEL_COLUMNS + [n for n in base.columns if n != "bb_id"] + [PARTITION_COLUMN]
-    rows = rows.select(*order)
+    rows = _base_rows(base, rds_only, emr_broadcast_rows)
+    order = rows.columns
     return rows.unionByName(_leftover_rows(base, fill_unused, fee_grain), allowMissingColumns=True).select(*order)
