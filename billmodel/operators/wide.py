@@ -54,7 +54,8 @@ def _facets(rds_only: bool) -> dict:
     return fs
 
 
-def _with_cluster_names(base: DataFrame, emr_broadcast_rows: int) -> DataFrame:
+def _with_cluster_names(base: DataFrame, emr_broadcast_rows: int,
+                        names_base: DataFrame | None = None) -> DataFrame:
     """Kept base rows plus the EMR name lookup (``_emr_*`` columns).
 
     The lookups run on the narrow base rows, before the wide projection, so
@@ -69,11 +70,12 @@ def _with_cluster_names(base: DataFrame, emr_broadcast_rows: int) -> DataFrame:
         other.guarded("bb_emr_cluster_id").alias("_emr_tag_id"),
         fee.guarded("bb_emr_cluster_id").alias("_emr_fee_id"),
     )
-    return emr.attach_cluster_names(kept, emr.cluster_name_by_id(base), "_emr_tag_id", "_emr_fee_id",
-                                    emr_broadcast_rows)
+    dim = emr.cluster_name_by_id(base if names_base is None else names_base)
+    return emr.attach_cluster_names(kept, dim, "_emr_tag_id", "_emr_fee_id", emr_broadcast_rows)
 
 
-def _base_rows(base: DataFrame, rds_only: bool, emr_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def _base_rows(base: DataFrame, rds_only: bool, emr_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+               names_base: DataFrame | None = None) -> DataFrame:
     """Model columns of every kept base row: one projection over one scan."""
     fs = _facets(rds_only)
     ebs, ec2, od, spot, ri, sp = (fs[k] for k in ("ebs", "ec2", "ec2_on_demand", "ec2_spot", "ri_used", "sp_used"))
@@ -144,7 +146,7 @@ def _base_rows(base: DataFrame, rds_only: bool, emr_broadcast_rows: int = DEFAUL
         "bb_elb_usage_type": elb.guarded("bb_elb_usage_type"),
         "bb_elb_type": elb.guarded("bb_elb_type"),
     }
-    rows = _with_cluster_names(base, emr_broadcast_rows)
+    rows = _with_cluster_names(base, emr_broadcast_rows, names_base)
     return rows.select(
         c("bb_id"),
         *[model[n].alias(n) for n in WIDE_MODEL_COLUMNS[1:]],
@@ -178,14 +180,17 @@ def _leftover_rows(base: DataFrame, fill_unused: bool, fee_grain: str) -> DataFr
 
 
 def wide_costs(base: DataFrame, *, fill_unused: bool = False, fee_grain: str = "row",
-               rds_only: bool = False, emr_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+               rds_only: bool = False, emr_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+               emr_names_base: DataFrame | None = None) -> DataFrame:
     """The wide cost table (``bb_bwt_costs``) from the base bill (``base_costs``).
 
     Options default to the model's behaviour: ``fill_unused`` (COALESCE a
     day without savings-plan usage to 0), ``fee_grain='group'`` (sum fee rows
     per commitment and period before subtracting), ``rds_only`` (fill the RDS
-    columns on AmazonRDS lines only).
+    columns on AmazonRDS lines only). ``emr_names_base`` takes the cluster
+    names from another (wider) base, e.g. the whole bill when ``base`` holds
+    only the months being refreshed.
     """
-    rows = _base_rows(base, rds_only, emr_broadcast_rows)
+    rows = _base_rows(base, rds_only, emr_broadcast_rows, emr_names_base)
     order = rows.columns
     return rows.unionByName(_leftover_rows(base, fill_unused, fee_grain), allowMissingColumns=True).select(*order)
