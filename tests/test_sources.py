@@ -47,3 +47,28 @@ def test_dictionary_round_trip(spark):
     assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in pairs.collect())
     raw = "".join(open(p).read() for p in __import__("glob").glob(path + "/*.csv"))
     assert '"line_item_product_code","line_item_usage_type"' in raw and '"AWSBackup",""' in raw
+
+
+def test_published_views_answer_sql(spark):
+    from billmodel.plans.views import publish_views
+
+    m = CostModel(lineitem_bill(spark, SF_SMALL))
+    names = publish_views(m)
+    assert {"bb_cur_table", "bb_dwd_costs", "bb_bwt_costs", "bb_rpt_ec2_hourly_usage",
+            "bb_dwd_ri_unused_costs", "bb_dwd_sp_unused_costs"} <= set(names)
+    by_sql = spark.sql("SELECT bb_usage_year_month, SUM(bb_cost) AS c FROM bb_bwt_costs GROUP BY 1").collect()
+    by_df = m.analysis("monthly_cost").collect()
+    assert sorted(map(tuple, by_sql)) == sorted(map(tuple, by_df))
+    assert spark.sql("SELECT COUNT(*) FROM bb_dwd_amazonec2_costs").first()[0] == m.facet("ec2").count()
+
+
+def test_cli_build_and_check(spark, capsys):
+    from billmodel.__main__ import main
+
+    root = tempfile.mkdtemp(prefix="cli-")
+    lineitem_bill(spark, SF_SMALL).write.parquet(root + "/cur")
+    main(["build", "--cur", root + "/cur", "--out", root + "/wide"])
+    main(["check", "--cur", root + "/cur", "--wide", root + "/wide"])
+    out = capsys.readouterr().out
+    assert "== total" in out and "== reserved" in out
+    assert read_wide_table(spark, root + "/wide").count() == CostModel(lineitem_bill(spark, SF_SMALL)).wide.count()
