@@ -1,8 +1,10 @@
 """Size-checked broadcast for lookup tables derived from the bill.
 
 A dimension derived from the bill (e.g. EMR cluster names) grows with the
-data, slowly. It is broadcast only after a bounded count shows it holds at
-most ``max_rows`` rows; beyond that the caller takes a shuffle join.
+data, slowly. It is materialised once with ``checkpoint()`` into the
+cluster's shared ``spark.checkpoint.dir`` (so the size check and the join read
+the same result and the scan behind it runs once), then broadcast only if it
+holds at most ``max_rows`` rows; beyond that the caller takes a shuffle join.
 """
 
 from __future__ import annotations
@@ -10,14 +12,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame | None:
-    """``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else None.
+def materialise(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it from there."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def sized(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """``(materialised df, fits)``: ``fits`` when it has at most ``max_rows`` rows."""
+    df = materialise(df)
+    return df, df.limit(max_rows + 1).count() <= max_rows
+
 
-    The check is one job over the dimension's plan; ``limit`` bounds what
-    the final count has to take in.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else None
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """The materialised ``df``, broadcast-hinted when it fits in ``max_rows``."""
+    df, fits = sized(df, max_rows)
+    return (F.broadcast(df) if fits else df), fits

@@ -54,7 +54,7 @@ def _facets(rds_only: bool) -> dict:
     return fs
 
 
-def _with_cluster_names(base: DataFrame, emr_broadcast_rows: int,
+def _with_cluster_names(base: DataFrame, fs: dict, emr_broadcast_rows: int,
                         names_base: DataFrame | None = None) -> DataFrame:
     """Kept base rows plus the EMR name lookup (``_emr_*`` columns).
 
@@ -62,7 +62,6 @@ def _with_cluster_names(base: DataFrame, emr_broadcast_rows: int,
     the joins stay inside whole-stage code generation and the wide row is
     built once, at the top.
     """
-    fs = _facets(False)
     fee, other = fs["emr_fee"], fs["emr_other"]
     typ = F.col("line_item_line_item_type")
     kept = base.where(typ.isNull() | ~typ.isin(*REPLACED_FEE_TYPES)).select(
@@ -146,7 +145,7 @@ def _base_rows(base: DataFrame, rds_only: bool, emr_broadcast_rows: int = DEFAUL
         "bb_elb_usage_type": elb.guarded("bb_elb_usage_type"),
         "bb_elb_type": elb.guarded("bb_elb_type"),
     }
-    rows = _with_cluster_names(base, emr_broadcast_rows, names_base)
+    rows = _with_cluster_names(base, fs, emr_broadcast_rows, names_base)
     return rows.select(
         c("bb_id"),
         *[model[n].alias(n) for n in WIDE_MODEL_COLUMNS[1:]],

@@ -30,9 +30,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Only when it is unset (local tests) a scratch folder is created and set.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = tempfile.mkdtemp(prefix="billmodel-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
     return current

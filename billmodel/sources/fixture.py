@@ -298,5 +298,8 @@ def fee_lines(usage: DataFrame) -> DataFrame:
 def lineitem_bill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The derived bill for one scale-factor directory (usage lines + fee lines)."""
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    # The driver's lineitem file is a single row group (one scan task); a
+    # real export is many files. Spread the rows over the session's cores.
+    lineitem = lineitem.repartition(spark.sparkContext.defaultParallelism)
     usage = usage_lines(lineitem, archetypes(spark))
     return usage.select(*BILL_COLUMNS).unionByName(fee_lines(usage))
