@@ -5,10 +5,11 @@ the base bill. It renders two ways:
 
 * ``view(base)``: ``where(predicate).select(bb_id, columns...)``, the debugging
   view of one service (the model's ``dwd`` views);
-* ``guarded(name)``: ``CASE WHEN predicate THEN column END``, used by the wide
-  table. With a unique, non-NULL ``bb_id``, a LEFT JOIN of the view back onto
-  the base on ``bb_id`` gives exactly the guarded column, so the wide table is
-  one projection over one scan instead of a chain of self-joins.
+* ``guarded(name)``: ``CASE WHEN bb_id IS NOT NULL AND predicate THEN column
+  END``, used by the wide table. With a unique ``bb_id``, a LEFT JOIN of the
+  view back onto the base on ``bb_id`` gives exactly the guarded column (a
+  NULL key joins nothing, hence the key test), so the wide table is one
+  projection over one scan instead of a chain of self-joins.
 """
 
 from __future__ import annotations
@@ -30,5 +31,6 @@ class Facet:
         return rows.select(F.col("bb_id"), *[c.alias(n) for n, c in self.columns.items()])
 
     def guarded(self, name: str) -> Column:
-        expr = self.columns[name]
-        return expr if self.predicate is None else F.when(self.predicate, expr)
+        keyed = F.col("bb_id").isNotNull()
+        cond = keyed if self.predicate is None else keyed & self.predicate
+        return F.when(cond, self.columns[name])

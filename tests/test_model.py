@@ -193,3 +193,15 @@ def test_rds_only_option(spark):
     assert default == {"AmazonRDS": "x86", "AmazonS3": "x86"}  # T5: filled on every line
     only = {r.line_item_product_code: r.bb_rds_platform for r in CostModel(bill, rds_only=True).wide.collect()}
     assert only == {"AmazonRDS": "x86", "AmazonS3": None}
+
+
+def test_null_key_lines_get_no_facet_columns(spark):
+    """A NULL bb_id joins no facet row in the join form: facet columns stay
+    NULL and the cost falls back to the unblended cost."""
+    ebs = dict(line_item_usage_type="CNW1-EBS:VolumeUsage.gp3", line_item_product_code="AmazonEC2",
+               line_item_resource_id="vol-1", line_item_unblended_cost=2)
+    bill = make_bill(spark, [line(**ebs), line(**ebs, identity_line_item_id=None)])
+    got = sorted(((r.bb_id is None), r.bb_ebs_volume_id, r.bb_service, r.bb_rds_platform, r.bb_cost)
+                 for r in CostModel(bill).wide.collect())
+    assert got == [(False, "vol-1", "AmazonEBS", "x86", Decimal("2")),
+                   (True, None, "AmazonEC2", None, Decimal("2"))]
