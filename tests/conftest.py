@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 import sys
+import tempfile
 from decimal import Decimal
 
 import pytest
@@ -30,6 +31,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="billmodel-wh-"))
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")

@@ -72,3 +72,22 @@ def test_cli_build_and_check(spark, capsys):
     out = capsys.readouterr().out
     assert "== total" in out and "== reserved" in out
     assert read_wide_table(spark, root + "/wide").count() == CostModel(lineitem_bill(spark, SF_SMALL)).wide.count()
+
+
+def test_partition_refresh_of_catalog_table(spark):
+    """A2: a month written under a catalog table's location becomes visible
+    once partitions are recovered."""
+    from billmodel.sources.cur import refresh_partitions
+
+    root = tempfile.mkdtemp(prefix="catalog-") + "/cur"
+    bill = lineitem_bill(spark, SF_SMALL).withColumn("month", F.date_format("line_item_usage_start_date", "yyyy-MM"))
+    bill.where(F.col("month") == "2024-01").write.partitionBy("month").parquet(root)
+    spark.sql("DROP TABLE IF EXISTS cur_catalog_test")
+    spark.catalog.createTable("cur_catalog_test", path=root, source="parquet")
+    refresh_partitions(spark, "cur_catalog_test")
+    assert [r[0] for r in spark.sql("SELECT DISTINCT month FROM cur_catalog_test").collect()] == ["2024-01"]
+    bill.where(F.col("month") == "2024-02").write.mode("append").partitionBy("month").parquet(root)
+    refresh_partitions(spark, "cur_catalog_test")
+    months = sorted(r[0] for r in spark.sql("SELECT DISTINCT month FROM cur_catalog_test").collect())
+    assert months == ["2024-01", "2024-02"]
+    spark.sql("DROP TABLE cur_catalog_test")
