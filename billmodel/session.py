@@ -31,10 +31,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Only when it is unset (local tests) a scratch folder is created and set.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        # Unset only in local runs and tests: a scratch folder stands in.
         current = tempfile.mkdtemp(prefix="billmodel-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return current
