@@ -44,7 +44,9 @@ def department_by_service(wide: DataFrame) -> DataFrame:
 def department_share(wide: DataFrame) -> DataFrame:
     """Each department's share of the total cost, in percent."""
     per_dept = wide.groupBy(_department().alias("department")).agg(F.sum("bb_cost").alias("cost"))
-    total = wide.select(F.sum("bb_cost")).scalar()
+    # The total comes from the aggregate itself: the subquery reuses its
+    # exchange, so the wide table is read once.
+    total = per_dept.select(F.sum("cost")).scalar()
     return per_dept.select(
         "department", "cost",
         (F.col("cost").cast("double") * 100 / total.cast("double")).alias("share_pct"),
@@ -97,20 +99,21 @@ def parent_service_rollup(wide: DataFrame) -> DataFrame:
 def commitment_utilisation(wide: DataFrame, ri_unused: DataFrame) -> DataFrame:
     """Used and unused cost per commitment and month.
 
-    SP rows are identified in the wide table. Unused RI rows lose their arn in
-    the wide table, so RI leftovers are taken from the leftover rows
-    themselves (``commitments.ri_unused``).
+    SP rows and used RI rows come from one pass over the wide table. Unused
+    RI rows lose their arn in the wide table, so RI leftovers are taken from
+    the leftover rows themselves (``commitments.ri_unused``).
     """
-    sp = wide.where(F.col("bb_sp_cost_type").isNotNull()).select(
-        F.lit("SavingsPlan").alias("commitment"), F.col("bb_sp_arn").alias("arn"),
-        F.col(MONTH).alias("month"), F.col("bb_sp_cost_type").alias("cost_type"), "bb_cost")
-    ri_used = wide.where(F.col("bb_ri_cost_type") == "Used").select(
-        F.lit("ReservedInstance").alias("commitment"), F.col("bb_ri_arn").alias("arn"),
-        F.col(MONTH).alias("month"), F.col("bb_ri_cost_type").alias("cost_type"), "bb_cost")
+    sp = F.col("bb_sp_cost_type").isNotNull()
+    used = wide.where(sp | (F.col("bb_ri_cost_type") == "Used")).select(
+        F.when(sp, F.lit("SavingsPlan")).otherwise(F.lit("ReservedInstance")).alias("commitment"),
+        F.when(sp, F.col("bb_sp_arn")).otherwise(F.col("bb_ri_arn")).alias("arn"),
+        F.col(MONTH).alias("month"),
+        F.coalesce("bb_sp_cost_type", "bb_ri_cost_type").alias("cost_type"),
+        "bb_cost")
     ri_left = ri_unused.select(
         F.lit("ReservedInstance").alias("commitment"), F.col("bb_ri_arn").alias("arn"),
         F.col("_bb_usage_year_month").alias("month"), F.col("bb_ri_cost_type").alias("cost_type"), "bb_cost")
-    rows = sp.unionByName(ri_used).unionByName(ri_left)
+    rows = used.unionByName(ri_left)
     kind = F.col("cost_type")
     return rows.groupBy("commitment", "arn", "month").agg(
         F.coalesce(F.sum(F.when(kind == "Used", F.col("bb_cost"))), F.lit(0)).alias("used_cost"),
