@@ -43,10 +43,6 @@ def _q(fn: Callable[[CostModel], DataFrame]) -> Callable[[SparkSession, str], Da
     return run
 
 
-def _facet(name: str):
-    return _q(lambda m: m.facet(name))
-
-
 ANALYSES = [
     "monthly_cost", "credit_offset", "department_by_service", "department_share", "untagged_cost",
     "s3_cost_by_level", "s3_volume_by_level", "purchase_option_mix", "parent_service_rollup",
@@ -54,34 +50,44 @@ ANALYSES = [
 ]
 
 
-def _analysis(name: str):
-    return _q(lambda m: m.analysis(name))
+def _facet(name: str) -> Callable[[CostModel], DataFrame]:
+    return lambda m: m.facet(name)
 
 
-def registered_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-        "finalised_bill": _q(lambda m: m.finalised),
-        "base_costs": _q(lambda m: m.base),
+def _analysis(name: str) -> Callable[[CostModel], DataFrame]:
+    return lambda m: m.analysis(name)
+
+
+def model_queries() -> dict[str, Callable[[CostModel], DataFrame]]:
+    """Every registered query as a function of a ``CostModel`` (any bill)."""
+    q: dict[str, Callable[[CostModel], DataFrame]] = {
+        "finalised_bill": lambda m: m.finalised,
+        "base_costs": lambda m: m.base,
     }
     for name in FACETS:
         q[name] = _facet(name)
     q.update({
-        "ri_monthly_used": _q(lambda m: m.ri_monthly_used()),
-        "ri_unused": _q(lambda m: m.ri_unused),
-        "sp_daily_used": _q(lambda m: m.sp_daily_used()),
-        "sp_unused": _q(lambda m: m.sp_unused()),
-        "emr_cluster_names": _q(lambda m: m.emr_cluster_names()),
-        "emr_name_lookup": _q(lambda m: m.emr_name_lookup()),
-        "wide_costs": _q(lambda m: m.wide),
-        "ec2_hourly_usage": _q(lambda m: m.ec2_hourly_usage()),
-        "qc_total": _q(lambda m: m.qc_total()),
-        "qc_by_service": _q(lambda m: m.qc_by_service()),
-        "qc_savings_plans": _q(lambda m: m.qc_savings_plans()),
-        "qc_reserved": _q(lambda m: m.qc_reserved()),
-        "key_check": _q(lambda m: m.key_check()),
-        "dict_line_item_type": _q(lambda m: m.dict_line_item_type()),
-        "dict_usage_type": _q(lambda m: m.dict_usage_type()),
+        "ri_monthly_used": lambda m: m.ri_monthly_used(),
+        "ri_unused": lambda m: m.ri_unused,
+        "sp_daily_used": lambda m: m.sp_daily_used(),
+        "sp_unused": lambda m: m.sp_unused(),
+        "emr_cluster_names": lambda m: m.emr_cluster_names(),
+        "emr_name_lookup": lambda m: m.emr_name_lookup(),
+        "wide_costs": lambda m: m.wide,
+        "ec2_hourly_usage": lambda m: m.ec2_hourly_usage(),
+        "qc_total": lambda m: m.qc_total(),
+        "qc_by_service": lambda m: m.qc_by_service(),
+        "qc_savings_plans": lambda m: m.qc_savings_plans(),
+        "qc_reserved": lambda m: m.qc_reserved(),
+        "key_check": lambda m: m.key_check(),
+        "dict_line_item_type": lambda m: m.dict_line_item_type(),
+        "dict_usage_type": lambda m: m.dict_usage_type(),
     })
     for name in ANALYSES:
         q[name] = _analysis(name)
     return q
+
+
+def registered_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Every query over the bill derived from ``<sf_dir>/lineitem.parquet``."""
+    return {name: _q(fn) for name, fn in model_queries().items()}
