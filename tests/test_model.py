@@ -205,3 +205,13 @@ def test_null_key_lines_get_no_facet_columns(spark):
                  for r in CostModel(bill).wide.collect())
     assert got == [(False, "vol-1", "AmazonEBS", "x86", Decimal("2")),
                    (True, None, "AmazonEC2", None, Decimal("2"))]
+
+
+def test_single_pass_equals_join_form_on_spark(small_model):
+    """The wide table equals its join form (self-joins, OR join, FULL JOINs)."""
+    from tools.join_form import join_form_wide
+
+    wide = small_model.wide
+    joined = join_form_wide(small_model)
+    assert wide.columns == joined.columns
+    assert rows(joined) == rows(wide)
