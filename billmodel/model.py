@@ -34,6 +34,14 @@ class CostModel:
         self.rds_only = rds_only
         self.emr_broadcast_rows = emr_broadcast_rows
 
+    def with_options(self, **options) -> "CostModel":
+        """The same bill under other options (``fill_unused``, ``fee_grain``,
+        ``rds_only``, ``emr_broadcast_rows``)."""
+        current = {"fill_unused": self.fill_unused, "fee_grain": self.fee_grain, "rds_only": self.rds_only,
+                   "emr_broadcast_rows": self.emr_broadcast_rows}
+        current.update(options)
+        return CostModel(self.bill, **current)
+
     # sources and base
     @cached_property
     def finalised(self) -> DataFrame:

@@ -75,9 +75,12 @@ def model_queries() -> dict[str, Callable[[CostModel], DataFrame]]:
         "emr_name_lookup": lambda m: m.emr_name_lookup(),
         "wide_costs": lambda m: m.wide,
         "ec2_hourly_usage": lambda m: m.ec2_hourly_usage(),
+        "ec2_hourly_usage_by_account": lambda m: m.ec2_hourly_usage(by_account=True),
         "qc_total": lambda m: m.qc_total(),
         "qc_by_service": lambda m: m.qc_by_service(),
         "qc_savings_plans": lambda m: m.qc_savings_plans(),
+        "sp_unused_filled": lambda m: m.with_options(fill_unused=True).sp_unused(),
+        "qc_savings_plans_filled": lambda m: m.with_options(fill_unused=True).qc_savings_plans(),
         "qc_reserved": lambda m: m.qc_reserved(),
         "key_check": lambda m: m.key_check(),
         "dict_line_item_type": lambda m: m.dict_line_item_type(),
