@@ -146,10 +146,10 @@ def usage_lines(lineitem: DataFrame, arch: DataFrame) -> DataFrame:
     typ = F.col("a_type")
     res = F.col("a_resource")
     cost = (F.col("l_extendedprice").cast("decimal(18,2)") * F.lit(0.0001).cast("decimal(18,4)")).cast(DEC)
-    start = F.timestamp_add(
-        "HOUR", (sk % 24).cast("int"),
-        F.timestamp_add("DAY", (ok % PERIOD_DAYS).cast("int"), F.lit(PERIOD_START).cast("timestamp_ntz")),
-    )
+    # Interval arithmetic on zone-less timestamps: the wall clock, in any
+    # session time zone.
+    start = F.lit(PERIOD_START).cast("timestamp_ntz") + F.make_dt_interval(
+        days=(ok % PERIOD_DAYS).cast("int"), hours=(sk % 24).cast("int"))
     is_sp = typ.isin("SavingsPlanCoveredUsage", "SavingsPlanNegation")
     resource = (
         F.when(res == "inst", F.concat(F.lit("i-"), _s(pk % 500)))
@@ -164,7 +164,7 @@ def usage_lines(lineitem: DataFrame, arch: DataFrame) -> DataFrame:
     cols = {
         "identity_line_item_id": F.concat_ws("-", _s(ok), _s(ln), _s(pk), _s(sk), _s(F.to_date("l_shipdate"))),
         "line_item_usage_start_date": start,
-        "line_item_usage_end_date": F.timestamp_add("HOUR", F.col("a_hours"), start),
+        "line_item_usage_end_date": start + F.make_dt_interval(hours=F.col("a_hours")),
         "bill_invoice_id": F.when(ok % 50 == 0, F.lit("")).when(ok % 50 == 1, F.lit(None).cast("string")).otherwise(F.lit("INV-1")),
         "bill_billing_entity": F.when(res == "seller", F.lit("AWS Marketplace")).otherwise(F.lit("AWS")),
         "line_item_legal_entity": F.when(res == "seller", F.concat(F.lit("Seller "), _s(pk % 3))).otherwise(F.lit("AWS")),
@@ -214,7 +214,7 @@ def _fee_rows(period: DataFrame, arn_col: str, prefix: str, fee_type: str,
     cols = {
         "identity_line_item_id": F.concat(F.lit(prefix), F.col("label"), F.lit("-"), F.col("arn")),
         "line_item_usage_start_date": F.col("start"),
-        "line_item_usage_end_date": F.timestamp_add("HOUR", F.lit(1), F.col("start")),
+        "line_item_usage_end_date": F.col("start") + F.make_dt_interval(hours=F.lit(1)),
         "bill_invoice_id": F.lit("INV-1"),
         "bill_billing_entity": F.lit("AWS"),
         "line_item_legal_entity": F.lit("AWS"),
@@ -270,14 +270,14 @@ def fee_lines(usage: DataFrame) -> DataFrame:
     base = F.lit(PERIOD_START).cast("timestamp_ntz")
     months = (
         spark.range(PERIOD_MONTHS)
-        .select(F.timestamp_add("MONTH", F.col("id").cast("int"), base).alias("start"),
+        .select((base + F.make_ym_interval(months=F.col("id").cast("int"))).alias("start"),
                 F.explode(F.sequence(F.lit(0), F.lit(RI_ARNS - 1))).alias("n"))
         .select("start", F.date_format("start", "yyyy-MM").alias("label"),
                 F.concat(F.lit("arn:ri/"), _s(F.col("n"))).alias("arn"))
     )
     days = (
         spark.range(PERIOD_DAYS)
-        .select(F.timestamp_add("DAY", F.col("id").cast("int"), base).alias("start"),
+        .select((base + F.make_dt_interval(days=F.col("id").cast("int"))).alias("start"),
                 F.explode(F.sequence(F.lit(0), F.lit(SP_ARNS - 1))).alias("n"))
         .select("start", F.date_format("start", "yyyy-MM-dd").alias("label"),
                 F.concat(F.lit("arn:sp/"), _s(F.col("n"))).alias("arn"))
