@@ -215,3 +215,20 @@ def test_single_pass_equals_join_form_on_spark(small_model):
     joined = join_form_wide(small_model)
     assert wide.columns == joined.columns
     assert rows(joined) == rows(wide)
+
+
+def test_hourly_report_ignores_session_time_zone(spark):
+    """A zone-less start inside a DST gap keeps its wall-clock hours."""
+    start = dt.datetime(2024, 3, 10, 2)  # does not exist in Los Angeles
+    ec2 = dict(line_item_product_code="AmazonEC2", line_item_usage_type="CNW1-BoxUsage:m5.large",
+               product_product_family="Compute Instance", product_vcpu="2", product_servicecode="AmazonEC2")
+    bill = make_bill(spark, [line(**ec2, line_item_usage_amount=Decimal("2.5"), line_item_usage_start_date=start,
+                                  line_item_usage_end_date=start + dt.timedelta(hours=3))])
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        got = sorted((r.hour, r.usage) for r in CostModel(bill).ec2_hourly_usage().collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == [(start, Decimal("1")), (start + dt.timedelta(hours=1), Decimal("1")),
+                   (start + dt.timedelta(hours=2), Decimal("0.5"))]
