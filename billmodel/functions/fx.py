@@ -24,11 +24,6 @@ def least_one(x: Column) -> Column:
     return F.when(x < 1, x).when(x >= 1, F.lit(1))
 
 
-def non_blank(c: Column) -> Column:
-    """Present and not blank (NULL when the input is NULL)."""
-    return c != ""
-
-
 def first_match(rules: list[tuple[Column, Column]], otherwise: Column | None = None) -> Column:
     """Searched CASE: the first true condition wins."""
     expr = None
