@@ -232,3 +232,21 @@ def test_hourly_report_ignores_session_time_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", before)
     assert got == [(start, Decimal("1")), (start + dt.timedelta(hours=1), Decimal("1")),
                    (start + dt.timedelta(hours=2), Decimal("0.5"))]
+
+
+def test_wide_plan_shape(spark, small_model):
+    """Over a bill read from Parquet (as an export is), the wide table is one
+    full scan plus small side inputs: no sort-merge, nested-loop or cartesian
+    join, and the two EMR lookups share one broadcast."""
+    import tempfile
+
+    from billmodel import read_cur
+
+    path = tempfile.mkdtemp(prefix="plan-") + "/cur"
+    small_model.bill.write.parquet(path)
+    wide = CostModel(read_cur(spark, path)).wide
+    wide.collect()  # final adaptive plan
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    for bad in ("SortMergeJoin", "BroadcastNestedLoopJoin", "CartesianProduct"):
+        assert bad not in plan, bad
+    assert "ReusedExchange" in plan
