@@ -15,6 +15,7 @@ the base bill. It renders two ways:
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +31,10 @@ class Facet:
         rows = base if self.predicate is None else base.where(self.predicate)
         return rows.select(F.col("bb_id"), *[c.alias(n) for n, c in self.columns.items()])
 
-    def guarded(self, name: str) -> Column:
+    @cached_property
+    def guard(self) -> Column:
         keyed = F.col("bb_id").isNotNull()
-        cond = keyed if self.predicate is None else keyed & self.predicate
-        return F.when(cond, self.columns[name])
+        return keyed if self.predicate is None else keyed & self.predicate
+
+    def guarded(self, name: str) -> Column:
+        return F.when(self.guard, self.columns[name])
