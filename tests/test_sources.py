@@ -91,3 +91,18 @@ def test_partition_refresh_of_catalog_table(spark):
     months = sorted(r[0] for r in spark.sql("SELECT DISTINCT month FROM cur_catalog_test").collect())
     assert months == ["2024-01", "2024-02"]
     spark.sql("DROP TABLE cur_catalog_test")
+
+
+def test_cli_month_build_and_dictionaries(spark):
+    import glob as g
+
+    from billmodel.__main__ import main
+
+    root = tempfile.mkdtemp(prefix="cli2-")
+    lineitem_bill(spark, SF_SMALL).write.parquet(root + "/cur")
+    main(["build", "--cur", root + "/cur", "--out", root + "/wide", "--months", "2024-04"])
+    months = {r[0] for r in read_wide_table(spark, root + "/wide").select("bb_usage_year_month").distinct().collect()}
+    assert months == {"2024-04"}
+    main(["dictionaries", "--cur", root + "/cur", "--out", root + "/dims"])
+    for name in ("line_item_line_item_type", "line_item_usage_type"):
+        assert g.glob(f"{root}/dims/{name}/*.csv")
