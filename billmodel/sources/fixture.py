@@ -93,8 +93,11 @@ RI_ARNS = 13
 SP_ARNS = 5
 RI_FEE_USAGE_TYPE = "CNW1-HeavyUsage:m5.large"
 SP_FEE_USAGE_TYPE = "CNW1-ComputeSP:1yrNoUpfront"
-RI_FEE_MARGIN = 10
-SP_FEE_MARGIN = 5
+# Fees: RI = 40 + 5 * arn number + month index; SP = 2 + arn number + 0.5 * (day index % 7).
+RI_FEE_BASE = 40
+RI_FEE_STEP = 5
+SP_FEE_BASE = 2
+SP_FEE_DAY_STEP = "0.5"
 FEE_HOURS = 720
 
 DEC = T.DecimalType(18, 6)
@@ -247,53 +250,36 @@ def _fee_rows(period: DataFrame, arn_col: str, prefix: str, fee_type: str,
     return period.select(*[cols[n].alias(n) for n in BILL_COLUMNS])
 
 
-def fee_lines(usage: DataFrame) -> DataFrame:
+def fee_lines(spark: SparkSession) -> DataFrame:
     """RIFee rows per (month, RI arn) and recurring-fee rows per (day, SP arn).
 
-    Each fee is the finalised effective cost of its period and commitment plus a
-    fixed margin, so the unused leftover of the model is the margin.
+    Fees follow a fixed rule of the period index and the commitment number and
+    do not look at usage: the model finds what was used and what is left.
     """
-    spark = usage.sparkSession
-    final = usage.where(F.col("bill_invoice_id") != "")
-    ri_used = (
-        final.where(F.col("line_item_line_item_type") == "DiscountedUsage")
-        .groupBy(F.date_format("line_item_usage_start_date", "yyyy-MM").alias("label"),
-                 F.col("reservation_reservation_a_r_n").alias("arn"))
-        .agg(F.sum("reservation_effective_cost").alias("used"))
-    )
-    sp_used = (
-        final.where(F.col("line_item_line_item_type") == "SavingsPlanCoveredUsage")
-        .groupBy(F.date_format("line_item_usage_start_date", "yyyy-MM-dd").alias("label"),
-                 F.col("savings_plan_savings_plan_a_r_n").alias("arn"))
-        .agg(F.sum("savings_plan_savings_plan_effective_cost").alias("used"))
-    )
     base = F.lit(PERIOD_START).cast("timestamp_ntz")
+    k = F.col("n")
     months = (
         spark.range(PERIOD_MONTHS)
-        .select((base + F.make_ym_interval(months=F.col("id").cast("int"))).alias("start"),
+        .select((base + F.make_ym_interval(months=F.col("id").cast("int"))).alias("start"), "id",
                 F.explode(F.sequence(F.lit(0), F.lit(RI_ARNS - 1))).alias("n"))
         .select("start", F.date_format("start", "yyyy-MM").alias("label"),
-                F.concat(F.lit("arn:ri/"), _s(F.col("n"))).alias("arn"))
+                F.concat(F.lit("arn:ri/"), _s(k)).alias("arn"),
+                (F.lit(RI_FEE_BASE) + F.lit(RI_FEE_STEP) * k + F.col("id")).cast(DEC).alias("fee"))
     )
     days = (
         spark.range(PERIOD_DAYS)
-        .select((base + F.make_dt_interval(days=F.col("id").cast("int"))).alias("start"),
+        .select((base + F.make_dt_interval(days=F.col("id").cast("int"))).alias("start"), "id",
                 F.explode(F.sequence(F.lit(0), F.lit(SP_ARNS - 1))).alias("n"))
         .select("start", F.date_format("start", "yyyy-MM-dd").alias("label"),
-                F.concat(F.lit("arn:sp/"), _s(F.col("n"))).alias("arn"))
+                F.concat(F.lit("arn:sp/"), _s(k)).alias("arn"),
+                (F.lit(SP_FEE_BASE) + k + (F.col("id") % 7) * F.lit(SP_FEE_DAY_STEP).cast("decimal(2,1)"))
+                .cast(DEC).alias("fee"))
     )
-    # Both sides are bounded by periods x commitments (78 and 905 rows here).
-    ri = (months.join(ri_used, ["label", "arn"], "left")
-          .select("start", "label", "arn",
-                  (F.coalesce("used", F.lit(0).cast(DEC)) + F.lit(RI_FEE_MARGIN)).alias("fee")))
-    sp = (days.join(sp_used, ["label", "arn"], "left")
-          .select("start", "label", "arn",
-                  (F.coalesce("used", F.lit(0).cast(DEC)) + F.lit(SP_FEE_MARGIN)).alias("fee")))
-    ri_rows = _fee_rows(ri, "reservation_reservation_a_r_n", "rifee-", "RIFee",
+    ri_rows = _fee_rows(months, "reservation_reservation_a_r_n", "rifee-", "RIFee",
                         "AmazonEC2", RI_FEE_USAGE_TYPE, "")
-    sp_rows = _fee_rows(sp, "savings_plan_savings_plan_a_r_n", "spfee-",
+    sp_rows = _fee_rows(days, "savings_plan_savings_plan_a_r_n", "spfee-",
                         "SavingsPlanRecurringFee", "ComputeSavingsPlans", SP_FEE_USAGE_TYPE, "1yr")
-    return ri_rows.select(*BILL_COLUMNS).unionByName(sp_rows.select(*BILL_COLUMNS))
+    return ri_rows.unionByName(sp_rows)
 
 
 def lineitem_bill(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -303,4 +289,4 @@ def lineitem_bill(spark: SparkSession, sf_dir: str) -> DataFrame:
     # real export is many files. Spread the rows over the session's cores.
     lineitem = lineitem.repartition(spark.sparkContext.defaultParallelism)
     usage = usage_lines(lineitem, archetypes(spark))
-    return usage.select(*BILL_COLUMNS).unionByName(fee_lines(usage))
+    return usage.select(*BILL_COLUMNS).unionByName(fee_lines(spark))
