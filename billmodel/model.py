@@ -2,8 +2,10 @@
 
 Nothing here is cached or collected: each property is a logical plan that
 Catalyst optimises with whatever consumes it (column pruning reaches the
-Parquet scan through the wide projection). Persist or write ``wide`` when
-several reports share it.
+Parquet scan through the wide projection). The one eager step: building
+``wide`` (or the EMR lookup) runs a small job that checkpoints the EMR
+cluster-name dimension and counts it up to its broadcast bound, to pick the
+join. Persist or write ``wide`` when several reports share it.
 """
 
 from __future__ import annotations
