@@ -260,3 +260,19 @@ def test_wide_plan_shape(spark, small_model):
     for bad in ("SortMergeJoin", "BroadcastNestedLoopJoin", "CartesianProduct"):
         assert bad not in plan, bad
     assert "ReusedExchange" in plan
+
+
+def test_fee_grain_group_on_savings_plans(spark):
+    """T4 for SP: two recurring-fee rows of one (day, arn)."""
+    t = dt.datetime(2024, 2, 3, 5)
+    use = line(line_item_line_item_type="SavingsPlanCoveredUsage", line_item_usage_start_date=t,
+               savings_plan_savings_plan_effective_cost=3, savings_plan_savings_plan_a_r_n="sp1")
+    fees = [line(line_item_line_item_type="SavingsPlanRecurringFee", line_item_unblended_cost=2,
+                 line_item_usage_start_date=dt.datetime(2024, 2, 3, h), savings_plan_savings_plan_a_r_n="sp1")
+            for h in (0, 1)]
+    bill = make_bill(spark, [use, *fees])
+    by_row = sorted(r.bb_sp_cost_unused for r in CostModel(bill).sp_unused().collect())
+    assert by_row == [Decimal(-1), Decimal(-1)]  # each fee minus the whole day's use
+    grouped = CostModel(bill).with_options(fee_grain="group")
+    assert [r.bb_sp_cost_unused for r in grouped.sp_unused().collect()] == [Decimal(1)]
+    assert grouped.qc_savings_plans().first().diff == 0
