@@ -82,6 +82,11 @@ def model_queries() -> dict[str, Callable[[CostModel], DataFrame]]:
         "sp_unused_filled": lambda m: m.with_options(fill_unused=True).sp_unused(),
         "qc_savings_plans_filled": lambda m: m.with_options(fill_unused=True).qc_savings_plans(),
         "qc_reserved": lambda m: m.qc_reserved(),
+        "ri_unused_grouped": lambda m: m.with_options(fee_grain="group").ri_unused,
+        "sp_unused_grouped": lambda m: m.with_options(fee_grain="group").sp_unused(),
+        "qc_reserved_grouped": lambda m: m.with_options(fee_grain="group").qc_reserved(),
+        "rds_only": lambda m: m.with_options(rds_only=True).facet("rds"),
+        "wide_costs_rds_only": lambda m: m.with_options(rds_only=True).wide,
         "key_check": lambda m: m.key_check(),
         "dict_line_item_type": lambda m: m.dict_line_item_type(),
         "dict_usage_type": lambda m: m.dict_usage_type(),
