@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # The bill columns the model reads, with the type used when a
 # column is absent from an export.
@@ -68,9 +69,20 @@ def conform(df: DataFrame, extra: dict[str, str] | None = None) -> DataFrame:
     return df.select("*", *missing) if missing else df
 
 
-def read_cur(spark: SparkSession, path: str) -> DataFrame:
-    """A1: scan the exported Parquet bill (directory partitions are discovered)."""
-    return conform(spark.read.option("mergeSchema", "true").parquet(path))
+def read_cur(spark: SparkSession, path: str, *, merge_schema: bool = True,
+             schema: StructType | str | None = None) -> DataFrame:
+    """A1: scan the exported Parquet bill (directory partitions are discovered).
+
+    The export gains columns over time, so file schemas are merged by
+    default; a fixed ``schema`` (or ``merge_schema=False``) skips reading every
+    file footer up front.
+    """
+    reader = spark.read
+    if schema is not None:
+        reader = reader.schema(schema)
+    else:
+        reader = reader.option("mergeSchema", "true" if merge_schema else "false")
+    return conform(reader.parquet(path))
 
 
 def refresh_partitions(spark: SparkSession, table: str) -> None:

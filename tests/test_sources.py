@@ -106,3 +106,16 @@ def test_cli_month_build_and_dictionaries(spark):
     main(["dictionaries", "--cur", root + "/cur", "--out", root + "/dims"])
     for name in ("line_item_line_item_type", "line_item_usage_type"):
         assert g.glob(f"{root}/dims/{name}/*.csv")
+
+
+def test_read_cur_options(spark):
+    from billmodel import read_cur
+
+    root = tempfile.mkdtemp(prefix="readcur-") + "/cur"
+    bill = make_bill(spark, [line(), line(line_item_product_code="AmazonS3")])
+    bill.write.parquet(root)
+    merged = read_cur(spark, root)
+    plain = read_cur(spark, root, merge_schema=False)
+    fixed = read_cur(spark, root, schema=bill.schema)
+    assert merged.count() == plain.count() == fixed.count() == 2
+    assert set(bill.columns) <= set(fixed.columns)
