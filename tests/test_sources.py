@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections import Counter
 
@@ -119,3 +120,22 @@ def test_read_cur_options(spark):
     fixed = read_cur(spark, root, schema=bill.schema)
     assert merged.count() == plain.count() == fixed.count() == 2
     assert set(bill.columns) <= set(fixed.columns)
+
+
+def test_reports_prune_the_written_table(spark):
+    """Over the written wide table the hourly report reads 5 of its columns
+    and pushes its filter into the scan."""
+    m = CostModel(lineitem_bill(spark, SF_SMALL))
+    path = tempfile.mkdtemp(prefix="prune-") + "/wide"
+    write_wide_table(m.wide, path)
+    report = CostModel(m.bill, wide=read_wide_table(spark, path)).ec2_hourly_usage()
+    leaves = report._jdf.queryExecution().sparkPlan().collectLeaves()
+    scans = [leaves.apply(i) for i in range(leaves.size())
+             if leaves.apply(i).getClass().getSimpleName() == "FileSourceScanExec"]
+    assert len(scans) == 1
+    meta = scans[0].metadata()
+    read = meta.get("ReadSchema").get()
+    names = sorted(re.findall(r"(?:<|,)(\w+):", read))
+    assert names == sorted(["bb_service", "bb_ec2_purchase_option", "line_item_usage_start_date",
+                            "line_item_usage_end_date", "line_item_usage_amount"])
+    assert "EqualTo(bb_service,AmazonEC2)" in meta.get("PushedFilters").get()
