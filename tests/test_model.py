@@ -276,3 +276,20 @@ def test_fee_grain_group_on_savings_plans(spark):
     grouped = CostModel(bill).with_options(fee_grain="group")
     assert [r.bb_sp_cost_unused for r in grouped.sp_unused().collect()] == [Decimal(1)]
     assert grouped.qc_savings_plans().first().diff == 0
+
+
+def test_zoned_timestamps_in_utc_session(spark, small_model):
+    """An export with zoned timestamps (TIMESTAMP, not TIMESTAMP_NTZ) gives
+    the same model in a UTC session."""
+    from billmodel.streaming.refresh import wide_for_months
+
+    ts = ["line_item_usage_start_date", "line_item_usage_end_date"]
+    zoned = small_model.bill.select(*[F.col(c).cast("timestamp").alias(c) if c in ts else F.col(c)
+                                      for c in small_model.bill.columns])
+    m = CostModel(zoned)
+    cols = ["bb_id", "bb_cost", "bb_usage_date", "bb_usage_year_month", "bb_emr_cluster_name"]
+    assert rows(m.wide.select(cols)) == rows(small_model.wide.select(cols))
+    hourly = [(r.hour.replace(tzinfo=None), r.usage) for r in m.ec2_hourly_usage().collect()]
+    assert Counter(hourly) == Counter((r.hour, r.usage) for r in small_model.ec2_hourly_usage().collect())
+    assert wide_for_months(zoned, ["2024-05"]).count() == \
+        small_model.wide.where(F.col("bb_usage_year_month") == "2024-05").count()
