@@ -2,6 +2,11 @@
 
 Each function returns a ``Facet``; column names are those of the model's
 debugging views (``_bb_*`` = intermediate, renamed in the wide table).
+
+Fixed values: each declaration below states, as literal text and in the
+model's order, the product codes, line-item types, product families and
+LIKE patterns its predicate tests and the labels it outputs; the regular
+expressions are collected under the next comment.
 """
 
 from __future__ import annotations
