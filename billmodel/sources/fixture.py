@@ -3,9 +3,10 @@
 The driver tables hold no bill, so tests, the registry and the bench derive
 one: every ``lineitem`` row becomes one bill line whose shape comes from one
 of 48 archetype rows (picked by ``(7*orderkey + 3*linenumber + 11*partkey +
-suppkey) % 48``), and fee rows for
-reserved instances and savings plans are added per period and commitment.
-The same construction is written in DuckDB SQL in ``billmodel.plans.oracle``.
+suppkey) % 48``), and fee rows for reserved instances and savings plans are
+added per period and commitment, priced by a fixed rule that does not look at
+usage. The same construction is written in DuckDB SQL in
+``billmodel.plans.oracle``.
 
 This module only produces input rows in the bill schema. None of the model's
 work (classification, cost model, leftovers, reports) happens here.
