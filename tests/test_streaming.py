@@ -43,3 +43,25 @@ def test_stream_refreshes_new_months(spark):
     expected = CostModel(bill).wide.where(F.col("bb_usage_year_month") == "2024-03").count()
     assert second["2024-03"] == expected
     bill.unpersist()
+
+
+def test_stream_rebuilds_a_restated_month(spark):
+    """A restated month: its folder is rewritten with new files; the refresh
+    rebuilds that month from the current files and leaves the others."""
+    root = tempfile.mkdtemp(prefix="restate-")
+    cur, wide, ckpt = root + "/cur", root + "/wide", root + "/ckpt"
+    bill = lineitem_bill(spark, SF_SMALL).cache()
+    for month in ("2024-01", "2024-02"):
+        bill.where(_month() == month).write.parquet(f"{cur}/month={month}")
+    start_month_refresh(spark, cur, wide, checkpoint_location=ckpt).awaitTermination()
+    first = {r[0]: r[1] for r in read_wide_table(spark, wide).groupBy("bb_usage_year_month").count().collect()}
+
+    restated = bill.where((_month() == "2024-02") & (F.col("line_item_line_item_type") != "Tax"))
+    restated.write.mode("overwrite").parquet(f"{cur}/month=2024-02")
+    start_month_refresh(spark, cur, wide, checkpoint_location=ckpt).awaitTermination()
+    second = {r[0]: r[1] for r in read_wide_table(spark, wide).groupBy("bb_usage_year_month").count().collect()}
+    expected = CostModel(bill.where(_month() != "2024-02").unionByName(restated)).wide
+    expected = {r[0]: r[1] for r in expected.groupBy("bb_usage_year_month").count().collect()}
+    assert second["2024-01"] == first["2024-01"]
+    assert second["2024-02"] == expected["2024-02"] < first["2024-02"]
+    bill.unpersist()
