@@ -87,6 +87,8 @@ def model_queries() -> dict[str, Callable[[CostModel], DataFrame]]:
         "qc_reserved_grouped": lambda m: m.with_options(fee_grain="group").qc_reserved(),
         "rds_only": lambda m: m.with_options(rds_only=True).facet("rds"),
         "wide_costs_rds_only": lambda m: m.with_options(rds_only=True).wide,
+        "wide_costs_filled": lambda m: m.with_options(fill_unused=True).wide,
+        "wide_costs_grouped": lambda m: m.with_options(fee_grain="group").wide,
         "key_check": lambda m: m.key_check(),
         "dict_line_item_type": lambda m: m.dict_line_item_type(),
         "dict_usage_type": lambda m: m.dict_usage_type(),
