@@ -139,3 +139,12 @@ def test_reports_prune_the_written_table(spark):
     assert names == sorted(["bb_service", "bb_ec2_purchase_option", "line_item_usage_start_date",
                             "line_item_usage_end_date", "line_item_usage_amount"])
     assert "EqualTo(bb_service,AmazonEC2)" in meta.get("PushedFilters").get()
+
+
+def test_every_published_view_answers_sql(spark):
+    from billmodel.plans.views import FACET_VIEWS, publish_views
+
+    names = publish_views(CostModel(lineitem_bill(spark, SF_SMALL)))
+    assert len(names) == 2 + len(FACET_VIEWS) + 9
+    for name in names:
+        assert spark.sql(f"SELECT COUNT(*) FROM {name}").first()[0] >= 0
