@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame
 
 from .operators import commitments, emr, facets
 from .operators.base import base_costs
-from .operators.joins import DEFAULT_BROADCAST_ROWS
 from .operators.wide import wide_costs
 from .plans import analyses, profile, quality, report
 from .sources.cur import conform, finalised
@@ -24,7 +23,7 @@ from .sources.cur import conform, finalised
 
 class CostModel:
     def __init__(self, bill: DataFrame, *, fill_unused: bool = False, fee_grain: str = "row",
-                 rds_only: bool = False, emr_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                 rds_only: bool = False, emr_broadcast_rows: int | None = None,
                  wide: DataFrame | None = None):
         """``wide`` may be the already written wide table (``sources.sink``);
         reports and checks then read it instead of rebuilding it."""

@@ -15,6 +15,16 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 
 DEFAULT_BROADCAST_ROWS = 1_000_000
+# Session setting that overrides the default bound (no code change needed).
+BROADCAST_ROWS_CONF = "spark.billmodel.emrBroadcastRows"
+
+
+def broadcast_bound(df: DataFrame, max_rows: int | None) -> int:
+    """``max_rows`` if given, else the session setting, else the default."""
+    if max_rows is not None:
+        return max_rows
+    value = df.sparkSession.conf.get(BROADCAST_ROWS_CONF, None)
+    return int(value) if value else DEFAULT_BROADCAST_ROWS
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -23,13 +33,14 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def sized(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """``(materialised df, fits)``: ``fits`` when it has at most ``max_rows`` rows."""
+def sized(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
+    """``(materialised df, fits)``: ``fits`` when it has at most the bound's rows."""
+    bound = broadcast_bound(df, max_rows)
     df = materialise(df)
-    return df, df.limit(max_rows + 1).count() <= max_rows
+    return df, df.limit(bound + 1).count() <= bound
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
     """The materialised ``df``, broadcast-hinted when it fits in ``max_rows``."""
     df, fits = sized(df, max_rows)
     return (F.broadcast(df) if fits else df), fits

@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import commitments, emr, facets
-from .joins import DEFAULT_BROADCAST_ROWS
 
 # Fee line types that the wide table replaces by used + unused rows.
 REPLACED_FEE_TYPES = ("SavingsPlanNegation", "SavingsPlanRecurringFee", "RIFee")
@@ -54,7 +53,7 @@ def _facets(rds_only: bool) -> dict:
     return fs
 
 
-def _with_cluster_names(base: DataFrame, fs: dict, emr_broadcast_rows: int,
+def _with_cluster_names(base: DataFrame, fs: dict, emr_broadcast_rows: int | None,
                         names_base: DataFrame | None = None) -> DataFrame:
     """Kept base rows plus the EMR name lookup (``_emr_*`` columns).
 
@@ -73,7 +72,7 @@ def _with_cluster_names(base: DataFrame, fs: dict, emr_broadcast_rows: int,
     return emr.attach_cluster_names(kept, dim, "_emr_tag_id", "_emr_fee_id", emr_broadcast_rows)
 
 
-def _base_rows(base: DataFrame, rds_only: bool, emr_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+def _base_rows(base: DataFrame, rds_only: bool, emr_broadcast_rows: int | None = None,
                names_base: DataFrame | None = None) -> DataFrame:
     """Model columns of every kept base row: one projection over one scan."""
     fs = _facets(rds_only)
@@ -179,7 +178,7 @@ def _leftover_rows(base: DataFrame, fill_unused: bool, fee_grain: str) -> DataFr
 
 
 def wide_costs(base: DataFrame, *, fill_unused: bool = False, fee_grain: str = "row",
-               rds_only: bool = False, emr_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+               rds_only: bool = False, emr_broadcast_rows: int | None = None,
                emr_names_base: DataFrame | None = None) -> DataFrame:
     """The wide cost table (``bb_bwt_costs``) from the base bill (``base_costs``).
 

@@ -293,3 +293,19 @@ def test_zoned_timestamps_in_utc_session(spark, small_model):
     assert Counter(hourly) == Counter((r.hour, r.usage) for r in small_model.ec2_hourly_usage().collect())
     assert wide_for_months(zoned, ["2024-05"]).count() == \
         small_model.wide.where(F.col("bb_usage_year_month") == "2024-05").count()
+
+
+def test_broadcast_bound_from_session_setting(spark):
+    from billmodel.operators.joins import BROADCAST_ROWS_CONF, broadcast_bound
+
+    df = spark.range(3)
+    assert broadcast_bound(df, 5) == 5
+    spark.conf.set(BROADCAST_ROWS_CONF, "0")
+    try:
+        assert broadcast_bound(df, None) == 0
+        m = CostModel(make_bill(spark, _emr_lines()))
+        plan = m.wide._jdf.queryExecution().optimizedPlan().toString()
+        assert "broadcast" not in plan.lower()  # beyond the bound: no broadcast hint
+    finally:
+        spark.conf.unset(BROADCAST_ROWS_CONF)
+    assert broadcast_bound(df, None) == 1_000_000
