@@ -26,7 +26,7 @@ def edge(df: DataFrame) -> DataFrame:
         if isinstance(f.dataType, T.DecimalType):
             cols.append(F.col(f.name).cast("double").alias(f.name))
         elif isinstance(f.dataType, T.DateType):
-            cols.append(F.date_format(F.col(f.name), "yyyy-MM-dd").alias(f.name))
+            cols.append(F.col(f.name).cast("string").alias(f.name))  # ISO yyyy-MM-dd, no time zone
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
