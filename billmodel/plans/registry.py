@@ -89,6 +89,9 @@ def model_queries() -> dict[str, Callable[[CostModel], DataFrame]]:
         "wide_costs_rds_only": lambda m: m.with_options(rds_only=True).wide,
         "wide_costs_filled": lambda m: m.with_options(fill_unused=True).wide,
         "wide_costs_grouped": lambda m: m.with_options(fee_grain="group").wide,
+        # The EMR name lookup beyond its broadcast bound (shuffle joins).
+        "wide_costs_names_shuffled": lambda m: m.with_options(emr_broadcast_rows=0).wide,
+        "emr_name_lookup_shuffled": lambda m: m.with_options(emr_broadcast_rows=0).emr_name_lookup(),
         "key_check": lambda m: m.key_check(),
         "dict_line_item_type": lambda m: m.dict_line_item_type(),
         "dict_usage_type": lambda m: m.dict_usage_type(),
