@@ -33,11 +33,13 @@ def main(argv: list[str] | None = None) -> None:
     for name in ("build", "refresh", "check", "dictionaries"):
         s = sub.add_parser(name)
         s.add_argument("--cur", required=True, help="path of the Parquet cost-and-usage export")
-        s.add_argument("--fill-unused", action="store_true")
-        s.add_argument("--fee-grain", choices=["row", "group"], default="row")
-        s.add_argument("--rds-only", action="store_true")
+        s.add_argument("--fill-unused", action="store_true",
+                       help="a day without savings-plan usage counts as 0 used (default: NULL leftover)")
+        s.add_argument("--fee-grain", choices=["row", "group"], default="row",
+                       help="subtract usage per fee row (model default) or per summed commitment period")
+        s.add_argument("--rds-only", action="store_true", help="fill the RDS columns on AmazonRDS lines only")
         if name in ("build", "refresh", "dictionaries"):
-            s.add_argument("--out", required=True)
+            s.add_argument("--out", required=True, help="output folder (wide table or dictionaries)")
         if name == "build":
             s.add_argument("--months", nargs="*", help="rebuild only these yyyy-MM months")
         if name == "refresh":
