@@ -41,3 +41,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return current
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The configured ``spark.checkpoint.dir`` itself (stable across
+    applications), for state that must outlive one run, such as a stream's
+    progress. Falls back to the context's checkpoint folder."""
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return configured or checkpoint_dir(spark)

@@ -22,7 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.base import base_costs
 from ..operators.wide import wide_costs
-from ..session import checkpoint_dir
+from ..session import shared_folder
 from ..sources.cur import read_cur
 from ..sources.sink import write_wide_table
 
@@ -61,11 +61,12 @@ def start_month_refresh(spark: SparkSession, cur_path: str, wide_path: str, *,
 
     ``available_now`` processes what is there and stops (a scheduled job);
     otherwise it polls every ``interval``. The stream's progress lives under
-    the session's ``spark.checkpoint.dir`` unless a location is given.
+    the cluster's ``spark.checkpoint.dir`` (a stable path, so the next run
+    resumes) unless a location is given.
     """
     schema = spark.read.parquet(cur_path).schema
     source = spark.readStream.schema(schema).parquet(cur_path)
-    location = checkpoint_location or os.path.join(checkpoint_dir(spark), "billmodel-month-refresh")
+    location = checkpoint_location or os.path.join(shared_folder(spark), "billmodel-month-refresh")
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
         # At most a few calendar months per batch: a bounded, tiny result.
