@@ -65,3 +65,16 @@ def test_stream_rebuilds_a_restated_month(spark):
     assert second["2024-01"] == first["2024-01"]
     assert second["2024-02"] == expected["2024-02"] < first["2024-02"]
     bill.unpersist()
+
+
+def test_stream_progress_folder_is_stable(spark):
+    """The stream's default progress folder is the configured checkpoint
+    folder itself, not the per-application folder under it."""
+    from billmodel.session import checkpoint_dir, shared_folder
+
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if configured:
+        assert shared_folder(spark) == configured
+        assert checkpoint_dir(spark).rstrip("/").split("/")[-1] != configured.rstrip("/").split("/")[-1]
+    else:
+        assert shared_folder(spark) == checkpoint_dir(spark)
