@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from billmodel.llm.byte_bpe import byte_bpe
 from billmodel.llm.common import table
+from billmodel.llm.quality_rules import quality_rules
 from billmodel.llm.substring_dedup import substring_dedup
 from billmodel.llm.suffix_dedup import suffix_dedup
 
@@ -17,15 +21,53 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base measures of every document and the cascade's verdict."""
+    out = quality_rules(table(spark, sf_dir, "documents"), with_measures=True)
+    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                      failed.alias("base_failed"), (F.col("kept") & ~failed).alias("kept"))
+
+
+OP8_SQL = r"""
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+cut AS (
+  SELECT r, doc_id, t, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+  FROM texts),
+places AS (SELECT r, ws, unnest(range(1, len(ws) - 6)) AS i FROM cut WHERE len(ws) >= 8),
+grams AS (SELECT r, i, count(*) OVER (PARTITION BY r, array_to_string(ws[i:i+7], ' ')) AS n FROM places),
+cover AS (SELECT r, count(DISTINCT i + k) AS n FROM grams, range(8) AS t(k) WHERE grams.n > 1 GROUP BY r),
+measures AS (
+  SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(cover.n, 0) AS BIGINT) AS n_repeat_words
+  FROM cut LEFT JOIN cover USING (r)),
+judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM measures)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT n_symbols > n_words AND NOT word_chars > 15 * n_words AND NOT word_chars < 2 * n_words
+       AND NOT 100 * n_dup_lines > 50 * n_lines AS kept
+FROM judged
+"""
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that a 200-byte string found twice or more covers."""
     out = suffix_dedup(table(spark, sf_dir, "documents"), length=200, keep="none")
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and what they decode to, as digests."""
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    out = byte_bpe(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_substring_dedup, op9_suffix_dedup)}
+    return {f.__name__: f for f in (op3_substring_dedup, op8_quality_rules, op9_suffix_dedup, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_quality_rules": OP8_SQL}
