@@ -15,6 +15,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from billmodel.session import checkpoint_dir
+
 #: White space of every word definition here, as a regular-expression class.
 BLANK = r"\x20\x09-\x0D"
 #: Bytes of text handled at once by the vectorised parts of a task.
@@ -275,3 +277,31 @@ def id_array(ids: list[int | None]) -> np.ndarray:
 def ordered_ids(ids: np.ndarray) -> np.ndarray:
     """Signed ids as unsigned values in the same order."""
     return ids.astype(np.uint64) ^ np.uint64(1 << 63)
+
+
+# --- joins ------------------------------------------------------------------------
+
+#: A key is hot if it holds more than this share of the rows, so at most
+#: 1 / HOT_SHARE keys are hot: a proven bound for their broadcast.
+HOT_SHARE = 0.001
+
+
+def join_counted(left: DataFrame, right: DataFrame, key: str, count: str, total: int) -> DataFrame:
+    """Left join to ``right`` (one row per non-null ``key``, with the ``count`` of
+    left rows of the key, ``total`` in all). Rows of hot keys find theirs in a
+    broadcast of at most ``1 / HOT_SHARE`` rows and stay where they are; only
+    the others are shuffled. ``count`` is dropped."""
+    hot = right.filter(F.col(count) > total * HOT_SHARE)
+    rest = right.filter(F.col(count) <= total * HOT_SHARE).drop(count)
+    known = F.broadcast(hot.select(F.col(key).alias("_hot")))
+    marked = left.join(known, F.col(key) == F.col("_hot"), "left")
+    few = marked.filter(F.col("_hot").isNull()).drop("_hot").join(rest, key, "left")
+    many = marked.filter(F.col("_hot").isNotNull()).drop("_hot").join(F.broadcast(hot.drop(count)), key)
+    return few.unionByName(many)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the folder in ``spark.checkpoint.dir`` that all executors
+    share (one of its own where the setting is missing, as in tests)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from billmodel.llm.byte_bpe import byte_bpe
 from billmodel.llm.common import table
 from billmodel.llm.quality_rules import quality_rules
+from billmodel.llm.simhash_dedup import simhash_dedup
 from billmodel.llm.substring_dedup import substring_dedup
 from billmodel.llm.suffix_dedup import suffix_dedup
 
@@ -21,6 +22,12 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint of every document and its group's least doc_id."""
+    out = simhash_dedup(table(spark, sf_dir, "documents"), shingle=3, bits=3)
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base measures of every document and the cascade's verdict."""
     out = quality_rules(table(spark, sf_dir, "documents"), with_measures=True)
@@ -66,7 +73,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_substring_dedup, op8_quality_rules, op9_suffix_dedup, op10_byte_bpe)}
+    return {f.__name__: f for f in (op3_substring_dedup, op4_simhash_dedup, op8_quality_rules, op9_suffix_dedup, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
