@@ -14,6 +14,33 @@ from billmodel.llm.quality_rules import quality_rules
 from billmodel.llm.simhash_dedup import simhash_dedup
 from billmodel.llm.substring_dedup import substring_dedup
 from billmodel.llm.suffix_dedup import suffix_dedup
+from billmodel.llm.url_filter import url_filter
+
+#: The rules that the query judges by (host, path, verdict): fixed values.
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "allow"),
+             ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, deciding rule and verdict of every page's URL."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter(table(spark, sf_dir, "pages"), rules, default="allow")
+
+
+OP1_SQL = r"""
+WITH cut AS (
+  SELECT page_id, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM pages),
+rules(rule_host, rule_path, rule_verdict) AS (
+  VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'allow'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+judged AS (
+  SELECT row_number() OVER () AS r, * FROM cut)
+SELECT page_id, host, path, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+       coalesce(arg_max(rule_verdict, length(rule_host || rule_path)), 'allow') AS verdict
+FROM judged LEFT JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+GROUP BY r, page_id, host, path
+"""
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,8 +100,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_substring_dedup, op4_simhash_dedup, op8_quality_rules, op9_suffix_dedup, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_url_filter, op3_substring_dedup, op4_simhash_dedup, op8_quality_rules, op9_suffix_dedup, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_quality_rules": OP8_SQL}
+    return {"op1_url_filter": OP1_SQL, "op8_quality_rules": OP8_SQL}
