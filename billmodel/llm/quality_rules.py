@@ -21,18 +21,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from billmodel.llm.common import BLANK
+from billmodel.llm.common import BLANK, let
 
 #: Words in a window, and rows that cost and selectivity are measured on.
 WINDOW = 8
 SAMPLE_ROWS = 1000
 
 
-def _let(value: Column, use) -> Column:
-    """``use(value)`` with ``value`` worked out once."""
-    return F.transform(F.array(value), use).getItem(0)
-
-
 def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"[{BLANK}]+"), "")
 
@@ -80,10 +75,10 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
 
     def count(p: Column) -> Column:
         ordered = F.sort_array(F.transform(p, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-        return F.when(F.size(F.array_distinct(p)) < F.size(p), _let(_let(ordered, starts), cover)).otherwise(F.lit(0).cast("long"))
+        return F.when(F.size(F.array_distinct(p)) < F.size(p), let(let(ordered, starts), cover)).otherwise(F.lit(0).cast("long"))
 
     hashes = F.transform(words, lambda w: F.xxhash64(w))
-    return F.coalesce(_let(_let(hashes, prints), count), F.lit(0).cast("long"))
+    return F.coalesce(let(let(hashes, prints), count), F.lit(0).cast("long"))
 
 
 def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -117,10 +112,10 @@ def text_rules(text_col: str = "text") -> list[Rule]:
     n = F.size(words)
     return [
         Rule("few_words", n < 20),
-        Rule("repeated_words", _let(words, lambda w: 100 * repeated_words(w) > 30 * F.size(w))),
+        Rule("repeated_words", let(words, lambda w: 100 * repeated_words(w) > 30 * F.size(w))),
         Rule("symbols", symbols(text) > n),
-        Rule("word_length", _let(words, lambda w: (word_chars(w) > 15 * F.size(w)) | (word_chars(w) < 2 * F.size(w)))),
-        Rule("repeated_lines", _let(lines_of(text), lambda x: 100 * repeats(x) > 50 * F.size(x))),
+        Rule("word_length", let(words, lambda w: (word_chars(w) > 15 * F.size(w)) | (word_chars(w) < 2 * F.size(w)))),
+        Rule("repeated_lines", let(lines_of(text), lambda x: 100 * repeats(x) > 50 * F.size(x))),
     ]
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from billmodel.llm.byte_bpe import byte_bpe
 from billmodel.llm.common import table
+from billmodel.llm.decontamination import decontamination
+from billmodel.llm.language_id import documents_language, pages_language
 from billmodel.llm.quality_rules import quality_rules
 from billmodel.llm.simhash_dedup import simhash_dedup
 from billmodel.llm.substring_dedup import substring_dedup
@@ -55,6 +57,38 @@ def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that a benchmark item leaks into, with the item."""
+    return decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), shingle=5, threshold=0.8)
+
+
+OP5_SQL = r"""
+WITH doc_words AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower(text), '[0-9a-z\x{80}-\x{10FFFF}]+') AS ws FROM documents),
+item_words AS (SELECT row_number() OVER () AS q, item_id, regexp_extract_all(lower(text), '[0-9a-z\x{80}-\x{10FFFF}]+') AS ws FROM benchmark),
+doc_shingles AS (
+  SELECT DISTINCT r, array_to_string(ws[i:i+4], ' ') AS g
+  FROM (SELECT r, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM doc_words WHERE len(ws) > 0)),
+item_shingles AS (
+  SELECT DISTINCT q, array_to_string(ws[i:i+4], ' ') AS g
+  FROM (SELECT q, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM item_words WHERE len(ws) > 0)),
+sizes AS (SELECT q, count(*) AS n FROM item_shingles GROUP BY q),
+shared AS (SELECT r, q, count(*) AS n_shared FROM doc_shingles JOIN item_shingles USING (g) GROUP BY r, q)
+SELECT doc_id, item_id, CAST(n AS BIGINT) AS n_shingles, CAST(n_shared AS BIGINT) AS n_shared, CAST(n_shared AS DOUBLE) / n AS containment
+FROM shared JOIN sizes USING (q) JOIN doc_words USING (r) JOIN item_words USING (q)
+WHERE n_shared >= 0.8 * n
+"""
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, and whether it is kept."""
+    return documents_language(table(spark, sf_dir, "documents")).select("doc_id", "language", "confidence", "kept")
+
+
+def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every raw page, from text, markup, address and host."""
+    return pages_language(table(spark, sf_dir, "pages")).select("page_id", "language", "confidence", "kept")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base measures of every document and the cascade's verdict."""
     out = quality_rules(table(spark, sf_dir, "documents"), with_measures=True)
@@ -100,8 +134,9 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filter, op3_substring_dedup, op4_simhash_dedup, op8_quality_rules, op9_suffix_dedup, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_url_filter, op3_substring_dedup, op4_simhash_dedup,
+                                    op5_decontamination, op6_language_id, language_id_pages, op8_quality_rules, op9_suffix_dedup, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": OP1_SQL, "op8_quality_rules": OP8_SQL}
+    return {"op1_url_filter": OP1_SQL, "op5_decontamination": OP5_SQL, "op8_quality_rules": OP8_SQL}
