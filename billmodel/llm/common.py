@@ -179,25 +179,26 @@ class Words:
 # --- blobs ----------------------------------------------------------------------
 
 
-def packed(*arrays: np.ndarray) -> bytes:
-    """Arrays of one length as one compressed blob (differences of neighbours,
-    by byte planes: sorted or slowly growing arrays take a few bits a value)."""
+def packed(*arrays: np.ndarray, steps: bool = True) -> bytes:
+    """Arrays of one length as one compressed blob, by byte planes. ``steps``
+    stores differences of neighbours: good for sorted or slowly growing values."""
     planes = []
     for a in arrays:
         a = np.ascontiguousarray(a).astype(np.uint64, copy=False)
-        d = a.copy()
-        d[1:] -= a[:-1]
-        planes.append(np.ascontiguousarray(d.view(np.uint8).reshape(-1, 8).T).tobytes())
+        if steps:
+            a = np.concatenate([a[:1], a[1:] - a[:-1]])
+        planes.append(np.ascontiguousarray(a.view(np.uint8).reshape(-1, 8).T).tobytes())
     return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
 
 
-def unpacked(blob: bytes, count: int = 1) -> list[np.ndarray]:
+def unpacked(blob: bytes, count: int = 1, steps: bool = True) -> list[np.ndarray]:
     data = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
     n = len(data) // (8 * count)
     out = []
     for i in range(count):
         planes = data[i * 8 * n : (i + 1) * 8 * n].reshape(8, n)
-        out.append(np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64))
+        values = np.ascontiguousarray(planes.T).view(np.uint64).ravel()
+        out.append(np.cumsum(values, dtype=np.uint64) if steps else values)
     return out
 
 

@@ -12,6 +12,7 @@ from billmodel.llm.byte_bpe import byte_bpe
 from billmodel.llm.common import table
 from billmodel.llm.decontamination import decontamination
 from billmodel.llm.language_id import documents_language, pages_language
+from billmodel.llm.lm_score import lm_score
 from billmodel.llm.quality_rules import quality_rules
 from billmodel.llm.simhash_dedup import simhash_dedup
 from billmodel.llm.substring_dedup import substring_dedup
@@ -89,6 +90,11 @@ def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages_language(table(spark, sf_dir, "pages")).select("page_id", "language", "confidence", "kept")
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trigram stupid-backoff score of every document under all the others."""
+    return lm_score(table(spark, sf_dir, "documents"), order=3)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base measures of every document and the cascade's verdict."""
     out = quality_rules(table(spark, sf_dir, "documents"), with_measures=True)
@@ -135,7 +141,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_url_filter, op3_substring_dedup, op4_simhash_dedup,
-                                    op5_decontamination, op6_language_id, language_id_pages, op8_quality_rules, op9_suffix_dedup, op10_byte_bpe)}
+                                    op5_decontamination, op6_language_id, language_id_pages, op7_lm_score,
+                                    op8_quality_rules, op9_suffix_dedup, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
