@@ -148,19 +148,50 @@ def _search(sketches: Sketches):
     return run
 
 
-def decontamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
-                    item_text_col: str = "text", shingle: int = 5, threshold: float = 0.8) -> DataFrame:
-    """(doc_id, item_id, n_shingles, n_shared, containment): a row for each
-    document and item that leaks into it."""
-    spark = docs.sparkSession
-    ship_package(spark)
-    rows = docs.select(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`").cast("string"))
+def _blocks(items: DataFrame, item_id_col: str, item_text_col: str, shingle: int, threshold: float) -> Iterator[Sketches]:
+    """Sketches of the items, block by block."""
     wanted = items.select(F.col(f"`{item_id_col}`").cast("long").alias("item_id"), F.col(f"`{item_text_col}`").cast("string").alias("text"))
     words = wanted.agg(F.sum(F.size(F.split("text", " ")).cast("long"))).first()[0] or 0
     blocks = 1 + words // BLOCK_WORDS
-    found = []
     for b in range(blocks):
         block = wanted.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        sketches = Sketches([tuple(r) for r in block.collect()], shingle, threshold)
-        found.append(rows.mapInArrow(_search(sketches), RESULT))
+        yield Sketches([tuple(r) for r in block.collect()], shingle, threshold)
+
+
+def decontamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
+                    item_text_col: str = "text", shingle: int = 5, threshold: float = 0.8) -> DataFrame:
+    """(doc_id, item_id, n_shingles, n_shared, containment): a row for each
+    document and item that leaks into it."""
+    ship_package(docs.sparkSession)
+    rows = docs.select(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`").cast("string"))
+    found = [rows.mapInArrow(_search(sketches), RESULT) for sketches in _blocks(items, item_id_col, item_text_col, shingle, threshold)]
     return reduce(DataFrame.unionByName, found)
+
+
+def without_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text",
+                  shingle: int = 5, threshold: float = 0.8) -> DataFrame:
+    """``docs`` without the rows that an item leaks into, by the same search."""
+    ship_package(docs.sparkSession)
+
+    def clean(sketches: Sketches):
+        def run(column: pa.Array) -> pa.Array:
+            out, texts, held = np.ones(len(column), bool), [], 0
+
+            def flush(end: int) -> None:
+                for d, *_ in sketches.leaks(texts):
+                    out[end - len(texts) + d] = False
+
+            for n, t in enumerate(column, 1):
+                texts.append((t.as_py() or "").lower())
+                held += len(texts[-1])
+                if held >= CHUNK:
+                    flush(n)
+                    texts, held = [], 0
+            flush(len(column))
+            return pa.array(out)
+
+        return F.arrow_udf(run, "boolean")
+
+    for sketches in _blocks(items, item_id_col, item_text_col, shingle, threshold):
+        docs = docs.filter(clean(sketches)(F.col(f"`{text_col}`").cast("string")))
+    return docs

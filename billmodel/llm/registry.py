@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from billmodel.llm.common import table
 from billmodel.llm.decontamination import decontamination
 from billmodel.llm.language_id import documents_language, pages_language
 from billmodel.llm.lm_score import lm_score
+from billmodel.llm.pii import pii
 from billmodel.llm.quality_rules import quality_rules
 from billmodel.llm.simhash_dedup import simhash_dedup
 from billmodel.llm.substring_dedup import substring_dedup
@@ -46,6 +48,13 @@ GROUP BY r, page_id, host, path
 """
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base spans counted and digested, and all
+    spans with those that the trained model adds."""
+    out = pii(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that a 20-word window with an earlier copy covers."""
     out = substring_dedup(table(spark, sf_dir, "documents"), length=20)
@@ -139,10 +148,15 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The document pipeline from raw documents to token ids."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filter, op3_substring_dedup, op4_simhash_dedup,
+    return {f.__name__: f for f in (op1_url_filter, op2_pii, op3_substring_dedup, op4_simhash_dedup,
                                     op5_decontamination, op6_language_id, language_id_pages, op7_lm_score,
-                                    op8_quality_rules, op9_suffix_dedup, op10_byte_bpe)}
+                                    op8_quality_rules, op9_suffix_dedup, op10_byte_bpe, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from billmodel.llm.common import CHUNK, arrow_rows, arrow_schema, checkpointed, join_counted, mixed, partitions, ship_package
@@ -267,3 +267,15 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     by_root = join_counted(placed.select("fp", "root", "n"), per_root, "root", "members", total)
     by_fp = by_root.select("fp", "component_id", "n")
     return join_counted(made, by_fp, "fp", "n", total).select("doc_id", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, bits: int = 3) -> DataFrame:
+    """``docs`` with the document of the least id of every group. Rows with the
+    same id and text are one document; a row without an id cannot be named as
+    another's copy and stays."""
+    groups = simhash_dedup(docs, id_col, text_col, shingle, bits)
+    first = groups.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_first")).distinct()
+    kept = docs.filter(F.col(f"`{id_col}`").isNotNull()).join(first, F.col(f"`{id_col}`") == F.col("_first"), "left_semi")
+    same = Window.partitionBy(f"`{id_col}`", F.xxhash64(f"`{text_col}`")).orderBy(*[F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)], F.lit(1))
+    kept = kept.withColumn("_copy", F.row_number().over(same)).filter("_copy = 1").drop("_copy")
+    return kept.unionByName(docs.filter(F.col(f"`{id_col}`").isNull()))
