@@ -7,12 +7,10 @@ checks and analyses over the written wide table, as users query it. Each
 query runs once to warm up and then ``$BENCH_RUNS`` times (default 3); the
 median is reported. Prints one JSON line.
 
-For reference, ``baseline`` holds the time of the original model's join form
-(self-joins on ``bb_id``, the OR join, FULL JOINs) building the same
-month-partitioned table from the same bill Parquet: on Spark
-(``tools/join_form.py``) and in DuckDB with the same thread count (the
-oracle's statement), i.e. a single-node SQL engine executing the model the way
-it was written. Neither is part of ``value``.
+For reference, ``baseline`` holds two other ways to the same table from the same
+bill Parquet: on Spark, the bill with every facet's view joined back to it
+(``tools/facet_joins.py``), and in DuckDB, with the same thread count, the
+oracle's rule tables. Neither is part of ``value``.
 """
 
 from __future__ import annotations
@@ -27,6 +25,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from billmodel import CostModel, read_cur  # noqa: E402
+from billmodel.operators.wide import PARTITION_COLUMN  # noqa: E402
 from billmodel.session import local_session  # noqa: E402
 from billmodel.sources.fixture import lineitem_bill  # noqa: E402
 from billmodel.sources.sink import read_wide_table, write_wide_table  # noqa: E402
@@ -36,7 +35,7 @@ def _noop(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def duckdb_join_form(cur_path: str, out_dir: str, cpus: int, runs: int) -> float | None:
+def duckdb_rules(cur_path: str, out_dir: str, cpus: int, runs: int) -> float | None:
     try:
         import duckdb
     except ImportError:
@@ -54,15 +53,16 @@ def duckdb_join_form(cur_path: str, out_dir: str, cpus: int, runs: int) -> float
     return round(statistics.median(samples[1:]), 3)
 
 
-def spark_join_form(spark, bill, out_dir: str) -> float:
-    """The same wide build in the original join form on Spark (one warm-up,
+def spark_facet_joins(spark, bill, out_dir: str) -> float:
+    """The bill with every facet joined back, written alike (one warm-up,
     one timed run: it is the slow side of the comparison)."""
-    from tools.join_form import join_form_wide
+    from tools.facet_joins import join_every_facet
 
     samples = []
     for i in range(2):
         t0 = time.perf_counter()
-        write_wide_table(join_form_wide(CostModel(bill)), os.path.join(out_dir, f"join-form-{i}"))
+        joined = join_every_facet(CostModel(bill)).withColumnRenamed("_bb_usage_year_month", PARTITION_COLUMN)
+        write_wide_table(joined, os.path.join(out_dir, f"join-form-{i}"))
         samples.append(time.perf_counter() - t0)
     return round(samples[-1], 3)
 
@@ -113,8 +113,8 @@ def main() -> None:
             samples.append(time.perf_counter() - t0)
         times[name] = round(statistics.median(samples), 3)
     baseline = {}
-    for key, run in (("spark_join_form_wide_build", lambda: spark_join_form(spark, bill, scratch)),
-                     ("duckdb_join_form_wide_build", lambda: duckdb_join_form(cur_path, scratch, int(cpus), runs))):
+    for key, run in (("spark_facet_joins_wide_build", lambda: spark_facet_joins(spark, bill, scratch)),
+                     ("duckdb_rules_wide_build", lambda: duckdb_rules(cur_path, scratch, int(cpus), runs))):
         try:
             baseline[key] = run()
         except Exception as exc:  # a reference point must not cost the result line

@@ -217,14 +217,16 @@ def test_null_key_lines_get_no_facet_columns(spark):
                    (True, None, "AmazonEC2", None, Decimal("2"))]
 
 
-def test_single_pass_equals_join_form_on_spark(small_model):
-    """The wide table equals its join form (self-joins, OR join, FULL JOINs)."""
-    from tools.join_form import join_form_wide
-
-    wide = small_model.wide
-    joined = join_form_wide(small_model)
-    assert wide.columns == joined.columns
-    assert rows(joined) == rows(wide)
+def test_guarded_columns_equal_joined_facets(small_model):
+    """Every facet column, guarded in one pass, equals its view joined back."""
+    from billmodel.operators.facets import FACETS
+    from tools.facet_joins import join_every_facet
+
+    joined = join_every_facet(small_model)
+    names = [c for c in joined.columns if "__" in c]
+    one_pass = small_model.base.select("bb_id", *[
+        FACETS[f]().guarded(c).alias(f"{f}__{c}") for f, _, c in (n.partition("__") for n in names)])
+    assert rows(joined.select("bb_id", *names)) == rows(one_pass)
 
 
 def test_hourly_report_ignores_session_time_zone(spark):
