@@ -139,7 +139,9 @@ def _common_with_smaller(position: np.ndarray, lcp: np.ndarray) -> np.ndarray:
 
 
 class _Segments:
-    """The different segments around a part's repeated anchors, by first place."""
+    """The different segments around a part's repeated anchors, each with its
+    first place. ``pieces`` and what goes with it is in the order of the segments
+    themselves: the rows of a part may arrive in another order in another pass."""
 
     def __init__(self, part_table: pa.Table, repeated: np.ndarray, length: int, k: int):
         self.index: dict[bytes, int] = {}
@@ -147,12 +149,18 @@ class _Segments:
         self.ids: list[int] = []
         self.starts: list[int] = []
         self.often: list[int] = []
+        #: for each block of texts: (start in the block, segment, place) of its runs
+        self.blocks: list[list[tuple[int, int, tuple[int, int]]]] = []
         for doc_ids, texts in part_documents(part_table.column("docs")):
-            data, runs, doc, offset, seeds = self.runs(texts, repeated, length, k)
-            ids = ordered_ids(id_array(doc_ids)).tolist()
-            for f, t, a, d in zip(seeds.first[runs].tolist(), (seeds.last[runs] + length).tolist(), seeds.anchor[runs].tolist(), doc.tolist()):
+            data, (values, doc) = b"".join(texts), _cut(texts)
+            seeds = Seeds(values, doc, length, k)
+            runs = np.flatnonzero(is_in(seeds.anchor, repeated))
+            offset = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).tolist()
+            ids, block = ordered_ids(id_array(doc_ids)).tolist(), []
+            for f, t, a, d in zip(seeds.first[runs].tolist(), (seeds.last[runs] + length).tolist(), seeds.anchor[runs].tolist(), doc[seeds.first[runs]].tolist()):
                 piece, place = data[f:t], (ids[d], f - offset[d])
                 at = self.index.setdefault(piece, len(self.index))
+                block.append((f, at, place))
                 if at == len(self.anchors):
                     self.anchors.append(a)
                     self.ids.append(place[0])
@@ -162,14 +170,12 @@ class _Segments:
                     self.often[at] = 1
                     if place < (self.ids[at], self.starts[at]):
                         self.ids[at], self.starts[at] = place
-
-    @staticmethod
-    def runs(texts: list[bytes], repeated: np.ndarray, length: int, k: int):
-        values, doc = _cut(texts)
-        seeds = Seeds(values, doc, length, k)
-        runs = np.flatnonzero(is_in(seeds.anchor, repeated))
-        offset = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).tolist()
-        return b"".join(texts), runs, doc[seeds.first[runs]], offset, seeds
+            self.blocks.append(block)
+        self.pieces = sorted(self.index)
+        order = [self.index[p] for p in self.pieces]
+        self.anchors, self.ids, self.starts, self.often = ([x[i] for i in order] for x in (self.anchors, self.ids, self.starts, self.often))
+        moved = {old: new for new, old in enumerate(order)}
+        self.blocks = [[(f, moved[at], place) for f, at, place in block] for block in self.blocks]
 
 
 def _send_segments(length: int, k: int, buckets: int):
@@ -177,7 +183,7 @@ def _send_segments(length: int, k: int, buckets: int):
         if not part_table.num_rows:
             return arrow_rows(SEGMENTS, [])
         s = _Segments(part_table, told(answers, ANCHORS), length, k)
-        pieces, anchors = list(s.index), np.array(s.anchors, np.uint64)
+        pieces, anchors = s.pieces, np.array(s.anchors, np.uint64)
         ids, starts, often = (np.array(x, np.uint64) for x in (s.ids, s.starts, s.often))
         rows, part, press = [], part_of(part_table), zstandard.ZstdCompressor(level=1)
         for b, at in dealt(anchors, buckets):
@@ -271,8 +277,20 @@ def _sort_segments(groups, pieces, ids, starts, often, codes, length) -> None:
     again = suffixes.next_factor() >= length
     again |= np.repeat(np.array([often[i] for i in members], bool), windows)
     code = np.where(later, LATER, np.where(again, FIRST, UNIQUE)).astype(np.uint8)
+    least, most = np.minimum.reduceat(code, edge[:-1]).tolist(), np.maximum.reduceat(code, edge[:-1]).tolist()
     for n, i in enumerate(members.tolist()):
-        codes[i] = code[edge[n] : edge[n + 1]].tobytes()
+        codes[i] = least[n] if least[n] == most[n] else code[edge[n] : edge[n + 1]].tobytes()
+
+
+def _covered(code: int | np.ndarray, least: int, windows: int, length: int) -> list[tuple[int, int]]:
+    """Stretches of a segment under windows whose code is ``least`` or more."""
+    if isinstance(code, int):
+        return [(0, windows - 1 + length)] if code >= least else []
+    hit = np.flatnonzero(code >= least)
+    if not len(hit):
+        return []
+    new = np.flatnonzero(np.diff(hit) > 1)
+    return list(zip(hit[np.concatenate([[0], new + 1])].tolist(), (hit[np.concatenate([new, [-1]])] + length).tolist()))
 
 
 def _cut_out(length: int, k: int, keep_first: bool, buckets: int, with_bytes: bool):
@@ -284,39 +302,31 @@ def _cut_out(length: int, k: int, keep_first: bool, buckets: int, with_bytes: bo
             return arrow_rows(RESULT, out)
         repeated = told(answers, ANCHORS)
         s = _Segments(part_table, repeated, length, k)
-        pieces = list(s.index)
-        codes: list = [UNIQUE] * len(pieces)
+        codes: list = [UNIQUE] * len(s.pieces)
         bodies = {int.from_bytes((raw := b.as_py())[:4], "little"): raw[4:] for kind, b in zip(answers.column("kind"), answers.column("body")) if kind.as_py() == CODES}
         for b, at in dealt(np.array(s.anchors, np.uint64), buckets):
             raw = zstandard.ZstdDecompressor().decompress(bodies[b])
             end = len(at)
             for n, i in enumerate(at.tolist()):
                 if raw[n] == 3:
-                    size = len(pieces[i]) - length + 1
+                    size = len(s.pieces[i]) - length + 1
                     codes[i] = np.frombuffer(raw, np.uint8, size, end)
                     end += size
                 else:
                     codes[i] = raw[n]
-        del pieces
-        for doc_ids, texts in part_documents(part_table.column("docs")):
-            data, runs, doc, offset, seeds = s.runs(texts, repeated, length, k)
-            ids = ordered_ids(id_array(doc_ids)).tolist()
+        usual = [_covered(c, FIRST, len(p) - length + 1, length) for c, p in zip(codes, s.pieces)]
+        places = list(zip(s.ids, s.starts))
+        for (doc_ids, texts), block in zip(part_documents(part_table.column("docs")), s.blocks):
             froms, tos = [], []
-            for f, t, d in zip(seeds.first[runs].tolist(), (seeds.last[runs] + length).tolist(), doc.tolist()):
-                i = s.index[data[f:t]]
-                code = codes[i]
-                least = FIRST
-                if keep_first and s.often[i] >= 0 and (ids[d], f - offset[d]) == (s.ids[i], s.starts[i]):
-                    least = LATER  # the part's first place of this segment
-                    s.often[i] = -1
-                if isinstance(code, int):
-                    if code >= least:
-                        froms.append(f)
-                        tos.append(t)
-                else:
-                    hit = f + np.flatnonzero(code >= least)
-                    froms += hit.tolist()
-                    tos += (hit + length).tolist()
+            for f, i, place in block:
+                cut = usual[i]
+                if cut and keep_first and place == places[i]:  # the part's first place of this segment
+                    cut, places[i] = _covered(codes[i], LATER, len(s.pieces[i]) - length + 1, length), None
+                for a, b in cut:
+                    froms.append(f + a)
+                    tos.append(f + b)
+            data = b"".join(texts)
+            offset = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).tolist()
             cover = np.zeros(len(data) + 1, np.int32)
             np.add.at(cover, froms, 1)
             np.add.at(cover, tos, -1)
