@@ -3,9 +3,10 @@
 Nothing here is cached or collected: each property is a logical plan that
 Catalyst optimises with whatever consumes it (column pruning reaches the
 Parquet scan through the wide projection). The one eager step: building
-``wide`` (or the EMR lookup) runs a small job that checkpoints the EMR
-cluster-name dimension and counts it up to its broadcast bound, to pick the
-join. Persist or write ``wide`` when several reports share it.
+``wide`` (or the EMR lookup) measures the size of the EMR cluster-name
+dimension, to pick the join; reports that do not show the name use
+``unnamed_wide`` and start nothing. Persist or write ``wide`` when several
+reports share it.
 """
 
 from __future__ import annotations
@@ -23,23 +24,23 @@ from .sources.cur import conform, finalised
 
 class CostModel:
     def __init__(self, bill: DataFrame, *, fill_unused: bool = False, fee_grain: str = "row",
-                 rds_only: bool = False, emr_broadcast_rows: int | None = None,
+                 rds_only: bool = False, emr_broadcast_bytes: int | None = None,
                  wide: DataFrame | None = None):
         """``wide`` may be the already written wide table (``sources.sink``);
         reports and checks then read it instead of rebuilding it."""
         self.bill = conform(bill)
         if wide is not None:
-            self.__dict__["wide"] = wide
+            self.__dict__["wide"] = self.__dict__["unnamed_wide"] = wide
         self.fill_unused = fill_unused
         self.fee_grain = fee_grain
         self.rds_only = rds_only
-        self.emr_broadcast_rows = emr_broadcast_rows
+        self.emr_broadcast_bytes = emr_broadcast_bytes
 
     def with_options(self, **options) -> "CostModel":
         """The same bill under other options (``fill_unused``, ``fee_grain``,
-        ``rds_only``, ``emr_broadcast_rows``)."""
+        ``rds_only``, ``emr_broadcast_bytes``)."""
         current = {"fill_unused": self.fill_unused, "fee_grain": self.fee_grain, "rds_only": self.rds_only,
-                   "emr_broadcast_rows": self.emr_broadcast_rows}
+                   "emr_broadcast_bytes": self.emr_broadcast_bytes}
         current.update(options)
         return CostModel(self.bill, **current)
 
@@ -75,29 +76,36 @@ class CostModel:
         return emr.emr_cluster_names(self.base)
 
     def emr_name_lookup(self) -> DataFrame:
-        return emr.emr_name_lookup(self.base, self.emr_broadcast_rows)
+        return emr.emr_name_lookup(self.base, self.emr_broadcast_bytes)
 
     # the wide table
     @cached_property
     def wide(self) -> DataFrame:
         return wide_costs(self.base, fill_unused=self.fill_unused, fee_grain=self.fee_grain,
-                          rds_only=self.rds_only, emr_broadcast_rows=self.emr_broadcast_rows)
+                          rds_only=self.rds_only, emr_broadcast_bytes=self.emr_broadcast_bytes)
+
+    @cached_property
+    def unnamed_wide(self) -> DataFrame:
+        """The wide table without the EMR cluster name, for all that does not
+        read it: no name dimension, no lookup, nothing eager."""
+        return wide_costs(self.base, fill_unused=self.fill_unused, fee_grain=self.fee_grain,
+                          rds_only=self.rds_only, with_names=False)
 
     # report, checks, profile
     def ec2_hourly_usage(self, by_account: bool = False) -> DataFrame:
-        return report.ec2_hourly_usage(self.wide, by_account)
+        return report.ec2_hourly_usage(self.unnamed_wide, by_account)
 
     def qc_total(self) -> DataFrame:
-        return quality.qc_total(self.wide, self.bill)
+        return quality.qc_total(self.unnamed_wide, self.bill)
 
     def qc_by_service(self) -> DataFrame:
-        return quality.qc_by_service(self.wide, self.bill)
+        return quality.qc_by_service(self.unnamed_wide, self.bill)
 
     def qc_savings_plans(self) -> DataFrame:
-        return quality.qc_savings_plans(self.wide, self.bill)
+        return quality.qc_savings_plans(self.unnamed_wide, self.bill)
 
     def qc_reserved(self) -> DataFrame:
-        return quality.qc_reserved(self.wide, self.base)
+        return quality.qc_reserved(self.unnamed_wide, self.base)
 
     def key_check(self) -> DataFrame:
         return quality.key_check(self.base)
@@ -109,7 +117,10 @@ class CostModel:
         return profile.dict_usage_type(self.bill)
 
     # analyses
-    def analysis(self, name: str) -> DataFrame:
+    def analysis(self, name: str, **options) -> DataFrame:
+        """D1-D10 by name; ``tag`` picks another tag column for D3-D5."""
+        if name == "parent_service_rollup":
+            return analyses.parent_service_rollup(self.wide)
         if name == "commitment_utilisation":
-            return analyses.commitment_utilisation(self.wide, self.ri_unused)
-        return getattr(analyses, name)(self.wide)
+            return analyses.commitment_utilisation(self.unnamed_wide, self.ri_unused)
+        return getattr(analyses, name)(self.unnamed_wide, **options)

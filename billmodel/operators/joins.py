@@ -1,10 +1,8 @@
 """Size-checked broadcast for lookup tables derived from the bill.
 
-A dimension derived from the bill (e.g. EMR cluster names) grows with the
-data, slowly. It is materialised once with ``checkpoint()`` into the
-cluster's shared ``spark.checkpoint.dir`` (so the size check and the join read
-the same result and the scan behind it runs once), then broadcast only if it
-holds at most ``max_rows`` rows; beyond that the caller takes a shuffle join.
+A dimension derived from the bill (e.g. EMR cluster names) grows with the data,
+slowly. It is broadcast only if its measured size in bytes is within a bound;
+beyond that the caller takes a shuffle join.
 """
 
 from __future__ import annotations
@@ -12,35 +10,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
-
-DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 64 << 20
 # Session setting that overrides the default bound (no code change needed).
-BROADCAST_ROWS_CONF = "spark.billmodel.emrBroadcastRows"
-
-
-def broadcast_bound(df: DataFrame, max_rows: int | None) -> int:
-    """``max_rows`` if given, else the session setting, else the default."""
-    if max_rows is not None:
-        return max_rows
-    value = df.sparkSession.conf.get(BROADCAST_ROWS_CONF, None)
-    return int(value) if value else DEFAULT_BROADCAST_ROWS
-
-
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it from there."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+BROADCAST_BYTES_CONF = "spark.billmodel.emrBroadcastBytes"
+#: Bytes that a row of a broadcast table takes besides its texts.
+ROW_BYTES = 48
 
 
-def sized(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
-    """``(materialised df, fits)``: ``fits`` when it has at most the bound's rows."""
-    bound = broadcast_bound(df, max_rows)
-    df = materialise(df)
-    return df, df.limit(bound + 1).count() <= bound
+def broadcast_bound(df: DataFrame, max_bytes: int | None) -> int:
+    """``max_bytes`` if given, else the session setting, else the default."""
+    if max_bytes is not None:
+        return max_bytes
+    value = df.sparkSession.conf.get(BROADCAST_BYTES_CONF, None)
+    return int(value) if value else DEFAULT_BROADCAST_BYTES
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
-    """The materialised ``df``, broadcast-hinted when it fits in ``max_rows``."""
-    df, fits = sized(df, max_rows)
-    return (F.broadcast(df) if fits else df), fits
+def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
+    """Whether a table of texts is within the bound (one small job)."""
+    width = F.lit(ROW_BYTES)
+    for c in df.columns:
+        width = width + F.coalesce(F.octet_length(c), F.lit(0))
+    return (df.agg(F.sum(width.cast("long"))).first()[0] or 0) <= broadcast_bound(df, max_bytes)

@@ -53,9 +53,9 @@ def _facets(rds_only: bool) -> dict:
     return fs
 
 
-def _with_cluster_names(base: DataFrame, fs: dict, emr_broadcast_rows: int | None,
-                        names_base: DataFrame | None = None) -> DataFrame:
-    """Kept base rows plus the EMR name lookup (``_emr_*`` columns).
+def _with_cluster_names(base: DataFrame, fs: dict, names: DataFrame | None, max_bytes: int | None) -> DataFrame:
+    """Kept base rows plus the EMR name lookup (``_emr_*`` columns; without
+    ``names`` only the candidate ids).
 
     The lookups run on the narrow base rows, before the wide projection, so
     the joins stay inside whole-stage code generation and the wide row is
@@ -68,12 +68,10 @@ def _with_cluster_names(base: DataFrame, fs: dict, emr_broadcast_rows: int | Non
         other.guarded("bb_emr_cluster_id").alias("_emr_tag_id"),
         fee.guarded("bb_emr_cluster_id").alias("_emr_fee_id"),
     )
-    dim = emr.cluster_name_by_id(base if names_base is None else names_base)
-    return emr.attach_cluster_names(kept, dim, "_emr_tag_id", "_emr_fee_id", emr_broadcast_rows)
+    return kept if names is None else emr.attach_cluster_names(kept, names, "_emr_tag_id", "_emr_fee_id", max_bytes)
 
 
-def _base_rows(base: DataFrame, rds_only: bool, emr_broadcast_rows: int | None = None,
-               names_base: DataFrame | None = None) -> DataFrame:
+def _base_rows(base: DataFrame, rds_only: bool, names: DataFrame | None, max_bytes: int | None) -> DataFrame:
     """Model columns of every kept base row: one projection over one scan."""
     fs = _facets(rds_only)
     ebs, ec2, od, spot, ri, sp = (fs[k] for k in ("ebs", "ec2", "ec2_on_demand", "ec2_spot", "ri_used", "sp_used"))
@@ -144,51 +142,52 @@ def _base_rows(base: DataFrame, rds_only: bool, emr_broadcast_rows: int | None =
         "bb_elb_usage_type": elb.guarded("bb_elb_usage_type"),
         "bb_elb_type": elb.guarded("bb_elb_type"),
     }
-    rows = _with_cluster_names(base, fs, emr_broadcast_rows, names_base)
+    if names is None:
+        del model["bb_emr_cluster_name"]
+    rows = _with_cluster_names(base, fs, names, max_bytes)
     return rows.select(
         c("bb_id"),
-        *[model[n].alias(n) for n in WIDE_MODEL_COLUMNS[1:]],
+        *[model[n].alias(n) for n in WIDE_MODEL_COLUMNS if n in model],
         *[c(n) for n in base.columns if n != "bb_id"],
         c("_bb_usage_year_month").alias(PARTITION_COLUMN),
     )
 
 
 def _leftover_rows(base: DataFrame, fill_unused: bool, fee_grain: str) -> DataFrame:
-    spu = commitments.sp_unused(base, fill_unused=fill_unused, fee_grain=fee_grain).select(
+    """Leftover rows of both kinds, from one pass over the fees and one over the usage."""
+    left = commitments.unused(base, ("ri", "sp"), fill_unused=fill_unused, fee_grain=fee_grain)
+    sp, ri = F.col("kind") == "sp", F.col("kind") == "ri"
+    return left.select(
         "bb_id",
-        F.col("bb_sp_cost_unused").alias("bb_cost"),
-        F.col("_bb_service").alias("bb_service"),
-        F.col("_bb_service").alias("bb_parent_service"),
-        "bb_sp_arn",
-        "bb_sp_cost_unused",
-        "bb_sp_cost_type",
-        F.col("_bb_usage_date").alias("bb_usage_date"),
-        F.col("_bb_usage_year_month").alias(PARTITION_COLUMN),
+        F.col("cost").alias("bb_cost"),
+        F.col("service").alias("bb_service"),
+        F.col("service").alias("bb_parent_service"),
+        F.when(sp, F.col("arn")).alias("bb_sp_arn"),
+        F.when(sp, F.col("cost")).alias("bb_sp_cost_unused"),
+        F.when(sp, F.lit("Unused")).alias("bb_sp_cost_type"),
+        F.when(ri, F.lit("Unused")).alias("bb_ri_cost_type"),
+        F.col("day").alias("bb_usage_date"),
+        F.col("month").alias(PARTITION_COLUMN),
     )
-    riu = commitments.ri_unused(base, fee_grain=fee_grain).select(
-        "bb_id",
-        "bb_cost",
-        F.col("_bb_service").alias("bb_service"),
-        F.col("_bb_service").alias("bb_parent_service"),
-        "bb_ri_cost_type",
-        F.col("_bb_usage_date").alias("bb_usage_date"),
-        F.col("_bb_usage_year_month").alias(PARTITION_COLUMN),
-    )
-    return spu.unionByName(riu, allowMissingColumns=True)
 
 
 def wide_costs(base: DataFrame, *, fill_unused: bool = False, fee_grain: str = "row",
-               rds_only: bool = False, emr_broadcast_rows: int | None = None,
-               emr_names_base: DataFrame | None = None) -> DataFrame:
+               rds_only: bool = False, emr_broadcast_bytes: int | None = None,
+               emr_names: DataFrame | None = None, with_names: bool = True) -> DataFrame:
     """The wide cost table (``bb_bwt_costs``) from the base bill (``base_costs``).
 
     Options default to the model's behaviour: ``fill_unused`` (COALESCE a
     day without savings-plan usage to 0), ``fee_grain='group'`` (sum fee rows
     per commitment and period before subtracting), ``rds_only`` (fill the RDS
-    columns on AmazonRDS lines only). ``emr_names_base`` takes the cluster
-    names from another (wider) base, e.g. the whole bill when ``base`` holds
-    only the months being refreshed.
+    columns on AmazonRDS lines only). ``emr_names`` is a dimension of one name
+    per cluster id (``emr.cluster_name_by_id``), for instance of the whole bill
+    when ``base`` holds only some months. ``with_names=False`` leaves the EMR
+    name column out, and with it the dimension: nothing runs before the plan is
+    used, for the many reports that do not read the name.
     """
-    rows = _base_rows(base, rds_only, emr_broadcast_rows, emr_names_base)
+    names = None
+    if with_names:
+        names = emr.cluster_name_by_id(base) if emr_names is None else emr_names
+    rows = _base_rows(base, rds_only, names, emr_broadcast_bytes)
     order = rows.columns
     return rows.unionByName(_leftover_rows(base, fill_unused, fee_grain), allowMissingColumns=True).select(*order)

@@ -16,9 +16,14 @@ from ..sources.cur import DEPARTMENT_TAG
 MONTH = "bb_usage_year_month"
 
 
-def _department() -> Column:
-    """The department tag, NULL when untagged (missing or blank)."""
-    return F.nullif(F.col(DEPARTMENT_TAG), F.lit(""))
+def _tag(column: str) -> Column:
+    """A tag's value, NULL when untagged (missing or blank)."""
+    return F.nullif(F.col(column), F.lit(""))
+
+
+def tag_name(column: str) -> str:
+    """Name of a tag column in results: ``resource_tags_user_x`` gives ``x``."""
+    return column.removeprefix("resource_tags_user_")
 
 
 def monthly_cost(wide: DataFrame) -> DataFrame:
@@ -35,27 +40,27 @@ def credit_offset(wide: DataFrame) -> DataFrame:
     )
 
 
-def department_by_service(wide: DataFrame) -> DataFrame:
-    """D3: cost per department and service."""
-    return (wide.groupBy(_department().alias("department"), "bb_service")
+def department_by_service(wide: DataFrame, tag: str = DEPARTMENT_TAG) -> DataFrame:
+    """D3: cost per department (or the value of another tag) and service."""
+    return (wide.groupBy(_tag(tag).alias(tag_name(tag)), "bb_service")
             .agg(F.sum("bb_cost").alias("cost")))
 
 
-def department_share(wide: DataFrame) -> DataFrame:
-    """Each department's share of the total cost, in percent."""
-    per_dept = wide.groupBy(_department().alias("department")).agg(F.sum("bb_cost").alias("cost"))
+def department_share(wide: DataFrame, tag: str = DEPARTMENT_TAG) -> DataFrame:
+    """Each department's (or tag value's) share of the total cost, in percent."""
+    per_dept = wide.groupBy(_tag(tag).alias(tag_name(tag))).agg(F.sum("bb_cost").alias("cost"))
     # The total comes from the aggregate itself: the subquery reuses its
     # exchange, so the wide table is read once.
     total = per_dept.select(F.sum("cost")).scalar()
     return per_dept.select(
-        "department", "cost",
+        tag_name(tag), "cost",
         (F.col("cost").cast("double") * 100 / total.cast("double")).alias("share_pct"),
     )
 
 
-def untagged_cost(wide: DataFrame) -> DataFrame:
-    """Per month, the cost carrying no department tag and the total."""
-    untagged = F.when(_department().isNull(), F.col("bb_cost"))
+def untagged_cost(wide: DataFrame, tag: str = DEPARTMENT_TAG) -> DataFrame:
+    """Per month, the cost carrying no department (or other) tag and the total."""
+    untagged = F.when(_tag(tag).isNull(), F.col("bb_cost"))
     return wide.groupBy(MONTH).agg(
         F.coalesce(F.sum(untagged), F.lit(0)).alias("untagged_cost"),
         F.sum("bb_cost").alias("total_cost"),

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from ..model import CostModel
 from ..operators.facets import FACETS
 from ..sources.fixture import lineitem_bill
+from .views import publish_views
 
 
 def edge(df: DataFrame) -> DataFrame:
@@ -90,17 +91,46 @@ def model_queries() -> dict[str, Callable[[CostModel], DataFrame]]:
         "wide_costs_filled": lambda m: m.with_options(fill_unused=True).wide,
         "wide_costs_grouped": lambda m: m.with_options(fee_grain="group").wide,
         # The EMR name lookup beyond its broadcast bound (shuffle joins).
-        "wide_costs_names_shuffled": lambda m: m.with_options(emr_broadcast_rows=0).wide,
-        "emr_name_lookup_shuffled": lambda m: m.with_options(emr_broadcast_rows=0).emr_name_lookup(),
+        "wide_costs_names_shuffled": lambda m: m.with_options(emr_broadcast_bytes=0).wide,
+        "emr_name_lookup_shuffled": lambda m: m.with_options(emr_broadcast_bytes=0).emr_name_lookup(),
         "key_check": lambda m: m.key_check(),
         "dict_line_item_type": lambda m: m.dict_line_item_type(),
         "dict_usage_type": lambda m: m.dict_usage_type(),
     })
     for name in ANALYSES:
         q[name] = _analysis(name)
+    business = "resource_tags_user_business"
+    q.update({
+        "business_by_service": lambda m: m.analysis("department_by_service", tag=business),
+        "business_share": lambda m: m.analysis("department_share", tag=business),
+        "untagged_business_cost": lambda m: m.analysis("untagged_cost", tag=business),
+        "qc_by_service_drifted": _drifted,
+        "wide_costs_untyped": lambda m: CostModel(untyped(m.bill)).wide,
+        "published_monthly_cost": _published,
+    })
     return q
 
 
+def _drifted(m: CostModel) -> DataFrame:
+    """Q2 over a wide table whose tax lines no longer agree with the bill."""
+    tampered = F.when(F.col("line_item_line_item_type") == "Tax", F.col("bb_cost") + 1).otherwise(F.col("bb_cost"))
+    return CostModel(m.bill, wide=m.unnamed_wide.withColumn("bb_cost", tampered)).qc_by_service()
+
+
+def untyped(bill: DataFrame) -> DataFrame:
+    """The bill as a loosely typed export holds it: money as doubles, times in
+    the session's zone."""
+    return bill.withColumns({
+        f.name: F.col(f.name).cast("double") if isinstance(f.dataType, T.DecimalType) else F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col(f.name)).cast("timestamp")
+        for f in bill.schema.fields if isinstance(f.dataType, (T.DecimalType, T.TimestampNTZType))})
+
+
+def _published(m: CostModel) -> DataFrame:
+    """Monthly cost asked for in SQL, by the name of the published view."""
+    publish_views(m)
+    return m.bill.sparkSession.sql("SELECT bb_usage_year_month, SUM(bb_cost) AS total_cost FROM bb_bwt_costs GROUP BY bb_usage_year_month")
+
+
 def registered_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query over the bill derived from ``<sf_dir>/lineitem.parquet``."""
     return {name: _q(fn) for name, fn in model_queries().items()}

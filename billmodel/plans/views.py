@@ -12,6 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..model import CostModel
+from ..sources.sink import write_wide_table
+
+WIDE_VIEW = "bb_bwt_costs"
 
 # The view names of the original model, with the facet each
 # one shows.
@@ -63,3 +66,17 @@ def publish_views(model: CostModel) -> list[str]:
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     return list(views)
+
+
+def publish_tables(model: CostModel, path: str, database: str | None = None) -> list[str]:
+    """Write every view of the model under ``path`` and name it in the catalog,
+    where other sessions find it; the wide table is partitioned by month."""
+    out = []
+    for name, df in model_views(model).items():
+        table = f"{database}.{name}" if database else name
+        if name == WIDE_VIEW:
+            write_wide_table(df, f"{path}/{name}", table=table)
+        else:
+            df.write.mode("overwrite").option("path", f"{path}/{name}").saveAsTable(table)
+        out.append(table)
+    return out

@@ -31,12 +31,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when it is unset (local tests) a scratch folder is created and set.
+    Only when it is unset on a local master (tests) a scratch folder is created
+    and set; on a cluster that is an error, as executors could not share it.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
-        # Unset only in local runs and tests: a scratch folder stands in.
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        # Unset in a local run or a test: a scratch folder stands in.
         current = tempfile.mkdtemp(prefix="billmodel-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)

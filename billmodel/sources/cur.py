@@ -1,5 +1,10 @@
 """Reading the cost-and-usage export (A1, A2, A3).
 
+Types are enforced: money and amounts that are not DECIMAL become
+``MONEY`` (wide enough for any amount of a bill; a value beyond it is an error,
+never cut off), and times become zone-less UTC, whatever the session's zone.
+DECIMAL columns keep their own scale.
+
 The export is schema-on-read and service dependent: accounts without reserved
 instances have no reservation columns, tags appear only once activated. The
 model reads a fixed subset of columns; ``conform`` adds any of them that are
@@ -9,8 +14,9 @@ narrower export. All other columns pass through untouched.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 # The bill columns the model reads, with the type used when a
@@ -56,17 +62,32 @@ REQUIRED_COLUMNS: dict[str, str] = {
     "resource_tags_aws_elasticmapreduce_instance_group_role": "string",
 }
 
+MONEY = "decimal(38,12)"
+
 # The tag the department analyses group on (activated by the user).
 DEPARTMENT_TAG = "resource_tags_user_department"
 
 
 def conform(df: DataFrame, extra: dict[str, str] | None = None) -> DataFrame:
-    """Add every required column the export lacks as a typed NULL column."""
+    """Every required column the export lacks as a typed NULL column, and the
+    others in the model's types."""
     wanted = dict(REQUIRED_COLUMNS)
     wanted.update(extra or {DEPARTMENT_TAG: "string"})
-    present = set(df.columns)
-    missing = [F.lit(None).cast(t).alias(n) for n, t in wanted.items() if n not in present]
-    return df.select("*", *missing) if missing else df
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    out = [_typed(n, kinds[n], wanted.get(n)).alias(n) for n in df.columns]
+    missing = [F.lit(None).cast(MONEY if t == "double" else t).alias(n) for n, t in wanted.items() if n not in kinds]
+    return df.select(*out, *missing)
+
+
+def _typed(name: str, kind: T.DataType, wanted: str | None) -> Column:
+    c = F.col(f"`{name}`")
+    if wanted == "double" and not isinstance(kind, T.DecimalType):
+        return c.cast(MONEY)
+    if wanted == "timestamp_ntz" and isinstance(kind, T.TimestampType):
+        return F.convert_timezone(None, F.lit("UTC"), c.cast("timestamp_ntz"))
+    if wanted == "timestamp_ntz" and isinstance(kind, T.StringType):
+        return F.regexp_replace(c, r"(Z|\+00:?00)$", "").cast("timestamp_ntz")
+    return c
 
 
 def read_cur(spark: SparkSession, path: str, *, merge_schema: bool = True,

@@ -2,10 +2,11 @@
 
 The driver tables hold no bill, so tests, the registry and the bench derive
 one: every ``lineitem`` row becomes one bill line whose shape comes from one
-of 48 archetype rows (picked by ``(7*orderkey + 3*linenumber + 11*partkey +
-suppkey) % 48``), and fee rows for reserved instances and savings plans are
-added per period and commitment, priced by a fixed rule that does not look at
-usage. The same construction is written in DuckDB SQL in
+of the archetype rows (picked by ``(7*orderkey + 3*linenumber + 11*partkey +
+suppkey)`` modulo their number). Every supplier stands for a commitment: fee
+rows of reserved instances (all suppliers, monthly) and savings plans (every
+fourth, daily) come from the ``supplier`` table, priced by its balance without a
+look at usage. The same construction is written in DuckDB SQL in
 ``billmodel.plans.oracle``.
 
 This module only produces input rows in the bill schema. None of the model's
@@ -76,6 +77,20 @@ ARCHETYPES: list[tuple] = [
     (45, "Usage", "3iq00ukl2p6hk970ch0km8jche", "", "", "", "", "", "", "", "", "", "", "", "", "", "seller", "", 1, ""),
     (46, "Tax", "AmazonEC2", "", "", "", "", "", "", "", "", "", "", "", "", "", "none", "", 1, ""),
     (47, "Usage", "AmazonEC2", "CNW1-BoxUsage:t3.2xlarge", "RunInstances", "Compute Instance", "AmazonEC2", "t3.2xlarge", "", "8", "Intel Xeon", "", "", "", "", "", "inst", "", 3, ""),
+    (48, "Credit", "AmazonEC2", "CNW1-BoxUsage:m5.large", "RunInstances", "Compute Instance", "AmazonEC2", "m5.large", "", "2", "Intel Xeon", "", "", "", "", "", "none", "", 1, "Promotional credit"),
+    (49, "Fee", "AWSSupportBusiness", "CNW1-Support", "", "", "", "", "", "", "", "", "", "", "", "", "none", "", 1, "One-time fee"),
+    (50, "Refund", "AmazonS3", "CNW1-TimedStorage-ByteHrs", "StandardStorage", "Storage", "AmazonS3", "", "", "", "", "", "", "Standard", "", "", "bucket", "", 1, "Refund"),
+    (51, "Usage", "AmazonS3", "CNW1-TimedStorage-INT-IA-ByteHrs", "IntelligentTieringIAStorage", "Storage", "AmazonS3", "", "", "", "", "", "", "", "", "", "bucket", "", 1, ""),
+    (52, "Usage", "AmazonS3", "CNW1-TimedStorage-INT-AIA-ByteHrs", "IntelligentTieringAIAStorage", "Storage", "AmazonS3", "", "", "", "", "", "", "", "", "", "bucket", "", 1, ""),
+    (53, "Usage", "AmazonS3", "CNW1-TimedStorage-INT-AA-ByteHrs", "IntelligentTieringAAStorage", "Storage", "AmazonS3", "", "", "", "", "", "", "", "", "", "bucket", "", 1, ""),
+    (54, "Usage", "AmazonS3", "CNW1-TimedStorage-INT-DAA-ByteHrs", "IntelligentTieringDAAStorage", "Storage", "AmazonS3", "", "", "", "", "", "", "", "", "", "bucket", "", 1, ""),
+    (55, "Usage", "AmazonS3", "CNW1-TimedStorage-GDA-ByteHrs", "DeepArchiveStorage", "Storage", "AmazonS3", "", "", "", "", "", "", "", "", "", "bucket", "", 1, ""),
+    (56, "Usage", "AmazonS3", "CNW1-TimedStorage-GDA-Staging", "DeepArchiveStagingStorage", "Storage", "AmazonS3", "", "", "", "", "", "", "", "", "", "bucket", "", 1, ""),
+    (57, "Usage", "AmazonS3", "CNW1-TimedStorage-GDA-Overhead", "DeepArchiveS3ObjectOverhead", "Storage", "AmazonS3", "", "", "", "", "", "", "", "", "", "bucket", "", 1, ""),
+    (58, "Usage", "AmazonS3", "CNW1-TimedStorage-GDA-Index", "DeepArchiveObjectOverhead", "Storage", "AmazonS3", "", "", "", "", "", "", "", "", "", "bucket", "", 1, ""),
+    (59, "Usage", "AmazonS3", "CNW1-TimedStorage-XZ-ByteHrs", "ExpressOneZoneStorage", "Storage", "AmazonS3", "", "", "", "", "", "", "", "", "", "bucket", "", 1, ""),
+    (60, "Usage", "AmazonEC2", "CNW1-BoxUsage:m5.large", "RunInstances", "Compute Instance", "AmazonEC2", "m5.large", "", "2", "Intel Xeon", "", "", "", "", "", "inst", "", 0, "Line of no length"),
+    (61, "Usage", "ElasticMapReduce", "CNW1-BoxUsage:m5.large", "RunInstances", "Elastic Map Reduce Instance", "ElasticMapReduce", "m5.large", "", "", "", "", "", "", "", "", "emr", "flow", 1, ""),
 ]
 
 ARCHETYPE_FIELDS = [
@@ -85,25 +100,23 @@ ARCHETYPE_FIELDS = [
 ]
 
 # Fixed values of the fee rows: the billing period (2024-01-01 plus 181 days,
-# i.e. six months), 13 reserved-instance ARNs of which the last is never used,
-# 5 savings-plan ARNs of which the last is never used.
+# i.e. six months).
 PERIOD_START = "2024-01-01 00:00:00"
 PERIOD_DAYS = 181
 PERIOD_MONTHS = 6
-RI_ARNS = 13
-SP_ARNS = 5
+SP_EVERY = 4  # every fourth supplier has a savings plan
 RI_FEE_USAGE_TYPE = "CNW1-HeavyUsage:m5.large"
 SP_FEE_USAGE_TYPE = "CNW1-ComputeSP:1yrNoUpfront"
-# Fees: RI = 40 + 5 * arn number + month index; SP = 2 + arn number + 0.5 * (day index % 7).
+# Fees, b = the supplier's whole balance modulo 100: RI = 40 + b + month index;
+# SP = 2 + b + 0.5 * (day index % 7).
 RI_FEE_BASE = 40
-RI_FEE_STEP = 5
 SP_FEE_BASE = 2
 SP_FEE_DAY_STEP = "0.5"
 FEE_HOURS = 720
 
 DEC = T.DecimalType(18, 6)
 
-# Column order of the derived bill (the 38 model inputs plus a department tag).
+# Column order of the derived bill (the 38 model inputs plus two tags).
 BILL_COLUMNS = [
     "identity_line_item_id", "line_item_usage_start_date", "line_item_usage_end_date",
     "bill_invoice_id", "bill_billing_entity", "line_item_legal_entity",
@@ -120,7 +133,7 @@ BILL_COLUMNS = [
     "savings_plan_purchase_term", "resource_tags_user_name",
     "resource_tags_aws_elasticmapreduce_job_flow_id",
     "resource_tags_aws_elasticmapreduce_instance_group_role",
-    "resource_tags_user_department",
+    "resource_tags_user_department", "resource_tags_user_business",
 ]
 
 
@@ -143,9 +156,9 @@ def usage_lines(lineitem: DataFrame, arch: DataFrame) -> DataFrame:
     li = lineitem.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
         "l_extendedprice", "l_shipdate",
-        ((ok * 7 + ln * 3 + pk * 11 + sk) % 48).cast("int").alias("a_i"),
+        ((ok * 7 + ln * 3 + pk * 11 + sk) % len(ARCHETYPES)).cast("int").alias("a_i"),
     )
-    # 48 fixed rows: a bounded broadcast.
+    # The fixed archetype rows: a bounded broadcast.
     x = li.join(F.broadcast(arch), "a_i")
     typ = F.col("a_type")
     res = F.col("a_resource")
@@ -180,7 +193,7 @@ def usage_lines(lineitem: DataFrame, arch: DataFrame) -> DataFrame:
         "line_item_usage_account_id": F.concat(F.lit("acct-"), _s(sk % 5)),
         "line_item_usage_amount": F.when(F.col("a_hours") > 1, (F.col("a_hours") - F.lit(0.5)).cast(DEC)).otherwise(F.col("l_quantity").cast(DEC)),
         "line_item_unblended_cost": F.when(typ == "DiscountedUsage", F.lit(0).cast(DEC))
-        .when(typ.isin("Credit", "SavingsPlanNegation"), (-cost).cast(DEC))
+        .when(typ.isin("Credit", "Refund", "SavingsPlanNegation"), (-cost).cast(DEC))
         .otherwise(cost),
         "line_item_line_item_description": F.when(F.col("a_desc") != "", F.col("a_desc")).otherwise(F.concat(typ, F.lit(" "), F.col("a_usage"))),
         "pricing_lease_contract_length": F.when(typ == "DiscountedUsage", F.when(pk % 2 == 0, F.lit("1yr")).otherwise(F.lit("3yr"))).otherwise(F.lit("")),
@@ -198,14 +211,15 @@ def usage_lines(lineitem: DataFrame, arch: DataFrame) -> DataFrame:
         "product_volume_type": F.col("a_voltype"),
         "product_database_engine": F.col("a_engine"),
         "product_deployment_option": F.col("a_deploy"),
-        "reservation_reservation_a_r_n": F.when(typ == "DiscountedUsage", F.concat(F.lit("arn:ri/"), _s(pk % 12))).otherwise(F.lit("")),
+        "reservation_reservation_a_r_n": F.when(typ == "DiscountedUsage", F.concat(F.lit("arn:ri/"), _s(sk))).otherwise(F.lit("")),
         "reservation_effective_cost": F.when(typ == "DiscountedUsage", cost),
-        "savings_plan_savings_plan_a_r_n": F.when(is_sp, F.concat(F.lit("arn:sp/"), _s(pk % 4))).otherwise(F.lit("")),
+        "savings_plan_savings_plan_a_r_n": F.when(is_sp, F.concat(F.lit("arn:sp/"), _s(sk - sk % 4))).otherwise(F.lit("")),
         "savings_plan_savings_plan_effective_cost": F.when(typ == "SavingsPlanCoveredUsage", F.round(cost * F.lit(0.7).cast("decimal(2,1)"), 6).cast(DEC)),
         "savings_plan_purchase_term": F.when(is_sp, F.lit("1yr")).otherwise(F.lit("")),
-        "resource_tags_user_name": F.when((res == "emr") & (pk % 7 != 0), F.concat(F.lit("cluster-"), _s(pk % 10))).otherwise(F.lit("")),
+        "resource_tags_user_name": F.when((res == "emr") & (pk % 7 != 0), F.concat(F.lit("cluster-"), _s(pk % 20))).otherwise(F.lit("")),
         "resource_tags_aws_elasticmapreduce_job_flow_id": F.when(F.col("a_tag") == "flow", F.concat(F.lit("j-C"), _s(pk % 12))).otherwise(F.lit("")),
         "resource_tags_aws_elasticmapreduce_instance_group_role": F.when(F.col("a_tag").isin("flow", "role"), F.lit("CORE")).otherwise(F.lit("")),
+        "resource_tags_user_business": F.when(ln % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("unit-"), _s(pk % 6))),
         "resource_tags_user_department": F.when(ok % 5 == 0, F.lit("")).when(ok % 5 == 1, F.lit(None).cast("string")).otherwise(F.concat(F.lit("dept-"), _s(ok % 4))),
     }
     return x.select(*[c.alias(n) for n, c in cols.items()])
@@ -251,30 +265,27 @@ def _fee_rows(period: DataFrame, arn_col: str, prefix: str, fee_type: str,
     return period.select(*[cols[n].alias(n) for n in BILL_COLUMNS])
 
 
-def fee_lines(spark: SparkSession) -> DataFrame:
-    """RIFee rows per (month, RI arn) and recurring-fee rows per (day, SP arn).
-
-    Fees follow a fixed rule of the period index and the commitment number and
-    do not look at usage: the model finds what was used and what is left.
-    """
+def fee_lines(supplier: DataFrame) -> DataFrame:
+    """RIFee rows per (month, supplier) and recurring-fee rows per (day, every
+    fourth supplier): the model finds what was used of them and what is left."""
     base = F.lit(PERIOD_START).cast("timestamp_ntz")
-    k = F.col("n")
+    k = F.col("s_suppkey")
+    balance = (F.floor(F.abs("s_acctbal")).cast("long") % 100).alias("b")
+
+    def periods(rows: DataFrame, count: int) -> DataFrame:
+        return rows.select(k, balance, F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias("i"))
+
     months = (
-        spark.range(PERIOD_MONTHS)
-        .select((base + F.make_ym_interval(months=F.col("id").cast("int"))).alias("start"), "id",
-                F.explode(F.sequence(F.lit(0), F.lit(RI_ARNS - 1))).alias("n"))
-        .select("start", F.date_format("start", "yyyy-MM").alias("label"),
-                F.concat(F.lit("arn:ri/"), _s(k)).alias("arn"),
-                (F.lit(RI_FEE_BASE) + F.lit(RI_FEE_STEP) * k + F.col("id")).cast(DEC).alias("fee"))
+        periods(supplier, PERIOD_MONTHS)
+        .select((base + F.make_ym_interval(months=F.col("i"))).alias("start"), k, "b", "i")
+        .select("start", F.date_format("start", "yyyy-MM").alias("label"), F.concat(F.lit("arn:ri/"), _s(k)).alias("arn"),
+                (F.lit(RI_FEE_BASE) + F.col("b") + F.col("i")).cast(DEC).alias("fee"))
     )
     days = (
-        spark.range(PERIOD_DAYS)
-        .select((base + F.make_dt_interval(days=F.col("id").cast("int"))).alias("start"), "id",
-                F.explode(F.sequence(F.lit(0), F.lit(SP_ARNS - 1))).alias("n"))
-        .select("start", F.date_format("start", "yyyy-MM-dd").alias("label"),
-                F.concat(F.lit("arn:sp/"), _s(k)).alias("arn"),
-                (F.lit(SP_FEE_BASE) + k + (F.col("id") % 7) * F.lit(SP_FEE_DAY_STEP).cast("decimal(2,1)"))
-                .cast(DEC).alias("fee"))
+        periods(supplier.where(k % SP_EVERY == 0), PERIOD_DAYS)
+        .select((base + F.make_dt_interval(days=F.col("i"))).alias("start"), k, "b", "i")
+        .select("start", F.date_format("start", "yyyy-MM-dd").alias("label"), F.concat(F.lit("arn:sp/"), _s(k)).alias("arn"),
+                (F.lit(SP_FEE_BASE) + F.col("b") + (F.col("i") % 7) * F.lit(SP_FEE_DAY_STEP).cast("decimal(2,1)")).cast(DEC).alias("fee"))
     )
     ri_rows = _fee_rows(months, "reservation_reservation_a_r_n", "rifee-", "RIFee",
                         "AmazonEC2", RI_FEE_USAGE_TYPE, "")
@@ -285,9 +296,6 @@ def fee_lines(spark: SparkSession) -> DataFrame:
 
 def lineitem_bill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The derived bill for one scale-factor directory (usage lines + fee lines)."""
-    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    # The driver's lineitem file is a single row group (one scan task); a
-    # real export is many files. Spread the rows over the session's cores.
-    lineitem = lineitem.repartition(spark.sparkContext.defaultParallelism)
-    usage = usage_lines(lineitem, archetypes(spark))
-    return usage.select(*BILL_COLUMNS).unionByName(fee_lines(spark))
+    usage = usage_lines(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), archetypes(spark))
+    fees = fee_lines(spark.read.parquet(f"{sf_dir}/supplier.parquet"))
+    return usage.select(*BILL_COLUMNS).unionByName(fees)

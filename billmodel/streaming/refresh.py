@@ -1,30 +1,37 @@
-"""A2 + A4 incrementally: rebuild the months that new export files touch.
-
-The export rewrites a billing month's files as the month is restated, and the
-model's leftovers are month-contained (RI per month, SP per day), so a month
-of the wide table depends only on that month's lines, except for EMR cluster
-names, which are taken from the whole bill. A Structured Streaming file
-source over the export notices new files; each micro-batch looks up which
-months they belong to and overwrites just those month partitions (dynamic
-partition overwrite). Re-running a batch after a failure rewrites the same
-months with the same result.
+"""A2 + A4 incrementally: rebuild the months whose export files changed.
+
+An integrated export overwrites its files under the same names as a month is
+restated, and removes them when a month is withdrawn, so a refresh compares the
+export's file list (path, length, modification time) with the list recorded by
+the refresh before. The months of every added, changed or removed file are
+rebuilt and overwritten in the wide table; months that come back empty lose
+their partition. A month's rows depend on that month's lines only, but for EMR
+cluster names, which are taken from the whole bill: the name of every cluster is
+recorded too, and months with lines of a renamed cluster are rebuilt as well, so
+that the table does not depend on the order of refreshes.
+
+The record lives in a folder of its own for each export and wide table, under
+the cluster's ``spark.checkpoint.dir``, and is replaced only after the table is
+written: a refresh that fails is done again by the next one, with the same
+result.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import os
+import hashlib
+import time
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
+from ..operators import emr, facets
 from ..operators.base import base_costs
-from ..operators.wide import wide_costs
+from ..operators.wide import PARTITION_COLUMN, wide_costs
 from ..session import shared_folder
-from ..sources.cur import read_cur
-from ..sources.sink import write_wide_table
+from ..sources.cur import conform, read_cur
+from ..sources.sink import drop_months, sync_partitions, write_wide_table
 
 START = "line_item_usage_start_date"
 
@@ -35,45 +42,133 @@ def _month_range(month: str) -> tuple[str, str]:
     return first.strftime("%Y-%m-%d %H:%M:%S"), nxt.strftime("%Y-%m-%d %H:%M:%S")
 
 
-def months_filter(months: list[str]):
-    """Usage-start ranges of the given 'yyyy-MM' months (pushed to the scan)."""
-    ranges = [(F.col(START) >= F.lit(a).cast("timestamp_ntz")) & (F.col(START) < F.lit(b).cast("timestamp_ntz"))
-              for a, b in map(_month_range, months)]
+def months_filter(months: list[str | None]):
+    """Usage-start ranges of the given 'yyyy-MM' months (pushed to the scan);
+    None stands for lines without a start."""
+    ranges = [F.col(START).isNull() if m is None else
+              (F.col(START) >= F.lit(_month_range(m)[0]).cast("timestamp_ntz")) & (F.col(START) < F.lit(_month_range(m)[1]).cast("timestamp_ntz"))
+              for m in months]
     return reduce(lambda x, y: x | y, ranges)
 
 
-def wide_for_months(bill: DataFrame, months: list[str], **options) -> DataFrame:
-    """Wide-table rows of the given months only."""
-    base_months = base_costs(bill.where(months_filter(months)))
-    return wide_costs(base_months, emr_names_base=base_costs(bill), **options)
-
-
-def refresh_months(spark: SparkSession, cur_path: str, wide_path: str, months: list[str], **options) -> None:
-    """Overwrite the month partitions ``months`` of the wide table."""
-    if months:
-        write_wide_table(wide_for_months(read_cur(spark, cur_path), months, **options), wide_path, mode="months")
-
-
-def start_month_refresh(spark: SparkSession, cur_path: str, wide_path: str, *,
-                        checkpoint_location: str | None = None, available_now: bool = True,
-                        interval: str = "1 hour", **options) -> StreamingQuery:
-    """Start a stream over the export that refreshes the months of new files.
-
-    ``available_now`` processes what is there and stops (a scheduled job);
-    otherwise it polls every ``interval``. The stream's progress lives under
-    the cluster's ``spark.checkpoint.dir`` (a stable path, so the next run
-    resumes) unless a location is given.
-    """
-    schema = spark.read.parquet(cur_path).schema
-    source = spark.readStream.schema(schema).parquet(cur_path)
-    location = checkpoint_location or os.path.join(shared_folder(spark), "billmodel-month-refresh")
-
-    def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        # At most a few calendar months per batch: a bounded, tiny result.
-        months = sorted(r[0] for r in batch.select(F.date_format(START, "yyyy-MM")).distinct().collect()
-                        if r[0] is not None)
-        refresh_months(batch.sparkSession, cur_path, wide_path, months, **options)
-
-    writer = source.writeStream.foreachBatch(on_batch).option("checkpointLocation", location)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
-    return writer.start()
+def wide_for_months(bill: DataFrame, months: list[str | None], emr_names: DataFrame | None = None, **options) -> DataFrame:
+    """Wide-table rows of the given months only; cluster names (unless given as
+    a table) from the whole bill."""
+    bill = conform(bill)
+    names = emr.cluster_name_by_id(base_costs(bill)) if emr_names is None else emr_names
+    return wide_costs(base_costs(bill.where(months_filter(months))), emr_names=names, **options)
+
+
+def refresh_months(spark: SparkSession, cur_path: str, wide_path: str, months: list[str | None],
+                   emr_names: DataFrame | None = None, table: str | None = None, **options) -> None:
+    """Overwrite the month partitions ``months`` of the wide table; drop those
+    that the bill no longer has a row for."""
+    if not months:
+        return
+    rows = wide_for_months(read_cur(spark, cur_path), months, emr_names, **options)
+    write_wide_table(rows, wide_path, mode="months", table=table)
+    # At most the months asked for: a bounded, tiny result of one pruned scan.
+    base = base_costs(conform(read_cur(spark, cur_path)).where(months_filter(months)))
+    unnamed = wide_costs(base, **{**options, "with_names": False})
+    left = {r[0] for r in unnamed.select(PARTITION_COLUMN).distinct().collect()}
+    drop_months(spark, wide_path, [m for m in months if m not in left])
+    if table:
+        sync_partitions(spark, table)
+
+
+# --- what the last refresh saw -------------------------------------------------
+
+
+def state_folder(spark: SparkSession, cur_path: str, wide_path: str) -> str:
+    """The record's folder: of its own for each export and wide table."""
+    pair = hashlib.sha256(f"{cur_path.rstrip('/')}\n{wide_path.rstrip('/')}".encode()).hexdigest()[:20]
+    return f"{shared_folder(spark).rstrip('/')}/billmodel-refresh-{pair}"
+
+
+def _versions(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers of the complete records in the folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    done = spark._jvm.org.apache.hadoop.fs.Path
+    names = [s.getPath().getName() for s in fs.listStatus(path)]
+    return sorted(int(n) for n in names if n.isdigit() and fs.exists(done(f"{folder}/{n}/names/_SUCCESS")))
+
+
+def list_files(spark: SparkSession, cur_path: str) -> DataFrame:
+    """(path, file, length, modified) of the export's files; contents are not read."""
+    found = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(cur_path))
+    return found.select("path", F.col("_metadata.file_path").alias("file"), F.col("length"),
+                        F.unix_micros("modificationTime").alias("modified"))
+
+
+def _months_of(spark: SparkSession, cur_path: str, paths: list[str]) -> DataFrame:
+    """(file, months): the months that each file holds lines of."""
+    schema = spark.read.option("mergeSchema", "true").parquet(cur_path).schema
+    bill = spark.read.schema(schema).option("basePath", cur_path).parquet(*paths)
+    file = F.col("_metadata.file_path").alias("_file")
+    lines = conform(bill.select("*", file)).select(F.col("_file").alias("file"), F.date_format(START, "yyyy-MM").alias("month"))
+    return lines.distinct().groupBy("file").agg(F.collect_set(F.coalesce("month", F.lit(""))).alias("months"))
+
+
+def refresh_changes(spark: SparkSession, cur_path: str, wide_path: str, *, state: str | None = None,
+                    table: str | None = None, **options) -> list[str | None]:
+    """Rebuild the months of all files that were added, changed or removed since
+    the last refresh; returns these months."""
+    folder = state or state_folder(spark, cur_path, wide_path)
+    versions = _versions(spark, folder)
+    now = list_files(spark, cur_path)
+    same = ["path", "file", "length", "modified"]
+    if versions:
+        before = spark.read.parquet(f"{folder}/{versions[-1]}/files")
+        old_names = spark.read.parquet(f"{folder}/{versions[-1]}/names")
+        changed = now.join(before.select(*same), same, "left_anti")
+        gone = before.join(now, same, "left_anti")
+        kept = before.join(now.select(*same), same, "left_semi")
+    else:
+        old_names, changed, gone, kept = None, now, None, None
+    # The driver lists an export's files to read them; here it lists the changed ones.
+    paths = [r["path"] for r in changed.select("path").collect()]
+    target = f"{folder}/{versions[-1] + 1 if versions else 1}"
+    empty = spark.createDataFrame([], "file string, months array<string>")
+    of_changed = changed.join(_months_of(spark, cur_path, paths) if paths else empty, "file", "left")
+    recorded = of_changed.select(*same, F.coalesce("months", F.array().cast("array<string>")).alias("months"))
+    (recorded if kept is None else recorded.unionByName(kept.select(*same, "months"))).write.mode("overwrite").parquet(f"{target}/files")
+    bill = read_cur(spark, cur_path)
+    base = base_costs(bill)
+    emr.cluster_name_by_id(base).write.mode("overwrite").parquet(f"{target}/pending")
+    names = spark.read.parquet(f"{target}/pending")
+    touched = spark.read.parquet(f"{target}/files").join(changed.select(*same), same, "left_semi").select("months")
+    if gone is not None:
+        touched = touched.unionByName(gone.select("months"))
+    months = {r[0] for r in touched.select(F.explode("months")).distinct().collect()}
+    if old_names is not None:
+        renamed = _renamed(old_names, names)
+        months |= {r[0] if r[0] is not None else "" for r in _months_with(base, renamed).collect()}
+    wanted = sorted((m or None for m in months), key=lambda m: m or "")
+    refresh_months(spark, cur_path, wide_path, wanted, emr_names=names, table=table, **options)
+    names.write.mode("overwrite").parquet(f"{target}/names")  # its _SUCCESS completes the record
+    return wanted
+
+
+def _renamed(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Ids of clusters whose name is new, gone or another."""
+    both = old.withColumnRenamed("bb_emr_cluster_name", "was").join(new, "bb_emr_cluster_id", "full")
+    return both.where(~F.col("was").eqNullSafe(F.col("bb_emr_cluster_name"))).select("bb_emr_cluster_id")
+
+
+def _months_with(base: DataFrame, clusters: DataFrame) -> DataFrame:
+    """Months that have lines of the given clusters, by either id."""
+    fee, other = facets.emr_fee(), facets.emr_other()
+    ids = F.array(other.guarded("bb_emr_cluster_id"), fee.guarded("bb_emr_cluster_id"))
+    lines = base.where(fee.predicate | other.predicate).select("_bb_usage_year_month", F.explode(ids).alias("bb_emr_cluster_id"))
+    pairs = lines.where(F.col("bb_emr_cluster_id").isNotNull()).distinct()
+    return pairs.join(clusters, "bb_emr_cluster_id", "left_semi").select("_bb_usage_year_month").distinct()
+
+
+def watch_changes(spark: SparkSession, cur_path: str, wide_path: str, interval_seconds: float = 3600, **options) -> None:
+    """Refresh again and again, ``interval_seconds`` apart."""
+    while True:
+        refresh_changes(spark, cur_path, wide_path, **options)
+        time.sleep(interval_seconds)

@@ -152,7 +152,7 @@ def _emr_lines():
 
 @pytest.mark.parametrize("broadcast_rows", [1_000_000, 0])
 def test_emr_names(spark, broadcast_rows):
-    m = CostModel(make_bill(spark, _emr_lines()), emr_broadcast_rows=broadcast_rows)
+    m = CostModel(make_bill(spark, _emr_lines()), emr_broadcast_bytes=broadcast_rows)
     got = sorted((r.bb_emr_cluster_id or "", r.bb_emr_cluster_name or "", r.bb_emr_instance_role or "",
                   r.bb_parent_service) for r in m.wide.collect())
     assert got == sorted([
@@ -298,16 +298,71 @@ def test_zoned_timestamps_in_utc_session(spark, small_model):
 
 
 def test_broadcast_bound_from_session_setting(spark):
-    from billmodel.operators.joins import BROADCAST_ROWS_CONF, broadcast_bound
+    from billmodel.operators.joins import BROADCAST_BYTES_CONF, DEFAULT_BROADCAST_BYTES, broadcast_bound
 
     df = spark.range(3)
     assert broadcast_bound(df, 5) == 5
-    spark.conf.set(BROADCAST_ROWS_CONF, "0")
+    spark.conf.set(BROADCAST_BYTES_CONF, "0")
     try:
         assert broadcast_bound(df, None) == 0
         m = CostModel(make_bill(spark, _emr_lines()))
         plan = m.wide._jdf.queryExecution().optimizedPlan().toString()
         assert "broadcast" not in plan.lower()  # beyond the bound: no broadcast hint
     finally:
-        spark.conf.unset(BROADCAST_ROWS_CONF)
-    assert broadcast_bound(df, None) == 1_000_000
+        spark.conf.unset(BROADCAST_BYTES_CONF)
+    assert broadcast_bound(df, None) == DEFAULT_BROADCAST_BYTES
+
+
+def test_reports_without_names_start_no_job(spark, small_model):
+    """Reports that do not show the cluster name plan no lookup, and building
+    them runs nothing."""
+    tracker = spark.sparkContext.statusTracker()
+    group = "no-names"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        m = CostModel(small_model.bill)
+        reports = [m.ec2_hourly_usage(), m.qc_by_service(), m.qc_reserved(), m.qc_total(), m.qc_savings_plans(),
+                   *(m.analysis(n) for n in ("monthly_cost", "credit_offset", "department_by_service", "department_share", "untagged_cost",
+                                             "s3_cost_by_level", "s3_volume_by_level", "purchase_option_mix", "commitment_utilisation"))]
+        assert not tracker.getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    for df in reports:
+        assert "bb_emr_cluster_name" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_unread_names_cost_no_join(small_model):
+    """With the full table, too, Catalyst drops lookups that nobody reads."""
+    plan = small_model.wide.groupBy("bb_usage_year_month").agg({"bb_cost": "sum"})._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 1  # the fees with their usage
+
+
+def test_shuffled_names_spread_rows_without_an_id(spark):
+    """Beyond the bound, with adaptive planning off: a real sort-merge join in
+    which rows without one of the ids do not pile up on one partition."""
+    from billmodel.operators.base import base_costs
+    from billmodel.operators.emr import attach_cluster_names, cluster_name_by_id
+
+    emr = "arn:cluster/j-"
+    rows = [line(line_item_product_code="ElasticMapReduce", line_item_resource_id=f"{emr}{i}", resource_tags_user_name=f"n{i}") for i in range(4)]
+    base = base_costs(make_bill(spark, rows))
+    lines = base.sparkSession.createDataFrame([(f"k{i}", ["", None, "j-1"][i % 3], [None, "j-2"][i % 2]) for i in range(600)], "bb_id string, tag string, fee string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = attach_cluster_names(lines, cluster_name_by_id(base), "tag", "fee", 0)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 2 and "Broadcast" not in plan
+        sizes = [len(p) for p in out.where("fee is null and coalesce(tag, '') <> ''").rdd.glom().collect()]
+        assert max(sizes) < 60  # 100 rows with a tag only: not on one key of the second join
+        got = {(r.tag, r.fee): r._emr_dim_name for r in out.collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == {("", None): None, (None, None): None, ("j-1", None): "n1", ("", "j-2"): "n2", (None, "j-2"): "n2", ("j-1", "j-2"): "n1"}
+
+
+def test_tag_column_is_free(small_model):
+    by_unit = small_model.analysis("department_share", tag="resource_tags_user_business")
+    assert by_unit.columns == ["business", "cost", "share_pct"]
+    assert abs(sum(r.share_pct for r in by_unit.collect()) - 100) < 1e-6

@@ -1,15 +1,17 @@
-"""Every registered query against its DuckDB statement (join form) on sf0.001."""
+"""Every registered query against its DuckDB statement (rule tables) on sf0.001."""
 
 from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from billmodel.plans.oracle import oracle_queries
+from billmodel.plans.registry import registered_queries
 from conftest import SF_SMALL
 from tools.oracle_check import compare, duck_connection
 
-QUERIES = queries()
-SQL = oracle_sql()
+QUERIES = registered_queries()
+SQL = oracle_queries()
 
 
 @pytest.fixture(scope="module")

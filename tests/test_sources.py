@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 import tempfile
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from billmodel import CostModel
@@ -148,3 +150,76 @@ def test_every_published_view_answers_sql(spark):
     assert len(names) == 2 + len(FACET_VIEWS) + 9
     for name in names:
         assert spark.sql(f"SELECT COUNT(*) FROM {name}").first()[0] >= 0
+
+
+def test_check_prints_every_row(spark, tmp_path, capsys):
+    """A check with more than 20 differing groups is printed whole."""
+    from billmodel.__main__ import main
+
+    rows = [line(line_item_line_item_type="Tax", line_item_line_item_description=f"d{i}") for i in range(45)]
+    make_bill(spark, rows).write.parquet(f"{tmp_path}/cur")
+    wide = CostModel(make_bill(spark, rows)).wide
+    write_wide_table(wide.withColumn("bb_cost", wide.bb_cost + 1), f"{tmp_path}/wide")
+    main(["check", "--cur", f"{tmp_path}/cur", "--wide", f"{tmp_path}/wide", "--out", f"{tmp_path}/checks"])
+    assert "-- 45 rows" in capsys.readouterr().out
+    assert spark.read.parquet(f"{tmp_path}/checks/by_service").count() == 45
+
+
+def test_catalog_tables(spark, tmp_path):
+    """The wide table and the views by name, from another session, and a month
+    refreshed and withdrawn through the catalog."""
+    from billmodel.plans.views import publish_tables
+    from billmodel.sources.sink import drop_months, sync_partitions
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS published")
+    rows = [line(), line(line_item_usage_start_date=dt.datetime(2024, 2, 1))]
+    model = CostModel(make_bill(spark, rows))
+    names = publish_tables(model, f"{tmp_path}/tables", "published")
+    other = spark.newSession()
+    assert other.table("published.bb_bwt_costs").count() == 2
+    assert set(names) == {f"published.{t.name}" for t in other.catalog.listTables("published") if not t.isTemporary}
+    write_wide_table(model.wide.where("bb_usage_year_month = '2024-02'"), f"{tmp_path}/tables/bb_bwt_costs", "months", "published.bb_bwt_costs")
+    drop_months(spark, f"{tmp_path}/tables/bb_bwt_costs", ["2024-01"])
+    sync_partitions(spark, "published.bb_bwt_costs")
+    other = spark.newSession()
+    assert [r[0] for r in other.table("published.bb_bwt_costs").select("bb_usage_year_month").collect()] == ["2024-02"]
+
+
+def test_rebuild_ignores_the_sessions_overwrite_mode(spark, tmp_path):
+    rows = [line(), line(line_item_usage_start_date=dt.datetime(2024, 2, 1))]
+    write_wide_table(CostModel(make_bill(spark, rows)).wide, f"{tmp_path}/w")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        write_wide_table(CostModel(make_bill(spark, rows[:1])).wide, f"{tmp_path}/w")
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert read_wide_table(spark, f"{tmp_path}/w").count() == 1
+
+
+def test_types_are_enforced_in_any_session_zone(spark):
+    """Doubles and zoned times become DECIMAL and zone-less UTC."""
+    from billmodel.plans.registry import untyped
+
+    bill = make_bill(spark, [line(line_item_unblended_cost="0.1"), line(line_item_unblended_cost="0.2")])
+    want = sorted(map(tuple, CostModel(bill).wide.select("bb_id", "bb_usage_date", "bb_usage_year_month").collect()))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    for zone in ("UTC", "America/Los_Angeles"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            wide = CostModel(untyped(bill)).wide
+            assert dict(wide.dtypes)["bb_cost"].startswith("decimal")
+            assert sorted(map(tuple, wide.select("bb_id", "bb_usage_date", "bb_usage_year_month").collect())) == want
+            assert float(wide.agg({"bb_cost": "sum"}).first()[0]) == 0.3
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_cluster_without_shared_folder_is_an_error():
+    from types import SimpleNamespace
+
+    from billmodel.session import checkpoint_dir
+
+    conf = SimpleNamespace(get=lambda k, d=None: d)
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="spark://host:7077")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(SimpleNamespace(sparkContext=sc))

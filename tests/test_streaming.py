@@ -1,7 +1,10 @@
-"""Month refresh from a file stream over the export."""
+"""Month refresh from the changes of an export's files."""
 
 from __future__ import annotations
 
+import datetime as dt
+import glob
+import os
 import tempfile
 from collections import Counter
 
@@ -10,8 +13,9 @@ from pyspark.sql import functions as F
 from billmodel import CostModel
 from billmodel.sources.fixture import lineitem_bill
 from billmodel.sources.sink import read_wide_table
-from billmodel.streaming.refresh import start_month_refresh, wide_for_months
-from conftest import SF_SMALL
+from billmodel.sources.cur import read_cur
+from billmodel.streaming.refresh import refresh_changes, state_folder, wide_for_months
+from conftest import SF_SMALL, line, make_bill
 
 
 def _month(col="line_item_usage_start_date"):
@@ -26,49 +30,76 @@ def test_wide_for_months_equals_full_build(spark):
     assert Counter(map(tuple, part.select(cols).collect())) == Counter(map(tuple, full.select(cols).collect()))
 
 
-def test_stream_refreshes_new_months(spark):
+COLS = ["bb_id", "bb_cost", "bb_emr_cluster_name", "bb_usage_year_month"]
+
+
+def _export(root, name, rows):
+    """One export file under a fixed name, as an integrated export writes it."""
+    parts = tempfile.mkdtemp(prefix="part-", dir=root)
+    rows.coalesce(1).write.mode("overwrite").parquet(parts + "/p")
+    os.makedirs(root + "/cur", exist_ok=True)
+    os.replace(glob.glob(parts + "/p/*.parquet")[0], f"{root}/cur/{name}.parquet")
+
+
+def _table(spark, path):
+    return Counter(map(tuple, read_wide_table(spark, path).select(COLS).collect()))
+
+
+def _rebuilt(spark, root):
+    return Counter(map(tuple, CostModel(read_cur(spark, root + "/cur")).wide.select(COLS).collect()))
+
+
+def test_refresh_follows_every_change(spark):
+    """New, restated (same name), withdrawn and removed files, lines without a
+    date: after each refresh the table equals a full rebuild."""
     root = tempfile.mkdtemp(prefix="refresh-")
-    cur, wide, ckpt = root + "/cur", root + "/wide", root + "/ckpt"
-    bill = lineitem_bill(spark, SF_SMALL).cache()
-    bill.where(_month().isin("2024-01", "2024-02")).write.parquet(cur)
-    start_month_refresh(spark, cur, wide, checkpoint_location=ckpt).awaitTermination()
-    first = {r[0]: r[1] for r in read_wide_table(spark, wide).groupBy("bb_usage_year_month").count().collect()}
-    assert set(first) == {"2024-01", "2024-02"}
-
-    bill.where(_month() == "2024-03").write.mode("append").parquet(cur)
-    start_month_refresh(spark, cur, wide, checkpoint_location=ckpt).awaitTermination()
-    second = {r[0]: r[1] for r in read_wide_table(spark, wide).groupBy("bb_usage_year_month").count().collect()}
-    assert set(second) == {"2024-01", "2024-02", "2024-03"}
-    assert all(second[m] == first[m] for m in first)
-    expected = CostModel(bill).wide.where(F.col("bb_usage_year_month") == "2024-03").count()
-    assert second["2024-03"] == expected
+    bill = lineitem_bill(spark, SF_SMALL).where(F.expr("pmod(xxhash64(identity_line_item_id), 4) = 0")).cache()
+    months = {m: bill.where(_month() == m) for m in ("2024-01", "2024-02", "2024-03")}
+
+    def refresh():
+        changed = refresh_changes(spark, root + "/cur", root + "/wide")
+        assert _table(spark, root + "/wide") == _rebuilt(spark, root)
+        return changed
+
+    _export(root, "a", months["2024-01"])
+    _export(root, "b", months["2024-02"])
+    assert refresh() == ["2024-01", "2024-02"]
+    assert refresh() == []
+    _export(root, "c", months["2024-03"])  # a new month
+    assert "2024-03" in refresh()
+    _export(root, "a", months["2024-01"].where("line_item_line_item_type <> 'Tax'"))  # restated under the same name
+    assert "2024-01" in refresh()
+    _export(root, "b", months["2024-02"].withColumn("bill_invoice_id", F.lit("")))  # withdrawn: nothing is final
+    assert "2024-02" in refresh()
+    assert "2024-02" not in {k[3] for k in _table(spark, root + "/wide")}
+    os.remove(root + "/cur/c.parquet")
+    assert "2024-03" in refresh()
+    undated = months["2024-03"].limit(5).withColumn("line_item_usage_start_date", F.lit(None).cast("timestamp_ntz"))
+    _export(root, "d", undated)
+    assert None in refresh()
     bill.unpersist()
 
 
-def test_stream_rebuilds_a_restated_month(spark):
-    """A restated month: its folder is rewritten with new files; the refresh
-    rebuilds that month from the current files and leaves the others."""
-    root = tempfile.mkdtemp(prefix="restate-")
-    cur, wide, ckpt = root + "/cur", root + "/wide", root + "/ckpt"
-    bill = lineitem_bill(spark, SF_SMALL).cache()
-    for month in ("2024-01", "2024-02"):
-        bill.where(_month() == month).write.parquet(f"{cur}/month={month}")
-    start_month_refresh(spark, cur, wide, checkpoint_location=ckpt).awaitTermination()
-    first = {r[0]: r[1] for r in read_wide_table(spark, wide).groupBy("bb_usage_year_month").count().collect()}
-
-    restated = bill.where((_month() == "2024-02") & (F.col("line_item_line_item_type") != "Tax"))
-    restated.write.mode("overwrite").parquet(f"{cur}/month=2024-02")
-    start_month_refresh(spark, cur, wide, checkpoint_location=ckpt).awaitTermination()
-    second = {r[0]: r[1] for r in read_wide_table(spark, wide).groupBy("bb_usage_year_month").count().collect()}
-    expected = CostModel(bill.where(_month() != "2024-02").unionByName(restated)).wide
-    expected = {r[0]: r[1] for r in expected.groupBy("bb_usage_year_month").count().collect()}
-    assert second["2024-01"] == first["2024-01"]
-    assert second["2024-02"] == expected["2024-02"] < first["2024-02"]
-    bill.unpersist()
+def test_renamed_cluster_reaches_other_months(spark):
+    root = tempfile.mkdtemp(prefix="rename-")
+    emr = dict(line_item_product_code="ElasticMapReduce", line_item_resource_id="arn:cluster/j-1")
+    jan = line(**emr)
+    feb = line(**emr, line_item_usage_start_date=dt.datetime(2024, 2, 1))
+    _export(root, "jan", make_bill(spark, [jan]))
+    _export(root, "feb", make_bill(spark, [feb | {"resource_tags_user_name": "old"}]))
+    refresh_changes(spark, root + "/cur", root + "/wide")
+    _export(root, "feb", make_bill(spark, [feb | {"resource_tags_user_name": "new"}]))
+    assert refresh_changes(spark, root + "/cur", root + "/wide") == ["2024-01", "2024-02"]
+    assert {r.bb_emr_cluster_name for r in read_wide_table(spark, root + "/wide").collect()} == {"new"}
+
+
+def test_records_of_two_exports_are_apart(spark):
+    assert state_folder(spark, "/x/cur", "/x/wide") == state_folder(spark, "/x/cur/", "/x/wide/")
+    assert len({state_folder(spark, c, w) for c in ("/x/cur", "/y/cur") for w in ("/x/wide", "/y/wide")}) == 4
 
 
-def test_stream_progress_folder_is_stable(spark):
-    """The stream's default progress folder is the configured checkpoint
+def test_record_folder_is_stable(spark):
+    """The folder that records live in is the configured checkpoint
     folder itself, not the per-application folder under it."""
     from billmodel.session import checkpoint_dir, shared_folder
 
