@@ -362,6 +362,11 @@ def test_shuffled_names_spread_rows_without_an_id(spark):
     assert got == {("", None): None, (None, None): None, ("j-1", None): "n1", ("", "j-2"): "n2", (None, "j-2"): "n2", ("j-1", "j-2"): "n1"}
 
 
+def test_shuffled_names_stay_shuffled_under_adaptive_planning(spark):
+    out = CostModel(make_bill(spark, _emr_lines()), emr_broadcast_bytes=0).emr_name_lookup()
+    assert out.collect() and out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("SortMergeJoin") >= 2
+
+
 def test_tag_column_is_free(small_model):
     by_unit = small_model.analysis("department_share", tag="resource_tags_user_business")
     assert by_unit.columns == ["business", "cost", "share_pct"]
