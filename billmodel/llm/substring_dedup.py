@@ -33,9 +33,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from billmodel.llm.common import (Words, arrow_rows, deal_documents, dealt, id_array, is_in, ordered_ids, packed,
-                                  part_documents, partitions, rolled, unpacked)
-from billmodel.llm.winnow import ANCHORS, SENT, TOLD, Seeds, part_of, repeated_anchors, send_anchors, told
+from billmodel.llm.common import Words, arrow_rows, deal_documents, dealt, is_in, packed, part_documents, partitions, unpacked
+from billmodel.llm.winnow import ANCHORS, SENT, TOLD, Matches, Seeds, part_of, repeated_anchors, send_anchors, told
 
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
 EARLIER = 2
@@ -46,43 +45,13 @@ def _cut(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return words.hashes, words.doc
 
 
-class _Matches:
-    """Windows around a part's repeated seeds: fingerprints and places, chunk by
-    chunk, and which of them are the part's first of their fingerprint."""
-
-    def __init__(self, part_table: pa.Table, repeated: np.ndarray, length: int, k: int):
-        prints, ids, starts = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        for doc_ids, texts in part_documents(part_table.column("docs")):
-            words = Words(texts)
-            seeds = Seeds(words.hashes, words.doc, length, k)
-            at = seeds.windows(np.flatnonzero(is_in(seeds.anchor, repeated)))
-            if len(at):
-                prints.append(rolled(words.hashes, length)[at])
-                ids.append(ordered_ids(id_array(doc_ids))[words.doc[at]])
-                starts.append(at - np.searchsorted(words.doc, words.doc[at]))
-        self.prints, self.ids, self.starts = np.concatenate(prints), np.concatenate(ids), np.concatenate(starts)
-
-    def firsts(self) -> tuple[np.ndarray, np.ndarray]:
-        """Index of the first place of each fingerprint, and for every window
-        whether its place is that first one."""
-        order = np.lexsort((self.starts, self.ids, self.prints))
-        p, i, s = self.prints[order], self.ids[order], self.starts[order]
-        new = np.concatenate([[True], p[1:] != p[:-1]])[: len(p)]
-        head = np.flatnonzero(new)
-        group = np.cumsum(new) - 1
-        same = (i == i[head][group]) & (s == s[head][group]) if len(p) else np.zeros(0, bool)
-        is_first = np.zeros(len(p), bool)
-        is_first[order] = same
-        return order[head], is_first
-
-
 def _send_windows(length: int, k: int, buckets: int):
     """Pass 2: the first place in this part of every window around a seed."""
 
     def run(part_table: pa.Table, answers: pa.Table) -> pa.Table:
         if not part_table.num_rows:
             return arrow_rows(SENT, [])
-        m = _Matches(part_table, told(answers, ANCHORS), length, k)
+        m = Matches(_cut, part_table, told(answers, ANCHORS), length, k)
         first, _ = m.firsts()
         first = first[np.lexsort((m.starts[first], m.ids[first]))]
         rows, part = [], part_of(part_table)
@@ -118,7 +87,7 @@ def _remove_repeats(length: int, k: int, with_text: bool):
         if not part_table.num_rows:
             return arrow_rows(RESULT, out)
         repeated, earlier = told(answers, ANCHORS), told(answers, EARLIER)
-        m = _Matches(part_table, repeated, length, k)
+        m = Matches(_cut, part_table, repeated, length, k)
         _, is_first = m.firsts()
         gone = ~is_first | is_in(m.prints, earlier)
         taken = 0

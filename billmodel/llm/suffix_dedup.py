@@ -21,6 +21,10 @@ groups that can be sorted on their own:
    previous factor of each window start, and on the reversed order the longest
    next factor: a window with a previous factor of ``length`` is a later copy,
    one with a next factor only is a first copy.
+   An anchor with more than ``HOT_SEGMENTS`` segments (a common phrase in ever
+   other surroundings) would gather too much text in one group: its windows are
+   sent one by one to the buckets of their own 64-bit fingerprints, where equal
+   ones meet, a row a part at most.
 3. The parts get one code a window back and cut the covered bytes out.
 
 Nulls, ties and odd rows: a null text is empty; a null id counts as the largest
@@ -35,16 +39,19 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 
-from billmodel.llm.common import (BYTE_VALUES, CHUNK, arrow_rows, deal_documents, dealt, id_array, is_in, ordered_ids,
-                                  packed, part_documents, partitions, unpacked)
-from billmodel.llm.winnow import ANCHORS, SENT, TOLD, Seeds, part_of, repeated_anchors, send_anchors, told
+from billmodel.llm.common import (BYTE_VALUES, CHUNK, WORD_BASE, arrow_rows, deal_documents, dealt, id_array, is_in, mixed,
+                                  ordered_ids, packed, part_documents, partitions, powers, unpacked)
+from billmodel.llm.winnow import ANCHORS, SENT, TOLD, Matches, Seeds, part_of, told
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 SEGMENTS = "bucket int, part int, body binary, bytes binary"
-CODES = 2
+CODES, HOT, HOT_FIRST, HOT_LATER = 2, 3, 4, 5
+#: Segments of one anchor that are sorted in one group at most.
+HOT_SEGMENTS = 50_000
 UNIQUE, FIRST, LATER = 0, 1, 2
 
 
@@ -138,6 +145,56 @@ def _common_with_smaller(position: np.ndarray, lcp: np.ndarray) -> np.ndarray:
 # --- passes -------------------------------------------------------------------------
 
 
+def _send_anchors(length: int, k: int, buckets: int):
+    """Pass 1: a part's distinct anchors, each with its number of different
+    segments; anchors that the part holds twice are marked."""
+
+    def run(part_table: pa.Table) -> pa.Table:
+        anchors, prints = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+        for _, texts in part_documents(part_table.column("docs")):
+            values, doc = _cut(texts)
+            seeds = Seeds(values, doc, length, k)
+            sums = np.zeros(len(values) + 1, np.uint64)
+            np.cumsum(values * powers(WORD_BASE, len(values), "word"), out=sums[1:])
+            undo = powers(pow(WORD_BASE, -1, 1 << 64), len(values), "unword")
+            ends = seeds.last + length
+            if len(ends):
+                prints.append(mixed((sums[ends] - sums[seeds.first]) * undo[seeds.first]) + (ends - seeds.first).astype(np.uint64))
+            anchors.append(seeds.anchor)
+        a, p = np.concatenate(anchors), np.concatenate(prints)
+        rows, part = [], part_of(part_table)
+        if len(a):
+            order = np.lexsort((p, a))
+            a, p = a[order], p[order]
+            head = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
+            other = np.concatenate([[True], (a[1:] != a[:-1]) | (p[1:] != p[:-1])])
+            segments, times = np.add.reduceat(other.astype(np.uint64), head), np.diff(np.concatenate([head, [len(a)]]))
+            for twice in (0, 1):
+                some = np.flatnonzero((times > 1) == twice)
+                rows += [(b, part, twice, packed(a[head][some[at]], segments[some[at]])) for b, at in dealt(a[head][some], buckets)]
+        return arrow_rows(SENT, rows)
+
+    return run
+
+
+def _repeated(hot_segments: int):
+    """The anchors of a bucket that occur twice or more, back to their parts;
+    those with too many segments for one group apart."""
+
+    def run(bucket: pa.Table) -> pa.Table:
+        sent = [(p.as_py(), t.as_py(), unpacked(b.as_py(), 2)) for p, t, b in zip(bucket.column("part"), bucket.column("kind"), bucket.column("body"))]
+        every, at = np.unique(np.concatenate([a for _, _, (a, _) in sent]), return_inverse=True)
+        times, segments = np.zeros(len(every), np.int64), np.zeros(len(every), np.uint64)
+        np.add.at(times, at, np.concatenate([np.full(len(a), 1 + t) for _, t, (a, _) in sent]))
+        np.add.at(segments, at, np.concatenate([n for _, _, (_, n) in sent]))
+        rows = []
+        for kind, chosen in ((ANCHORS, every[(times > 1) & (segments <= hot_segments)]), (HOT, every[(times > 1) & (segments > hot_segments)])):
+            rows += [(part, kind, packed(some)) for part, _, (a, _) in sent if len(some := a[is_in(a, chosen)])]
+        return arrow_rows(TOLD, rows)
+
+    return run
+
+
 class _Segments:
     """The different segments around a part's repeated anchors, each with its
     first place. ``pieces`` and what goes with it is in the order of the segments
@@ -189,16 +246,50 @@ def _send_segments(length: int, k: int, buckets: int):
         for b, at in dealt(anchors, buckets):
             sizes = np.array([len(pieces[i]) for i in at], np.uint64)
             rows.append((b, part, packed(anchors[at], ids[at], starts[at], often[at], sizes), press.compress(b"".join(pieces[i] for i in at))))
+        if len(hot := told(answers, HOT)):
+            m = Matches(_cut, part_table, hot, length, k)
+            first, _ = m.firsts()
+            first = first[np.lexsort((m.starts[first], m.ids[first]))]
+            several = is_in(m.prints[first], _more_than_once(m.prints)).astype(np.uint64)
+            for b, at in dealt(m.prints[first], buckets):
+                rows.append((b, part, packed(m.prints[first[at]], m.ids[first[at]], m.starts[first[at]], several[at]), None))
         return arrow_rows(SEGMENTS, rows)
 
     return run
 
 
+def _more_than_once(values: np.ndarray) -> np.ndarray:
+    """The different values that occur twice or more, sorted."""
+    every, counts = np.unique(values, return_counts=True)
+    return every[counts > 1]
+
+
+def _code_hot_windows(bucket: pa.Table) -> list[tuple]:
+    """For each part the fingerprints of its hot windows that are repeated: with
+    the first place in this part, or with an earlier one in another."""
+    parts, sent = bucket.column("part").to_pylist(), [unpacked(b.as_py(), 4) for b in bucket.column("body")]
+    prints, ids, starts, several = (np.concatenate([s[i] for s in sent]) for i in range(4))
+    of = np.repeat(np.arange(len(sent)), [len(s[0]) for s in sent])
+    order = np.lexsort((of, starts, ids, prints))
+    new = np.concatenate([[True], prints[order][1:] != prints[order][:-1]])
+    repeated = is_in(prints, np.union1d(_more_than_once(prints), prints[several > 0]))
+    is_first = np.zeros(len(prints), bool)
+    is_first[order[new]] = True
+    rows = []
+    for kind, chosen in ((HOT_FIRST, repeated & is_first), (HOT_LATER, repeated & ~is_first)):
+        chosen = np.flatnonzero(chosen)
+        rows += [(parts[n], kind, packed(np.sort(prints[chosen[at]]))) for n, at in dealt(of[chosen].astype(np.uint64), len(sent))]
+    return rows
+
+
 def _code_windows(length: int):
     """Pass 2 in a bucket: a code for every window of every segment sent."""
 
     def run(bucket: pa.Table) -> pa.Table:
         press, unpress = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+        alone = pc.is_null(bucket.column("bytes"))
+        hot_rows = _code_hot_windows(hot) if (hot := bucket.filter(alone)).num_rows else []
+        bucket = bucket.filter(pc.invert(alone))
         # piece -> number, first place (id, start, part row, row in it), all that sent it
         number: dict[bytes, int] = {}
         anchor, first, owner, senders, often, sizes = [], [], [], [], [], []
@@ -243,7 +334,7 @@ def _code_windows(length: int):
                     batch, held = [], 0
         if batch:
             _sort_segments(batch, pieces, ids, starts, often, codes, length)
-        rows = []
+        rows = hot_rows
         for r, mine in senders:
             heads, bodies = bytearray(), []
             for at in mine:
@@ -314,6 +405,13 @@ def _cut_out(length: int, k: int, keep_first: bool, buckets: int, with_bytes: bo
                     end += size
                 else:
                     codes[i] = raw[n]
+        hot = told(answers, HOT)
+        first, later = told(answers, HOT_FIRST), told(answers, HOT_LATER)
+        m = Matches(_cut, part_table, hot, length, k) if len(hot) else None
+        if m:
+            # the part's first place of a window is the corpus's first, or goes like the others
+            goes = is_in(m.prints, later) | (is_in(m.prints, first) & ~(m.firsts()[1] & keep_first))
+        taken = 0
         usual = [_covered(c, FIRST, len(p) - length + 1, length) for c, p in zip(codes, s.pieces)]
         places = list(zip(s.ids, s.starts))
         for (doc_ids, texts), block in zip(part_documents(part_table.column("docs")), s.blocks):
@@ -327,6 +425,14 @@ def _cut_out(length: int, k: int, keep_first: bool, buckets: int, with_bytes: bo
                     tos.append(f + b)
             data = b"".join(texts)
             offset = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).tolist()
+            if m:
+                values, doc = _cut(texts)
+                seeds = Seeds(values, doc, length, k)
+                at = seeds.windows(np.flatnonzero(is_in(seeds.anchor, hot)))
+                hit = at[goes[taken : taken + len(at)]]
+                taken += len(at)
+                froms += hit.tolist()
+                tos += (hit + length).tolist()
             cover = np.zeros(len(data) + 1, np.int32)
             np.add.at(cover, froms, 1)
             np.add.at(cover, tos, -1)
@@ -344,7 +450,7 @@ def _cut_out(length: int, k: int, keep_first: bool, buckets: int, with_bytes: bo
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200,
-                 anchor_bytes: int = 64, keep: str = "first", with_bytes: bool = False) -> DataFrame:
+                 anchor_bytes: int = 64, keep: str = "first", with_bytes: bool = False, hot_segments: int = HOT_SEGMENTS) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept): one row per row
     of ``docs``; ``kept`` (the remaining bytes) is null unless ``with_bytes``."""
     if keep not in ("first", "none"):
@@ -353,8 +459,8 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         raise ValueError("anchor_bytes must be between 8 and length")
     n = partitions(docs.sparkSession)
     parts = deal_documents(docs, id_col, text_col, n)
-    anchors = (parts.groupBy("part").applyInArrow(send_anchors(_cut, length, anchor_bytes, n), SENT)
-               .groupBy("bucket").applyInArrow(repeated_anchors, TOLD))
+    anchors = (parts.groupBy("part").applyInArrow(_send_anchors(length, anchor_bytes, n), SENT)
+               .groupBy("bucket").applyInArrow(_repeated(hot_segments), TOLD))
     codes = (parts.groupBy("part").cogroup(anchors.groupBy("part"))
              .applyInArrow(_send_segments(length, anchor_bytes, n), SEGMENTS)
              .groupBy("bucket").applyInArrow(_code_windows(length), TOLD))

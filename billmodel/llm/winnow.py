@@ -6,7 +6,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-from billmodel.llm.common import arrow_rows, dealt, is_in, packed, part_documents, rolled, sliding_min, unpacked
+from billmodel.llm.common import arrow_rows, dealt, id_array, is_in, ordered_ids, packed, part_documents, rolled, sliding_min, unpacked
 
 SENT = "bucket int, part int, kind int, body binary"
 TOLD = "part int, kind int, body binary"
@@ -86,3 +86,33 @@ def repeated_anchors(bucket: pa.Table) -> pa.Table:
         if len(some := anchors[is_in(anchors, repeated)]):
             rows.append((part, ANCHORS, packed(some)))
     return arrow_rows(TOLD, rows)
+
+
+class Matches:
+    """Windows around a part's repeated seeds: fingerprints and places, chunk by
+    chunk, and which of them are the part's first of their fingerprint."""
+
+    def __init__(self, cut, part_table: pa.Table, repeated: np.ndarray, length: int, k: int):
+        prints, ids, starts = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for doc_ids, texts in part_documents(part_table.column("docs")):
+            values, doc = cut(texts)
+            seeds = Seeds(values, doc, length, k)
+            at = seeds.windows(np.flatnonzero(is_in(seeds.anchor, repeated)))
+            if len(at):
+                prints.append(rolled(values, length)[at])
+                ids.append(ordered_ids(id_array(doc_ids))[doc[at]])
+                starts.append(at - np.searchsorted(doc, doc[at]))
+        self.prints, self.ids, self.starts = np.concatenate(prints), np.concatenate(ids), np.concatenate(starts)
+
+    def firsts(self) -> tuple[np.ndarray, np.ndarray]:
+        """Index of the first place of each fingerprint, and for every window
+        whether its place is that first one."""
+        order = np.lexsort((self.starts, self.ids, self.prints))
+        p, i, s = self.prints[order], self.ids[order], self.starts[order]
+        new = np.concatenate([[True], p[1:] != p[:-1]])[: len(p)]
+        head = np.flatnonzero(new)
+        group = np.cumsum(new) - 1
+        same = (i == i[head][group]) & (s == s[head][group]) if len(p) else np.zeros(0, bool)
+        is_first = np.zeros(len(p), bool)
+        is_first[order] = same
+        return order[head], is_first

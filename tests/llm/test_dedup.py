@@ -89,16 +89,17 @@ def test_op9_equals_the_definition(spark, texts):
     assert got == removed_bytes(list(texts.items()), 200, "none")
 
 
+@pytest.mark.parametrize("hot", [50_000, 3, 0])
 @pytest.mark.parametrize("keep", ["first", "none"])
-def test_suffix_dedup_odd_rows(spark, keep):
+def test_suffix_dedup_odd_rows(spark, keep, hot):
     r = random.Random(2)
     text = "".join(r.choice("abé ") for _ in range(300))
     rows = [(1, None), (2, ""), (3, text), (4, "x" + text[20:200] + "y" + text[100:]), (5, "ab" * 90), (-6, text[50:90]), (None, text[:120]), (9, "q" * 100_000)]
     columns = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
-    got = Counter(tuple(x[c] for c in columns) for x in suffix_dedup(odd(spark, rows), length=24, anchor_bytes=9, keep=keep).collect())
+    got = Counter(tuple(x[c] for c in columns) for x in suffix_dedup(odd(spark, rows), length=24, anchor_bytes=9, keep=keep, hot_segments=hot).collect())
     assert got == removed_bytes(rows, 24, keep)
     assert suffix_dedup(odd(spark, []), length=24, anchor_bytes=9).count() == 0
-    twice = suffix_dedup(odd(spark, [(1, text), (1, text)]), length=24, anchor_bytes=9, keep="none").collect()
+    twice = suffix_dedup(odd(spark, [(1, text), (1, text)]), length=24, anchor_bytes=9, keep="none", hot_segments=hot).collect()
     assert [x.n_removed for x in twice] == [len(text.encode())] * 2
 
 
