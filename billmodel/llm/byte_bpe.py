@@ -28,11 +28,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from billmodel.llm.common import CHUNK, arrow_rows, ship_package
+from billmodel.llm.common import arrow_rows, ship_package
 
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, ids array<long>"
 #: Words kept by a worker, and the longest that it keeps.
-KEPT_WORDS, KEPT_LENGTH = 400_000, 64
+KEPT_WORDS, KEPT_LENGTH = 100_000, 48
+#: Characters of text encoded at once.
+BLOCK = 1 << 19
 #: Matches of more bytes get a tree of their own.
 SIDE_BY_SIDE = 256
 NONE = np.iinfo(np.int64).max
@@ -45,6 +47,8 @@ class Vocabulary:
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(t): int(r) for t, r in (line.split() for line in f if line.strip())}
         self.tokens = {r: t for t, r in self.ranks.items()}
+        #: One object for each id, shared by all that is kept.
+        self.own = {r: r for r in self.tokens}
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
         self.shift = max(self.tokens).bit_length()
         self.pairs: dict[int, int] = {}
@@ -186,7 +190,8 @@ class Encoder:
             step = max(1, (1 << 19) // width)
             for i in range(0, len(some), step):
                 block = some[i : i + step]
-                out.update(zip(block, map(tuple, merge_together(block, width, self.vocabulary))))
+                own = self.vocabulary.own.__getitem__
+                out.update((p, tuple(map(own, ids))) for p, ids in zip(block, merge_together(block, width, self.vocabulary)))
         return out
 
     def texts(self, texts: list[str]) -> list[list[int]]:
@@ -241,7 +246,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]
             ids.append(i.as_py())
             texts.append(t.as_py() or "")
             held += len(texts[-1])
-            if held >= CHUNK:
+            if held >= BLOCK:
                 yield ids, texts
                 ids, texts, held = [], [], 0
         if ids:
