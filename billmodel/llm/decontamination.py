@@ -190,7 +190,7 @@ def without_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", ite
             flush(len(column))
             return pa.array(out)
 
-        return F.arrow_udf(run, "boolean")
+        return F.arrow_udf(run, "boolean").asNondeterministic()
 
     for sketches in _blocks(items, item_id_col, item_text_col, shingle, threshold):
         docs = docs.filter(clean(sketches)(F.col(f"`{text_col}`").cast("string")))

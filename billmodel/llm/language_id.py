@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from billmodel.llm.common import CHUNK, join_counted, let, ship_package
+from billmodel.llm.common import CHUNK, checkpointed, join_counted, let, ship_package
 
 #: Labelled rows a language that the trigram tables are fitted on (expected), and languages at most.
 SAMPLE_ROWS, MOST_LANGUAGES = 300, 64
@@ -106,7 +106,8 @@ def _text_evidence(model: TrigramModel) -> Callable[[Column], Column]:
         flush()
         return pa.array(out, pa.list_(pa.float64()))
 
-    return F.arrow_udf(run, "array<double>")
+    # not to be worked out once more for a filter on what follows from it
+    return F.arrow_udf(run, "array<double>").asNondeterministic()
 
 
 def _softmax(logs: Column) -> Column:
@@ -143,15 +144,17 @@ def host_levels(host: Column) -> list[Column]:
     return [F.element_at(labels, -1), parent, host]
 
 
-def host_priors(spread: DataFrame, n_languages: int) -> tuple[DataFrame, list[float], int]:
-    """(host, host_rows, prior): smoothed spreads by host, the spread of all rows,
-    and how many rows there are. ``spread`` has host and p0, p1, ..."""
+def host_priors(spread: DataFrame, n_languages: int) -> tuple[DataFrame, int, list[float], int]:
+    """(host, host_rows, prior): smoothed spreads by host, the number of hosts,
+    the spread of all rows, and how many rows there are. ``spread`` has host and
+    p0, p1, ...; it is read once, into a written table of one row a host."""
     sums = [F.sum(f"p{i}").alias(f"p{i}") for i in range(n_languages)]
-    hosts = spread.filter(F.col("host").isNotNull()).groupBy("host").agg(F.count("*").alias("host_rows"), *sums)
+    every = checkpointed(spread.groupBy("host").agg(F.count("*").alias("host_rows"), *sums))
     top, parent, _ = host_levels(F.col("host"))
-    hosts = hosts.withColumn("top", top).withColumn("parent", parent)
-    total = spread.agg(F.count("*").alias("n"), *sums).first()
-    everything = [((total[f"p{i}"] or 0.0) + 1.0 / n_languages) / (total["n"] + 1.0) for i in range(n_languages)]
+    hosts = every.filter(F.col("host").isNotNull()).withColumn("top", top).withColumn("parent", parent)
+    total = every.agg(F.sum("host_rows").alias("n"), F.count("host").alias("hosts"), *sums).first()
+    n_rows, n_hosts = total["n"] or 0, total["hosts"]
+    everything = [((total[f"p{i}"] or 0.0) + 1.0 / n_languages) / (n_rows + 1.0) for i in range(n_languages)]
 
     def smoothed(rows: Column, above: list[Column], prefix: str) -> Column:
         return F.array(*[(F.col(f"{prefix}{i}") + SMOOTHING * above[i]) / (rows + SMOOTHING) for i in range(n_languages)])
@@ -163,12 +166,11 @@ def host_priors(spread: DataFrame, n_languages: int) -> tuple[DataFrame, list[fl
     tops = level("top", None)
     tops = tops.select("top", "below", smoothed(F.col("rows"), [F.lit(x) for x in everything], "p").alias("above"))
     parents = level("parent", "top")
-    n_hosts = hosts.count()
     above = lambda: [F.col("above")[i] for i in range(n_languages)]
     parents = join_counted(parents.withColumnRenamed("below", "hosts"), tops, "top", "below", n_hosts)
     parents = parents.select("parent", F.col("hosts").alias("below"), smoothed(F.col("rows"), above(), "p").alias("above"))
     hosts = join_counted(hosts, parents, "parent", "below", n_hosts)
-    return hosts.select("host", "host_rows", smoothed(F.col("host_rows"), above(), "p").alias("prior")), everything, total["n"]
+    return hosts.select("host", "host_rows", smoothed(F.col("host_rows"), above(), "p").alias("prior")), n_hosts, everything, n_rows
 
 
 def train(docs: DataFrame, text: Column, label: Column, sample_rows: int = SAMPLE_ROWS) -> TrigramModel:
@@ -197,25 +199,25 @@ def language_id(docs: DataFrame, text: Column, declared: Column | None = None, s
     model = train(docs, text, declared if label is None else label.cast("string"), sample_rows)
     n = len(model.languages)
     prior = [*[1.0 / n] * (n - 1), UNKNOWN]
-    own = docs.columns
-    scored = docs.select(*[F.col(f"`{c}`") for c in own], _text_evidence(model)(text).alias("_logs"), declared.alias("_declared"),
-                         suffix.alias("_suffix"), host.alias("host_") if "host" in own else host.alias("host"))
-    key = "host_" if "host" in own else "host"
-    text_only = _softmax(_added(F.col("_logs"), _constants(np.log(prior))))
-    seen = scored.filter(F.col("_logs").isNotNull()).select(F.col(key).alias("host"), text_only.alias("post"))
+    # internal columns have a prefix of their own; results replace columns of their names
+    own, key = [c for c in docs.columns if c not in ("language", "confidence", "kept")], "__lang_host"
+    scored = docs.select(*[F.col(f"`{c}`") for c in own], _text_evidence(model)(text).alias("__lang_logs"), declared.alias("__lang_declared"),
+                         suffix.alias("__lang_suffix"), host.alias(key))
+    text_only = _softmax(_added(F.col("__lang_logs"), _constants(np.log(prior))))
+    seen = scored.filter(F.col("__lang_logs").isNotNull()).select(F.col(key).alias("host"), text_only.alias("post"))
     spread = seen.select("host", *[F.col("post")[i].alias(f"p{i}") for i in range(n)])
-    hosts, everything, total = host_priors(spread, n)
-    hosts = hosts.withColumnRenamed("host", key)
-    if hosts.count() <= MOST_HOSTS:
+    hosts, n_hosts, everything, total = host_priors(spread, n)
+    hosts = hosts.select(F.col("host").alias(key), "host_rows", F.col("prior").alias("__lang_prior"))
+    if n_hosts <= MOST_HOSTS:
         joined = scored.join(F.broadcast(hosts.drop("host_rows")), key, "left")
     else:
-        joined = join_counted(scored, hosts, key, "host_rows", total)
-    priors = F.transform(F.coalesce("prior", _constants(everything)), lambda x: F.log(x))
-    claims = _added(_claim(F.col("_declared"), model, DECLARED), _claim(F.col("_suffix"), model, SUFFIX))
-    fused = joined.withColumn("_fused", F.when(F.col("_logs").isNotNull(), _added(_added(F.col("_logs"), priors), claims)))
-    posterior = fused.withColumn("_post", F.when(F.col("_fused").isNotNull(), _softmax(F.col("_fused"))))
-    best = posterior.withColumn("confidence", F.coalesce(F.array_max("_post"), F.lit(0.0)))
-    at = F.array_position("_post", F.col("confidence")).cast("int")
+        joined = join_counted(scored, hosts.withColumnRenamed("host_rows", "__lang_rows"), key, "__lang_rows", total)
+    priors = F.transform(F.coalesce("__lang_prior", _constants(everything)), lambda x: F.log(x))
+    claims = _added(_claim(F.col("__lang_declared"), model, DECLARED), _claim(F.col("__lang_suffix"), model, SUFFIX))
+    fused = joined.withColumn("__lang_fused", F.when(F.col("__lang_logs").isNotNull(), _added(_added(F.col("__lang_logs"), priors), claims)))
+    posterior = fused.withColumn("__lang_post", F.when(F.col("__lang_fused").isNotNull(), _softmax(F.col("__lang_fused"))))
+    best = posterior.withColumn("confidence", F.coalesce(F.array_max("__lang_post"), F.lit(0.0)))
+    at = F.array_position("__lang_post", F.col("confidence")).cast("int")
     named = best.withColumn("language", F.coalesce(F.element_at(F.array(*[F.lit(x) for x in model.languages]), F.nullif(at, F.lit(0))), F.lit(UND)))
     kept = (F.col("language") != UND) & (F.col("confidence") >= least)
     return named.withColumn("kept", kept).select(*[F.col(f"`{c}`") for c in own], "language", "confidence", "kept")

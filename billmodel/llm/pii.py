@@ -316,4 +316,4 @@ def mask_texts(docs: DataFrame, text_col: str = "text", train_docs: int = TRAIN_
         flush()
         return pa.array(out, pa.string())
 
-    return docs.withColumn(text_col, F.arrow_udf(run, "string")(F.col(f"`{text_col}`").cast("string")))
+    return docs.withColumn(text_col, F.arrow_udf(run, "string").asNondeterministic()(F.col(f"`{text_col}`").cast("string")))

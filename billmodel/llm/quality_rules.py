@@ -85,15 +85,15 @@ def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_lines, n_dup_lines and
     n_repeat_words of every whole text."""
     text = F.col(f"`{text_col}`").cast("string")
-    made = docs.withColumn("_words", words_of(text)).withColumn("_lines", lines_of(text))
+    made = docs.withColumn("__words", words_of(text)).withColumn("__lines", lines_of(text))
     return made.withColumns({
-        "n_words": F.size("_words").cast("long"),
-        "word_chars": word_chars(F.col("_words")),
+        "n_words": F.size("__words").cast("long"),
+        "word_chars": word_chars(F.col("__words")),
         "n_symbols": symbols(text),
-        "n_lines": F.size("_lines").cast("long"),
-        "n_dup_lines": repeats(F.col("_lines")),
-        "n_repeat_words": repeated_words(F.col("_words")),
-    }).drop("_words", "_lines")
+        "n_lines": F.size("__lines").cast("long"),
+        "n_dup_lines": repeats(F.col("__lines")),
+        "n_repeat_words": repeated_words(F.col("__words")),
+    }).drop("__words", "__lines")
 
 
 @dataclass(frozen=True)

@@ -274,8 +274,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     same id and text are one document; a row without an id cannot be named as
     another's copy and stays."""
     groups = simhash_dedup(docs, id_col, text_col, shingle, bits)
-    first = groups.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_first")).distinct()
-    kept = docs.filter(F.col(f"`{id_col}`").isNotNull()).join(first, F.col(f"`{id_col}`") == F.col("_first"), "left_semi")
+    first = groups.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__first")).distinct()
+    kept = docs.filter(F.col(f"`{id_col}`").isNotNull()).join(first, F.col(f"`{id_col}`") == F.col("__first"), "left_semi")
     same = Window.partitionBy(f"`{id_col}`", F.xxhash64(f"`{text_col}`")).orderBy(*[F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)], F.lit(1))
-    kept = kept.withColumn("_copy", F.row_number().over(same)).filter("_copy = 1").drop("_copy")
+    kept = kept.withColumn("__copy", F.row_number().over(same)).filter("__copy = 1").drop("__copy")
     return kept.unionByName(docs.filter(F.col(f"`{id_col}`").isNull()))
