@@ -64,7 +64,7 @@ class _Part:
         """How often each n-gram occurs outside the document of its place."""
         number = np.searchsorted(counted, grams)
         key = self.doc[at] * max(1, len(counted)) + number
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         new = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))[: len(key)]
         sizes = np.diff(np.concatenate([new, [len(key)]]))
         own = np.empty(len(key), np.int64)
@@ -127,7 +127,9 @@ class _Known:
     def next(self, p: _Part, n: int) -> np.ndarray:
         """Where an n-gram one longer may occur elsewhere: both n-grams in it do."""
         ends = self.at[n - 1]
-        both = ends[np.isin(ends - 1, ends, assume_unique=True)]
+        known = np.zeros(len(p.hashes) + 1, bool)
+        known[ends] = True
+        both = ends[known[ends - 1]]  # (the last entry, of place -1, stays false)
         both = both[both >= n]
         return both[p.doc[both] == p.doc[both - n]]
 
