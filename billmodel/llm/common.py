@@ -25,9 +25,18 @@ CHUNK = 1 << 20
 MASK = (1 << 64) - 1
 
 
+#: Rows of a batch between Spark and Python. Texts are long: Spark's 10,000 rows
+#: would hold tens to hundreds of MB in each task, on both sides.
+BATCH_SETTING, BATCH_ROWS, SPARKS_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch", "1000", "10000"
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Sends this package to the executors once per application, so that their
-    Python workers can import the functions that the jobs name."""
+    """Readies a session for jobs in Python: sends this package to the executors
+    once per application, so that their workers can import the functions that
+    the jobs name (the archive is the driver's own, Spark sends its content),
+    and lowers the rows of a batch unless they were set otherwise."""
+    if spark.conf.get(BATCH_SETTING) == SPARKS_BATCH:
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
     sc = spark.sparkContext
     if getattr(sc, "_billmodel_shipped", False):
         return
@@ -220,29 +229,38 @@ PART_SCHEMA = "part int, docs binary"
 NULL_ID = np.iinfo(np.int64).max
 
 
+#: Bytes of documents that a task deals at once (larger blobs press better).
+DEALT = 16 << 20
+
+
 def _deal_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = arrow_schema(PART_SCHEMA)
-    press = zstandard.ZstdCompressor(level=1)
+    held: list[pa.RecordBatch] = []
     for batch in batches:
-        part = batch.column(0).to_numpy(zero_copy_only=False)
-        order = np.argsort(part, kind="stable")
-        if not len(order):
-            continue
-        at = np.flatnonzero(np.concatenate([[True], part[order][1:] != part[order][:-1]]))
-        parts, blobs = [], []
-        whole = pa.Table.from_batches([batch]).drop_columns(["part"])
-        for s, e in zip(at, np.concatenate([at[1:], [len(order)]])):
-            sink = pa.BufferOutputStream()
-            rows = whole.take(pa.array(order[s:e])).combine_chunks()
-            with pa.ipc.new_stream(sink, rows.schema) as w:
-                w.write_table(rows)
-            parts.append(int(part[order[s]]))
-            blobs.append(press.compress(sink.getvalue()))
-            if sum(map(len, blobs)) > 8 << 20:
-                yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(blobs, pa.binary())], schema=schema)
-                parts, blobs = [], []
-        if parts:
-            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(blobs, pa.binary())], schema=schema)
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= DEALT:
+            yield from _deal(held)
+            held = []
+    yield from _deal(held)
+
+
+def _deal(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema, press = arrow_schema(PART_SCHEMA), zstandard.ZstdCompressor(level=1)
+    part = np.concatenate([np.zeros(0, np.int32), *(b.column(0).to_numpy(zero_copy_only=False) for b in batches)])
+    if not len(part):
+        return
+    order = np.argsort(part, kind="stable")
+    at = np.flatnonzero(np.concatenate([[True], part[order][1:] != part[order][:-1]]))
+    whole = pa.Table.from_batches(batches).drop_columns(["part"])
+    parts, blobs = [], []
+    for s, e in zip(at, np.concatenate([at[1:], [len(order)]])):
+        sink = pa.BufferOutputStream()
+        rows = whole.take(pa.array(order[s:e])).combine_chunks()
+        with pa.ipc.new_stream(sink, rows.schema) as w:
+            w.write_table(rows)
+        parts.append(int(part[order[s]]))
+        blobs.append(press.compress(sink.getvalue()))
+    for s in range(0, len(parts), 64):
+        yield pa.RecordBatch.from_arrays([pa.array(parts[s : s + 64], pa.int32()), pa.array(blobs[s : s + 64], pa.binary())], schema=schema)
 
 
 def deal_documents(docs: DataFrame, id_col: str, text_col: str, parts: int) -> DataFrame:
@@ -290,19 +308,24 @@ def ordered_ids(ids: np.ndarray) -> np.ndarray:
 #: A key is hot if it holds more than this share of the rows, so at most
 #: 1 / HOT_SHARE keys are hot: a proven bound for their broadcast.
 HOT_SHARE = 0.001
+#: Up to so many rows in all no key can hold more than one task joins at ease.
+PLAIN_ROWS = 100_000
 
 
-def join_counted(left: DataFrame, right: DataFrame, key: str, count: str, total: int) -> DataFrame:
+def join_counted(left: DataFrame, right: DataFrame, key: str, count: str, total: int, plain_rows: int = PLAIN_ROWS) -> DataFrame:
     """Left join to ``right`` (one row per non-null ``key``, with the ``count`` of
     left rows of the key, ``total`` in all). Rows of hot keys find theirs in a
     broadcast of at most ``1 / HOT_SHARE`` rows and stay where they are; only
-    the others are shuffled. ``count`` is dropped."""
+    the others are shuffled. With at most ``plain_rows`` rows in all it is a
+    plain join. ``count`` is dropped."""
+    if total <= plain_rows:
+        return left.join(right.drop(count), key, "left")
     hot = right.filter(F.col(count) > total * HOT_SHARE)
     rest = right.filter(F.col(count) <= total * HOT_SHARE).drop(count)
-    known = F.broadcast(hot.select(F.col(key).alias("_hot")))
-    marked = left.join(known, F.col(key) == F.col("_hot"), "left")
-    few = marked.filter(F.col("_hot").isNull()).drop("_hot").join(rest, key, "left")
-    many = marked.filter(F.col("_hot").isNotNull()).drop("_hot").join(F.broadcast(hot.drop(count)), key)
+    known = F.broadcast(hot.select(F.col(key).alias("__hot")))
+    marked = left.join(known, F.col(key) == F.col("__hot"), "left")
+    few = marked.filter(F.col("__hot").isNull()).drop("__hot").join(rest, key, "left")
+    many = marked.filter(F.col("__hot").isNotNull()).drop("__hot").join(F.broadcast(hot.drop(count)), key)
     return few.unionByName(many)
 
 
