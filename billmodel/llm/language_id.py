@@ -3,9 +3,11 @@
 Four kinds of evidence on a document's language are fused in log space:
 
 * *text*: byte-trigram likelihoods of the whole text, one table of trigram
-  probabilities per language, fitted on a bounded sample of labelled rows
-  (``SAMPLE_ROWS`` a language, picked by a hash over all rows). Trigrams are not
-  independent, so a text weighs as much as ``EVIDENCE`` trigrams at most.
+  probabilities per language, for every label that has rows, fitted on a bounded
+  sample of them (about ``SAMPLE_ROWS`` different texts a language, picked by a
+  hash over all rows, counted where they are). Trigrams are not independent, so
+  a text weighs as much as ``EVIDENCE`` trigrams at most. The tables take 256 KB
+  a language, on the driver and in every worker.
 * *declared* language (of the markup, or a column), right with ``DECLARED``;
 * *address suffix* (a country domain or a path), right with ``SUFFIX``;
 * *host prior*: how the texts of a host are spread over languages, by grouped
@@ -27,7 +29,7 @@ without labelled rows, or an empty one, knows no language: all rows are ``und``.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,8 +39,10 @@ from pyspark.sql import functions as F
 
 from billmodel.llm.common import CHUNK, checkpointed, join_counted, let, ship_package
 
-#: Labelled rows a language that the trigram tables are fitted on (expected), and languages at most.
-SAMPLE_ROWS, MOST_LANGUAGES = 300, 64
+#: Different labelled texts a language that the trigram tables are fitted on (expected).
+SAMPLE_ROWS = 300
+#: Numbers (trigrams times languages) that are looked up at once.
+CELLS = 1 << 24
 EVIDENCE, DECLARED, SUFFIX, UNKNOWN = 60, 0.9, 0.8, 0.01
 #: Rows of the parent's spread that a level of the host hierarchy starts from.
 SMOOTHING = 20.0
@@ -64,27 +68,61 @@ class TrigramModel:
         out = np.zeros((len(texts), len(self.languages)))
         some = np.flatnonzero(sizes)
         if len(some):
-            data = np.frombuffer(b"".join(texts[i] for i in some), np.uint8)
-            logs = self.logs[_trigrams(data)]
+            codes = _trigrams(np.frombuffer(b"".join(texts[i] for i in some), np.uint8))
             starts = np.concatenate([[0], np.cumsum(sizes[some][:-1] + 2)])
-            ends = np.minimum(starts + sizes[some], len(logs))
-            cuts = np.stack([starts, ends], axis=1).ravel()
-            if cuts[-1] == len(logs):
-                cuts = cuts[:-1]
-            out[some] = np.add.reduceat(logs, cuts, axis=0, dtype=np.float64)[::2]
+            ends = starts + sizes[some]
+            step = max(1, CELLS // len(self.languages))
+            for at in range(0, len(codes), step):
+                logs = self.logs[codes[at : at + step]]
+                # the texts that this slice has trigrams of, the ends of it cut
+                a, b = np.searchsorted(ends, at, "right"), np.searchsorted(starts, at + len(logs), "left")
+                if a == b:
+                    continue
+                cuts = np.stack([np.maximum(starts[a:b] - at, 0), np.minimum(ends[a:b] - at, len(logs))], axis=1).ravel()
+                if cuts[-1] == len(logs):
+                    cuts = cuts[:-1]
+                out[some[a:b]] += np.add.reduceat(logs, cuts, axis=0, dtype=np.float64)[::2]
         return out, sizes
 
 
+def _counted(text: str) -> np.ndarray:
+    data = np.frombuffer(text.lower().encode(), np.uint8)
+    return np.bincount(_trigrams(data), minlength=BUCKETS) if len(data) > 2 else np.zeros(BUCKETS, np.int64)
+
+
+def _tables(languages: list[str], counts: Iterable[np.ndarray]) -> TrigramModel:
+    """The model of each language's counts by bucket, add-half smoothed."""
+    logs = np.full((BUCKETS, len(languages) + 1), -np.log(BUCKETS), np.float32)  # und is uniform
+    for n, found in enumerate(counts):
+        logs[:, n] = np.log((found + 0.5) / (found + 0.5).sum())
+    return TrigramModel([*languages, UND], logs)
+
+
 def fit(samples: list[tuple[str, str]], languages: list[str]) -> TrigramModel:
-    """Trigram tables of (language, text) rows, add-half smoothed."""
-    counts = np.full((BUCKETS, len(languages)), 0.5)
-    for n, language in enumerate(languages):
-        for text in (t.encode() for lang, t in samples if lang == language):
-            if len(text) > 2:
-                counts[:, n] += np.bincount(_trigrams(np.frombuffer(text.lower(), np.uint8)), minlength=BUCKETS)
-    logs = np.log(counts / counts.sum(axis=0))
-    uniform = np.full((BUCKETS, 1), -np.log(BUCKETS))
-    return TrigramModel([*languages, UND], np.concatenate([logs, uniform], axis=1).astype(np.float32))
+    """Trigram tables of (language, text) rows."""
+    nothing = np.zeros(BUCKETS, np.int64)
+    return _tables(languages, (sum((_counted(t) for lang, t in samples if lang == language), nothing) for language in languages))
+
+
+def _bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(label, bucket, n) of (label, text), summed by batch."""
+    for batch in batches:
+        found: dict[str, np.ndarray] = {}
+        for label, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            if label not in found:
+                found[label] = np.zeros(BUCKETS, np.int64)
+            found[label] += _counted(text.as_py())
+            if len(found) == 64:
+                yield from _count_rows(found)
+                found = {}
+        yield from _count_rows(found)
+
+
+def _count_rows(found: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    for label, counts in found.items():
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array([label] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())],
+                                         ["label", "bucket", "n"])
 
 
 def _text_evidence(model: TrigramModel) -> Callable[[Column], Column]:
@@ -132,9 +170,11 @@ def _claim(claimed: Column, model: TrigramModel, right: float) -> Column:
     nothing = _constants([0.0] * len(model.languages))
     if not known:
         return nothing
-    under = {c: np.log([right if x == c else wrong for x in known] + [1 / len(known)]) for c in known}
-    table = F.create_map(*[x for c in known for x in (F.lit(c), _constants(under[c]))])
-    return F.coalesce(F.try_element_at(table, F.coalesce(claimed, F.lit(""))), nothing)
+    # one row of numbers, not one a language: the claimed place alone differs
+    place = F.try_element_at(F.create_map(*[F.lit(x) for n, c in enumerate(known) for x in (c, n)]), F.coalesce(claimed, F.lit("")))
+    others = _constants([*[float(np.log(wrong))] * len(known), float(np.log(1 / len(known)))])
+    under = let(place, lambda at: F.when(at.isNotNull(), F.transform(others, lambda x, n: F.when(n == at, float(np.log(right))).otherwise(x))))
+    return F.coalesce(under, nothing)
 
 
 def host_levels(host: Column) -> list[Column]:
@@ -174,18 +214,29 @@ def host_priors(spread: DataFrame, n_languages: int) -> tuple[DataFrame, int, li
 
 
 def train(docs: DataFrame, text: Column, label: Column, sample_rows: int = SAMPLE_ROWS) -> TrigramModel:
-    """Trigram tables from about ``sample_rows`` rows of each labelled language."""
-    rows = docs.select(text.alias("text"), label.alias("label")).filter("text <> '' and label <> ''")
-    known = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(MOST_LANGUAGES).collect()
+    """Trigram tables of every label, from about ``sample_rows`` different texts each."""
+    ship_package(docs.sparkSession)
+    rows = docs.select(label.alias("label"), text.alias("text")).filter("text <> '' and label <> ''")
+    # copies of one text share a spot: a share of the different texts, else a label of copies may have none
+    known = rows.groupBy("label").agg(F.approx_count_distinct(F.xxhash64("text")).alias("texts")).collect()
     languages = sorted(r["label"] for r in known)
     if not languages:
         return fit([], [])
-    share = F.create_map(*[F.lit(x) for r in known for x in (r["label"], min(1.0, sample_rows / r["count"]))])
+    share = F.create_map(*[F.lit(x) for r in known for x in (r["label"], min(1.0, sample_rows / r["texts"]))])
     spot = F.pmod(F.xxhash64("text"), F.lit(1_000_003)) / 1_000_003.0
-    picked = rows.filter(spot < F.element_at(share, F.col("label"))).select("label", "text")
-    # copies of one text share a spot: the limit keeps the bound whatever repeats
-    picked = picked.distinct().limit(2 * sample_rows * len(languages))
-    return fit([tuple(r) for r in picked.collect()], languages)
+    picked = rows.filter(spot < F.element_at(share, F.col("label"))).distinct()
+    sums = picked.mapInArrow(_bucket_counts, "label string, bucket long, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n"))
+    place = F.element_at(F.create_map(*[F.lit(x) for n, c in enumerate(languages) for x in (c, n)]), F.col("label"))
+    found = sums.select(place.alias("place"), F.col("bucket").cast("int").alias("bucket"), "n").toArrow()
+    places, buckets, n = (found.column(c).to_numpy() for c in ("place", "bucket", "n"))
+    order = np.argsort(places, kind="stable")
+    ends = np.searchsorted(places[order], np.arange(len(languages) + 1))
+
+    def counts() -> Iterator[np.ndarray]:
+        for a, b in zip(ends, ends[1:]):
+            yield np.bincount(buckets[order[a:b]], n[order[a:b]], BUCKETS)
+
+    return _tables(languages, counts())
 
 
 def language_id(docs: DataFrame, text: Column, declared: Column | None = None, suffix: Column | None = None, host: Column | None = None,

@@ -236,6 +236,26 @@ def test_evidence_decides_where_the_text_cannot(spark):
     assert got["a.x.fr"][1] > got["b.x.fr"][1] > 0.5  # one row does not outweigh the domain
 
 
+def test_every_label_is_a_language(spark, monkeypatch):
+    """A hundred labels, the rare ones of one text and many copies of it."""
+    r = random.Random(6)
+    words = [["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(20)] for _ in range(100)]
+    rows = []
+    for n, own in enumerate(words):
+        text = " ".join(r.choices(own, k=40))
+        rows += [(" ".join(r.choices(own, k=40)), f"l{n:02}") for _ in range(8)] if n < 70 else [(text, f"l{n:02}")] * (900 if n == 99 else 2)
+    df = spark.createDataFrame(rows + [(" ".join(r.choices(own, k=40)), None) for own in words], "text string, lang string")
+    got = Counter((x.lang, x.language, x.kept) for x in language_id(df, F.col("text"), declared=F.col("lang"), sample_rows=30).collect())
+    assert got == Counter((lang, lang, True) for _, lang in rows) + Counter((None, f"l{n:02}", True) for n in range(100))
+    # scored in slices: the same numbers
+    model = fit(rows[:40], sorted({lang for _, lang in rows[:40]}))
+    texts = [t.encode() for t, _ in rows[:9]] + [b"", b"ab", b"abcd", b"abc"]
+    whole = model.scores(texts)
+    for cells in (1, 7, 200, 1000):
+        monkeypatch.setattr("billmodel.llm.language_id.CELLS", cells)
+        assert all(np.allclose(a, b, rtol=1e-12) for a, b in zip(model.scores(texts), whole))
+
+
 def test_language_odd_tables(spark):
     nothing = language_id(odd(spark, [(1, "abc def"), (2, None)]), F.col("text"))
     assert {(r.language, r.kept) for r in nothing.collect()} == {("und", False)}
