@@ -207,9 +207,18 @@ def model_spans(model: Tagger, texts: list[str]) -> list[list[Span]]:
     step = 1024  # stretches at once
     for first in range(0, len(places), step):
         some = places[first : first + step]
+        sums = [np.zeros((e - s, model.bias.size), np.float32) for _, s, e in some]
+        weights = [np.zeros((e - s, 1), np.float32) for _, s, e in some]
         rows, of = [], []
+
+        def score() -> None:
+            scores = model.emissions(np.stack(rows)) * _WEIGHT[:, None]
+            for (n, at, size), x in zip(of, scores):
+                sums[n][at : at + size] += x[:size]
+                weights[n][at : at + size, 0] += _WEIGHT[:size]
+
         for n, (d, s, e) in enumerate(some):
-            chars = classes(texts[d][s:e]).astype(np.int64)
+            chars = classes(texts[d][s:e])
             starts = [*range(0, max(1, len(chars) - WINDOW), STRIDE), max(0, len(chars) - WINDOW)]
             for at in dict.fromkeys(starts):
                 row = np.full(WINDOW, CLASSES, np.int64)
@@ -217,14 +226,14 @@ def model_spans(model: Tagger, texts: list[str]) -> list[list[Span]]:
                 row[: len(cut)] = cut
                 rows.append(row)
                 of.append((n, at, len(cut)))
-        sums = [np.zeros((e - s, model.bias.size), np.float32) for _, s, e in some]
-        weights = [np.zeros((e - s, 1), np.float32) for _, s, e in some]
-        for block in range(0, len(rows), 2048):
-            scores = model.emissions(np.stack(rows[block : block + 2048])) * _WEIGHT[:, None]
-            for (n, at, size), x in zip(of[block : block + 2048], scores):
-                sums[n][at : at + size] += x[:size]
-                weights[n][at : at + size, 0] += _WEIGHT[:size]
-        for (d, s, _), tags in zip(some, model.decode([x / w for x, w in zip(sums, weights)])):
+                if len(rows) == 2048:
+                    score()
+                    rows, of = [], []
+        if rows:
+            score()
+        for x, w in zip(sums, weights):
+            x /= w
+        for (d, s, _), tags in zip(some, model.decode(sums)):
             out[d] += [(k, s + a, s + b) for k, a, b in spans_of(tags)]
     return out
 

@@ -12,6 +12,8 @@ TAGS = 1 + 2 * len(KINDS)
 PUNCTUATION = "@.+-_%()/:,;#*'\""
 CLASSES = 26 + 1 + len(PUNCTUATION) + 3
 NEVER = -1e4
+#: Positions (rows times their longest) that are decoded at once; a longer stretch goes alone.
+CELLS = 1 << 20
 
 
 def _class_table() -> np.ndarray:
@@ -178,27 +180,39 @@ class Tagger:
     # --- decoding ----------------------------------------------------------------
 
     def decode(self, scores: list[np.ndarray]) -> list[np.ndarray]:
-        """Best tag sequences of stretches (position, tag), side by side."""
-        out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(scores)
-        by_length = sorted(range(len(scores)), key=lambda i: len(scores[i]))
+        """Best tag sequences of stretches (position, tag), side by side as
+        far as their positions fit ``CELLS``; all of a stretch in one pass."""
+        out: list[np.ndarray] = [np.zeros(0, np.int8)] * len(scores)
+        by_length = sorted((i for i in range(len(scores)) if len(scores[i])), key=lambda i: len(scores[i]))
         moves = self.moves + allowed()
-        for first in range(0, len(by_length), 512):
-            some = by_length[first : first + 512]
-            length = len(scores[some[-1]])
-            grid = np.zeros((len(some), length, TAGS), np.float32)
-            for r, i in enumerate(some):
-                grid[r, : len(scores[i])] = scores[i]
-                grid[r, len(scores[i]) :, 1:] = NEVER  # padding is outside
+        first = 0
+        while first < len(by_length):
+            end = first + 1
+            while end < len(by_length) and (end + 1 - first) * len(scores[by_length[end]]) <= CELLS:
+                end += 1
+            some, first = by_length[first:end], end
+            lengths = np.array([len(scores[i]) for i in some])
+            length = int(lengths[-1])
+            if len(some) == 1:
+                grid = scores[some[0]][None]
+            else:
+                grid = np.zeros((len(some), length, TAGS), np.float32)
+                for r, i in enumerate(some):
+                    grid[r, : len(scores[i])] = scores[i]
             best, back = grid[:, 0] + allowed()[0], np.zeros((length, len(some), TAGS), np.int8)
+            # rows before this one have ended: they stay as they are, whatever is beside them
+            ended = np.searchsorted(lengths, np.arange(length), "right").tolist()
             for t in range(1, length):
-                paths = best[:, :, None] + moves
-                back[t] = paths.argmax(axis=1)
-                best = paths.max(axis=1) + grid[:, t]
+                on = ended[t]
+                paths = best[on:, :, None] + moves
+                back[t, on:] = paths.argmax(axis=1)
+                best[on:] = paths.max(axis=1) + grid[on:, t]
             tag = best.argmax(axis=1)
-            tags = np.empty((len(some), length), np.int64)
+            tags, row = np.empty((len(some), length), np.int8), np.arange(len(some))
             for t in range(length - 1, -1, -1):
+                on = ended[t]
                 tags[:, t] = tag
-                tag = back[t][np.arange(len(some)), tag]
+                tag[on:] = back[t][row[on:], tag[on:]]
             for r, i in enumerate(some):
                 out[i] = tags[r, : len(scores[i])]
         return out

@@ -144,6 +144,25 @@ def test_tagger_gradients_and_decoding():
     assert spans_of(np.array([0, 1, 2, 2, 0, 3, 3, 4])) == [(0, 1, 4), (1, 5, 6), (1, 6, 8)]
 
 
+def test_long_stretches_take_no_grid_of_all(spark):
+    """One stretch of a table page among hundreds of short ones: decoded as if
+    alone, in memory that follows the sum of lengths."""
+    import tracemalloc
+
+    model, rng = Tagger(), np.random.default_rng(5)
+    scores = [rng.normal(0, 1, (n, len(model.bias))).astype(np.float32) for n in [*rng.integers(1, 90, 511), 20_000]]
+    model.moves = rng.normal(0, 1, model.moves.shape).astype(np.float32)
+    tracemalloc.start()
+    got = model.decode(scores)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6  # a grid of all: 370 MB
+    for n in [*range(0, 511, 50), 511]:
+        assert got[n].tolist() == model.decode([scores[n]])[0].tolist()
+    texts = ["1,2;" * 5000, "call +1 555 123 4567 now", "x"]
+    assert P.model_spans(model, texts) == [P.model_spans(model, [t])[0] for t in texts]
+
+
 def test_model_finds_held_out_spans(spark):
     """Trained on one half of the documents, it finds the other half's spans."""
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter("length(text) < 5000")
