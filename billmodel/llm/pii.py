@@ -4,11 +4,13 @@ Base spans are found in the whole text, leftmost and non-overlapping by kind:
 e-mail addresses, IPv4 addresses (parts up to 255), card numbers (16 to 19
 digits that pass Luhn) and phone numbers (a plus and 8 to 15 digits).
 
-The model is trained here, on the driver, from labelled windows: base spans of
-about ``TRAIN_DOCS`` documents (picked by a hash of the text over all rows; at
-most ``TRAIN_WINDOWS`` different windows), some of them in other common
-spellings (another separator, no plus), and windows with digits or an ``@`` that
-are no personal data. All kinds hold a digit or an ``@``, so the model reads the
+The model is trained here, on the driver, from labelled windows: base spans,
+some of them in other common spellings (another separator, no plus), and windows
+with digits or an ``@`` that are no personal data. They are picked kind by kind,
+so that harmless digits, however many, leave the others their place: at most
+``BOUNDS`` different windows of each, from about ``TRAIN_DOCS`` documents (by a
+hash of the text over all rows), and for kinds still short of their bound from
+ever more documents, all rows in the end. All kinds hold a digit or an ``@``, so the model reads the
 surroundings of these characters, in overlapping windows; where windows overlap
 their tag scores are averaged, weighted by the distance to the window's edge, and
 one Viterbi pass over the whole stretch reconciles them. A span of the model is
@@ -24,7 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +40,9 @@ from billmodel.llm.pii_model import CLASSES, KINDS, Tagger, classes, spans_of
 RESULT = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, masked string"
 WINDOW, STRIDE, REACH = 64, 32, 40
 TRAIN_DOCS, TRAIN_WINDOWS, TRAIN_STEPS = 20_000, 2_400, 240
-EMAIL, IP, CARD, PHONE = range(4)
+EMAIL, IP, CARD, PHONE, NONE = range(5)
+#: Training windows of each kind, and of those that are no personal data.
+BOUNDS = {EMAIL: TRAIN_WINDOWS // 4, IP: TRAIN_WINDOWS // 4, CARD: TRAIN_WINDOWS // 4, PHONE: TRAIN_WINDOWS // 4, NONE: TRAIN_WINDOWS // 2}
 Span = tuple[int, int, int]
 
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -49,6 +53,8 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _TRIGGER = re.compile(r"[0-9@]")
 _DIGIT = re.compile(r"[0-9]")
+#: What every text with a base span of a kind has (Java's and Python's syntax).
+_HINTS = {EMAIL: r"[A-Za-z0-9._%+-]@[A-Za-z0-9-]+\.[A-Za-z0-9-]", IP: r"[0-9]\.[0-9]+\.[0-9]+\.[0-9]", CARD: r"[0-9]([ -]?[0-9]){15}", PHONE: r"\+[0-9]"}
 
 
 def luhn(digits: str) -> bool:
@@ -114,29 +120,109 @@ def _tags(spans: list[Span], start: int, end: int) -> bytes:
     return bytes(out)
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _windows(text: str) -> Iterator[tuple[str, bytes]]:
     """Labelled windows around everything that may look like personal data."""
-    for batch in batches:
-        rows = []
-        for t in batch.column(0):
-            text = t.as_py() or ""
-            if not _TRIGGER.search(text):
-                continue
-            spans, last = base_spans(text), -WINDOW
-            edges = sorted((s, e) for _, s, e in spans)
-            for m in _TRIGGER.finditer(text):
-                if m.start() < last + STRIDE:
-                    continue
-                last = m.start()
-                # a fixed but varied place of the window around its trigger
-                start = max(0, last - 8 - (last * 7) % 40)
-                end = min(len(text), start + WINDOW)
-                cut = bisect_right(edges, (start,)) - 1
-                if cut >= 0 and edges[cut][0] < start < edges[cut][1]:
-                    start = edges[cut][0]  # not from inside a span
-                    end = min(len(text), start + WINDOW)
-                rows.append((text[start:end], _tags(spans, start, end)))
-        yield from arrow_rows("text string, tags binary", rows).to_batches()
+    spans, last = base_spans(text), -WINDOW
+    edges = sorted((s, e) for _, s, e in spans)
+    by_kind = [[x for x in spans if x[0] == kind] for kind in range(len(KINDS))]
+    starts, ends = ([[x[at] for x in some] for some in by_kind] for at in (1, 2))
+    for m in _TRIGGER.finditer(text):
+        if m.start() < last + STRIDE:
+            continue
+        last = m.start()
+        # a fixed but varied place of the window around its trigger
+        start = max(0, last - 8 - (last * 7) % 40)
+        cut = bisect_right(edges, (start,)) - 1
+        if cut >= 0 and edges[cut][0] < start < edges[cut][1]:
+            start = edges[cut][0]  # not from inside a span
+        end = min(len(text), start + WINDOW)
+        near = [x for some, s, e in zip(by_kind, starts, ends) for x in some[bisect_right(e, start) : bisect_left(s, end)]]
+        yield text[start:end], _tags(near, start, end)
+
+
+class Sample:
+    """Different windows by kind: those of least hash, as many as ``bounds`` says.
+    Samples of parts add up to the sample of all."""
+
+    def __init__(self, bounds: dict[int, int]):
+        self.bounds, self.found = bounds, {kind: {} for kind in bounds}
+
+    def add(self, kind: int, text: str, tags: bytes) -> None:
+        if kind not in self.found:
+            return
+        some = self.found[kind]
+        some[text] = min(tags, some.get(text, tags))
+        if len(some) > 4 * self.bounds[kind]:
+            self.cut(kind)
+
+    def cut(self, kind: int) -> None:
+        some = self.found[kind]
+        self.found[kind] = {t: some[t] for t in sorted(some, key=_spot)[: self.bounds[kind]]}
+
+    def rows(self) -> list[tuple[int, str, bytes]]:
+        for kind in self.bounds:
+            self.cut(kind)
+        return [(kind, t, tags) for kind, some in self.found.items() for t, tags in some.items()]
+
+
+def _spot(text: str) -> tuple[bytes, str]:
+    return hashlib.blake2b(text.encode(), digest_size=8).digest(), text
+
+
+SAMPLE = "kind int, text string, tags binary"
+
+
+def _sampled(bounds: dict[int, int]):
+    """The sample of the texts of a part."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sample = Sample(bounds)
+        for batch in batches:
+            for t in batch.column(0):
+                for window, tags in _windows(t.as_py()):
+                    for kind in {(tag - 1) // 2 for tag in set(tags) if tag} or {NONE}:
+                        sample.add(kind, window, tags)
+        yield from arrow_rows(SAMPLE, sample.rows()).to_batches()
+
+    return run
+
+
+def _merged(bounds: dict[int, int]):
+    """The sample of samples."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sample = Sample(bounds)
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                sample.add(*row)
+        yield from arrow_rows(SAMPLE, sample.rows()).to_batches()
+
+    return run
+
+
+def training_windows(docs: DataFrame, text_col: str, train_docs: int) -> list[tuple[str, bytes]]:
+    """Windows and tags to train on, kinds in turn; see the module's text."""
+    text = F.col(f"`{text_col}`").cast("string")
+    rows = docs.select(text.alias("text"))
+    spot, spots = F.pmod(F.xxhash64("text"), F.lit(1_000_003)), 1_000_003
+    low, high = 0, max(1, int(min(1.0, train_docs / max(1, docs.count())) * spots))
+    sample, short, hint = Sample(BOUNDS), list(BOUNDS), "[0-9@]"
+    while True:
+        bounds = {kind: BOUNDS[kind] for kind in short}
+        some = rows.filter(F.col("text").rlike(hint))
+        if (low, high) != (0, spots):
+            some = some.filter((spot >= low) & (spot < high))
+        # two steps, so that the driver gets a few samples whatever the parts
+        parts = some.mapInArrow(_sampled(bounds), SAMPLE).repartition(8, "text").mapInArrow(_merged(bounds), SAMPLE)
+        for r in parts.collect():
+            sample.add(r["kind"], r["text"], bytes(r["tags"]))
+        short = [kind for kind in range(len(KINDS)) if len(sample.found[kind]) < BOUNDS[kind]]
+        if not short or high == spots:
+            break
+        low, high = high, min(spots, 8 * high)
+        hint = "|".join(_HINTS[kind] for kind in short)
+    out: dict[str, bytes] = {}
+    for _, window, tags in sample.rows():
+        out[window] = min(tags, out.get(window, tags))
+    return sorted(out.items(), key=lambda x: _spot(x[0]))
 
 
 def _respelled(text: str, tags: np.ndarray, n: int) -> tuple[str, np.ndarray] | None:
@@ -159,16 +245,10 @@ def _respelled(text: str, tags: np.ndarray, n: int) -> tuple[str, np.ndarray] |
 
 
 def train(docs: DataFrame, text_col: str = "text", train_docs: int = TRAIN_DOCS) -> Tagger | None:
-    """A model fitted on labelled windows of about ``train_docs`` documents."""
+    """A model fitted on labelled windows of about ``train_docs`` documents, more
+    where these don't have enough of a kind; None without any labelled window."""
     ship_package(docs.sparkSession)
-    share = min(1.0, train_docs / max(1, docs.count()))
-    text = F.col(f"`{text_col}`").cast("string")
-    rows = docs.select(text.alias("text")).filter(F.col("text").rlike("[0-9@]"))
-    if share < 1:
-        rows = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_003)) < int(share * 1_000_003))
-    found = (rows.mapInArrow(_windows, "text string, tags binary").groupBy("text").agg(F.min("tags").alias("tags"))
-             .orderBy(F.xxhash64("text"), "text").limit(TRAIN_WINDOWS).collect())
-    examples = [(r["text"], np.frombuffer(bytes(r["tags"]), np.uint8).astype(np.int64)) for r in found]
+    examples = [(s, np.frombuffer(t, np.uint8).astype(np.int64)) for s, t in training_windows(docs, text_col, train_docs)]
     if not any(t.any() for _, t in examples):
         return None
     examples += [x for n, (s, t) in enumerate(examples) if t.any() and (x := _respelled(s, t.copy(), n))]

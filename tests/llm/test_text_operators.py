@@ -178,6 +178,26 @@ def test_model_finds_held_out_spans(spark):
     assert base == [] and all(P.well_formed(k, number[s:e]) for k, s, e in every)
 
 
+def test_model_learns_among_harmless_digits(spark):
+    """Tables of harmless numbers with nearly all windows, and a sample with few
+    of the labelled rows: the model still finds what the patterns miss."""
+    r = random.Random(12)
+    number = lambda: f"{r.randint(200, 999)}-{r.randint(200, 999)}-{r.randint(1000, 9999)}"
+    say = lambda x: f"{r.choice(['please call', 'my phone is', 'reach us at'])} {x} {r.choice(['now', 'any time', 'for more'])}"
+    rows = [" ".join(f"row {r.randint(1, 10**6)} has {r.random():.4f};" for _ in range(40)) for _ in range(2000)]
+    rows += [say(f"+1 {number()}") for _ in range(150)] + [say(f"a{i}b@example{i}.org") for i in range(80)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(4)
+    windows = P.training_windows(docs, "text", 30)
+    kinds = Counter(max(t) // 2 if any(t) else 0 for _, t in windows)
+    assert kinds[4] >= 120 and kinds[1] >= 70 and kinds[0] > 3 * kinds[4]
+    fresh = [say(number()) for _ in range(50)]
+    found = P.find_spans(fresh, P.train(docs, train_docs=30))
+    assert all(base == [] for base, _ in found)
+    assert sum(any(k == P.PHONE for k, _, _ in every) for _, every in found) >= 45
+    # parts and their order make no difference
+    assert P.training_windows(docs.orderBy(F.desc("doc_id")).coalesce(1), "text", 30) == windows
+
+
 def test_pii_odd_rows(spark):
     rows = [(1, None), (2, ""), (None, "a@b.co"), (3, "x " * 50_000 + "1.2.3.4"), (4, "ü 4111 1111 1111 1111"), (4, "ü 4111 1111 1111 1111"), (5, "1" * 30_000)]
     got = P.pii(odd(spark, rows), with_masked=True).collect()
