@@ -14,6 +14,7 @@ from billmodel.llm.common import table
 from billmodel.llm.decontamination import decontamination
 from billmodel.llm.language_id import documents_language, pages_language
 from billmodel.llm.lm_score import lm_score
+from billmodel.llm.merkle_manifest import merkle_manifest
 from billmodel.llm.pii import pii
 from billmodel.llm.quality_rules import quality_rules
 from billmodel.llm.simhash_dedup import simhash_dedup
@@ -148,6 +149,67 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document; one in seven (by its id)
+    is found with another n_chars, and its proof is folded from that."""
+    docs = table(spark, sf_dir, "documents")
+    n_chars, tampered = F.col("n_chars"), F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    more = (n_chars.cast("decimal(20,0)") + 1).cast("string")
+    out = merkle_manifest(docs, found={"n_chars": F.when(tampered, more).otherwise(n_chars.cast("string"))})
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+OP11_SQL = r"""
+WITH RECURSIVE
+rows_ AS (
+  SELECT row_number() OVER () AS r, doc_id, CASE WHEN lang IS NULL THEN '' ELSE '+' || lang END AS tree, n_chars,
+         list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+                     lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                                                lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)) AS crc_,
+         CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id END
+         || CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END
+         || CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END AS front,
+         CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END AS back
+  FROM documents),
+leaves AS (
+  SELECT r, doc_id, tree, sha256(front || CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars END || back) AS leaf,
+         CASE WHEN n_chars IS NOT NULL AND xor(crc_, 4294967295) % 7 = 0
+              THEN sha256(front || strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1) || back) END AS tampered
+  FROM rows_),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM leaves),
+nodes AS (
+  SELECT tree, 0 AS lvl, pos, leaf AS h, n FROM placed
+  UNION ALL
+  SELECT tree, lvl + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), any_value((n + 1) // 2) FROM nodes WHERE n > 1 GROUP BY tree, lvl, pos // 2),
+subroots AS (
+  SELECT tree, h, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n, lvl AS depth FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS lvl, pos, h, n FROM subroots
+  UNION ALL
+  SELECT lvl + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), any_value((n + 1) // 2) FROM tops WHERE n > 1 GROUP BY lvl, pos // 2),
+roots AS (SELECT h AS root, lvl AS depth FROM tops WHERE n = 1),
+steps AS (
+  SELECT r, l AS step, placed.pos >> l AS place, s.h AS h
+  FROM placed JOIN subroots USING (tree), LATERAL (SELECT unnest(range(depth)) AS l)
+  LEFT JOIN nodes s ON s.tree = placed.tree AND s.lvl = l AND s.pos = xor(placed.pos >> l, 1)
+  UNION ALL
+  SELECT r, 1000 + l, subroots.pos >> l, s.h
+  FROM placed JOIN subroots USING (tree), (SELECT unnest(range(depth)) AS l FROM roots)
+  LEFT JOIN tops s ON s.lvl = l AND s.pos = xor(subroots.pos >> l, 1)),
+proofs AS (
+  SELECT r, sha256(coalesce(string_agg(h, '' ORDER BY step), '')) AS proof_sha256,
+         list(CASE WHEN h IS NULL THEN 'N' WHEN place % 2 = 1 THEN 'L' || h ELSE 'R' || h END ORDER BY step) AS path
+  FROM steps GROUP BY r),
+folded AS (
+  SELECT doc_id, leaf, subroots.h AS subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256,
+         list_reduce(list_prepend(coalesce(tampered, leaf), coalesce(path, [])),
+                     lambda h, s: CASE s[1] WHEN 'L' THEN sha256(s[2:] || h) WHEN 'R' THEN sha256(h || s[2:]) ELSE sha256(h) END) AS folded_root
+  FROM placed JOIN subroots USING (tree) LEFT JOIN proofs USING (r), roots)
+SELECT *, folded_root = root AS verified FROM folded
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The document pipeline from raw documents to token ids."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -156,8 +218,9 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_url_filter, op2_pii, op3_substring_dedup, op4_simhash_dedup,
                                     op5_decontamination, op6_language_id, language_id_pages, op7_lm_score,
-                                    op8_quality_rules, op9_suffix_dedup, op10_byte_bpe, pipeline)}
+                                    op8_quality_rules, op9_suffix_dedup, op10_byte_bpe, op11_merkle_manifest, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": OP1_SQL, "op5_decontamination": OP5_SQL, "op8_quality_rules": OP8_SQL}
+    return {"op1_url_filter": OP1_SQL, "op5_decontamination": OP5_SQL, "op8_quality_rules": OP8_SQL,
+            "op11_merkle_manifest": OP11_SQL}
