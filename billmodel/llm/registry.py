@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from billmodel.llm.byte_bpe import byte_bpe
 from billmodel.llm.common import table
+from billmodel.llm.conversation_repair import repair_conversations
 from billmodel.llm.decontamination import decontamination
 from billmodel.llm.language_id import documents_language, pages_language
 from billmodel.llm.lm_score import lm_score
@@ -210,6 +211,24 @@ SELECT *, folded_root = root AS verified FROM folded
 """
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with damage by a hash of their id and turn: rows dropped
+    (``present`` is false), emptied, without sentence ends, doubled, or ``user``."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(text("conv_id"), F.lit(":"), text("turn"))) % 20
+    rows = rows.select("conv_id", "turn", text("role").alias("role"), text("text").alias("text"), kind.alias("kind"))
+    copies = F.explode(F.array_repeat(F.lit(0), F.when(F.col("kind") == 3, 2).otherwise(1)))
+    return rows.select("conv_id", "turn", F.when(F.col("kind") == 4, "user").otherwise(F.col("role")).alias("role"),
+                       F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+                       (F.col("kind") != 0).alias("present"), copies.alias("copy"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every damaged conversation."""
+    out = repair_conversations(damaged(table(spark, sf_dir, "conversations")), present=F.col("present"))
+    return out.drop("repaired")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The document pipeline from raw documents to token ids."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -218,7 +237,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_url_filter, op2_pii, op3_substring_dedup, op4_simhash_dedup,
                                     op5_decontamination, op6_language_id, language_id_pages, op7_lm_score,
-                                    op8_quality_rules, op9_suffix_dedup, op10_byte_bpe, op11_merkle_manifest, pipeline)}
+                                    op8_quality_rules, op9_suffix_dedup, op10_byte_bpe, op11_merkle_manifest,
+                                    op13_conversation_repair, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
