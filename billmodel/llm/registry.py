@@ -13,6 +13,7 @@ from billmodel.llm.byte_bpe import byte_bpe
 from billmodel.llm.common import table
 from billmodel.llm.conversation_repair import repair_conversations
 from billmodel.llm.decontamination import decontamination
+from billmodel.llm.html_extraction import html_extraction
 from billmodel.llm.language_id import documents_language, pages_language
 from billmodel.llm.lm_score import lm_score
 from billmodel.llm.merkle_manifest import merkle_manifest
@@ -211,6 +212,11 @@ SELECT *, folded_root = root AS verified FROM folded
 """
 
 
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every raw page."""
+    return html_extraction(table(spark, sf_dir, "pages"))
+
+
 def damaged(rows: DataFrame) -> DataFrame:
     """Conversations with damage by a hash of their id and turn: rows dropped
     (``present`` is false), emptied, without sentence ends, doubled, or ``user``."""
@@ -238,7 +244,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_url_filter, op2_pii, op3_substring_dedup, op4_simhash_dedup,
                                     op5_decontamination, op6_language_id, language_id_pages, op7_lm_score,
                                     op8_quality_rules, op9_suffix_dedup, op10_byte_bpe, op11_merkle_manifest,
-                                    op13_conversation_repair, pipeline)}
+                                    op12_html_extraction, op13_conversation_repair, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
