@@ -9,8 +9,11 @@ before and the swallowed one), a logarithmic number of nodes each, until no
 pair is left. Trees of short matches are merged side by side in arrays, one
 step for all of them at a time; long matches have a tree of their own.
 
-Matches repeat, so a worker keeps the ids of words it has met (a bounded number).
-Texts are encoded whole, in blocks, inside the tasks of the scan: nothing is
+Matches repeat, so a worker keeps what it has worked out of words it has met: their
+ids as decimal text, once they were decoded again to the word itself. It keeps
+two generations of a bounded number; a word that is met moves to the younger, and
+when that is full the older is dropped. A text whose words all decode to themselves
+decodes to itself; any other is decoded id by id. Texts are encoded whole, in blocks, inside the tasks of the scan: nothing is
 shuffled. A null text is empty and has no ids; a null id stays null; repeated
 rows give repeated results; extra columns are ignored.
 """
@@ -31,8 +34,8 @@ from pyspark.sql import functions as F
 from billmodel.llm.common import arrow_rows, ship_package
 
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, ids array<long>"
-#: Words kept by a worker, and the longest that it keeps.
-KEPT_WORDS, KEPT_LENGTH = 100_000, 48
+#: Words kept by a worker in each generation, and the longest that it keeps.
+KEPT_WORDS, KEPT_LENGTH = 150_000, 48
 #: Characters of text encoded at once.
 BLOCK = 1 << 19
 #: Matches of more bytes get a tree of their own.
@@ -47,8 +50,6 @@ class Vocabulary:
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(t): int(r) for t, r in (line.split() for line in f if line.strip())}
         self.tokens = {r: t for t, r in self.ranks.items()}
-        #: One object for each id, shared by all that is kept.
-        self.own = {r: r for r in self.tokens}
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
         self.shift = max(self.tokens).bit_length()
         self.pairs: dict[int, int] = {}
@@ -169,66 +170,94 @@ class Encoder:
     def __init__(self, path: str, pattern: str):
         self.vocabulary = Vocabulary(path)
         self.pattern = regex.compile(pattern)
-        self.space = regex.compile(r"\s")
-        #: Ids of words by their text, as they stand behind one space.
-        self.words: dict[str, tuple[int, ...]] = {}
-        #: What follows a space that starts no match (nothing, or more white space).
-        self.no_start: set[str] = set()
-
-    def pieces(self, pieces: Iterable[bytes]) -> dict[bytes, tuple[int, ...]]:
-        """Ids of distinct pieces."""
+        self.spell = {i: f",{i}" for i in self.vocabulary.tokens}.__getitem__
+        #: Ids of words as they stand behind one space, each as a comma and a number.
+        self.words: dict[str, str] = {}
+        self.older: dict[str, str] = {}
+
+    def pieces(self, pieces: Iterable[bytes]) -> dict[bytes, str]:
+        """Spelled ids of distinct pieces, each checked by decoding."""
         ranks, out = self.vocabulary.ranks, {}
         by_width: dict[int, list[bytes]] = {}
         for p in pieces:
             if (whole := ranks.get(p)) is not None:
-                out[p] = (whole,)
+                out[p] = self.spell(whole)
             elif len(p) <= SIDE_BY_SIDE:
                 by_width.setdefault(max(4, 1 << (len(p) - 1).bit_length()), []).append(p)
             else:
-                out[p] = tuple(merge_alone(p, self.vocabulary))
+                out[p] = self.checked(p, merge_alone(p, self.vocabulary))
         for width, some in by_width.items():
             step = max(1, (1 << 19) // width)
             for i in range(0, len(some), step):
                 block = some[i : i + step]
-                own = self.vocabulary.own.__getitem__
-                out.update((p, tuple(map(own, ids))) for p, ids in zip(block, merge_together(block, width, self.vocabulary)))
+                out.update((p, self.checked(p, ids)) for p, ids in zip(block, merge_together(block, width, self.vocabulary)))
         return out
 
-    def texts(self, texts: list[str]) -> list[list[int]]:
-        """Ids of whole texts. A space in front of a non-space always starts a
-        match, so a text is taken word by word and known words are looked up; a
-        text with a space that has none behind it is matched as a whole."""
+    def checked(self, piece: bytes, ids: list[int]) -> str:
+        if self.decode(ids) != piece:
+            raise ValueError(f"the ids of {piece!r} decode to something else")
+        return "".join(map(self.spell, ids))
+
+    def known(self, words: set[str]) -> set[str]:
+        """Of ``words`` those that are not kept; those kept are made young."""
         if len(self.words) > KEPT_WORDS:
-            self.words.clear()
-            self.no_start.clear()
+            self.older, self.words = self.words, {}
+        missing = words.difference(self.words)
+        again = missing.intersection(self.older)
+        self.words.update(zip(again, map(self.older.__getitem__, again)))
+        return missing - again
+
+    def texts(self, texts: list[str]) -> list[list[int]]:
+        """Ids of whole texts."""
+        return [numbers(spelled) for spelled, _ in self.spelled(texts)]
+
+    def spelled(self, texts: list[str]) -> list[tuple[str, bool]]:
+        """Ids of whole texts, each behind a comma, and whether they decode to the
+        text. A space in front of a non-space starts a match in the patterns of
+        published vocabularies (``pattern`` must do so too), so a text is taken
+        word by word; one with more white space, or with a word that the pattern
+        leaves something out of, is matched as a whole."""
         cut = [t.split(" ") for t in texts]
-        unknown = set(chain.from_iterable(c[1:] for c in cut)).difference(self.words)
+        find = self.pattern.findall
+        unknown = self.known(set(chain.from_iterable(c[1:] for c in cut)))
+        words = self.words
         matches: dict[str, list[bytes]] = {}
-        find, known = self.pattern.findall, self.words
-        once: dict[str, tuple[int, ...]] = {}
+        whole: set[str] = set()  # words that do not stand by themselves
         for w in unknown:
-            if not w or self.space.match(w):
-                known[w] = ()
-                self.no_start.add(w)
+            if not w or w[0].isspace() or "".join(found := find(" " + w)) != " " + w:
+                whole.add(w)
             else:
-                matches[w] = [p.encode() for p in find(" " + w)]
-        heads = {}
+                matches[w] = [p.encode() for p in found]
+        heads, odd = [], set()
         for i, c in enumerate(cut):
-            if not self.no_start.isdisjoint(c[1:]):
-                heads[i] = [p.encode() for p in find(texts[i])]
-                cut[i] = []
+            if whole and not whole.isdisjoint(c[1:]):
+                head, cut[i] = texts[i], [""]
             else:
-                heads[i] = [p.encode() for p in find(c[0])]
-        ids = self.pieces(set(chain(chain.from_iterable(matches.values()), chain.from_iterable(heads.values()))))
+                head = c[0]
+            found = find(head)
+            if "".join(found) != head:
+                odd.add(i)
+            heads.append([p.encode() for p in found])
+        ids = self.pieces(set(chain(chain.from_iterable(matches.values()), chain.from_iterable(heads))))
+        get = ids.__getitem__
+        once = []
         for w, found in matches.items():
-            (known if len(w) <= KEPT_LENGTH else once)[w] = tuple(chain.from_iterable(ids[p] for p in found))
-        both = known | once if once else known
-        return [list(chain(chain.from_iterable(ids[p] for p in heads[i]), chain.from_iterable(map(both.__getitem__, c[1:])))) for i, c in enumerate(cut)]
+            words[w] = get(found[0]) if len(found) == 1 else "".join(map(get, found))
+            if len(w) > KEPT_LENGTH:
+                once.append(w)
+        out = [("".join(map(get, heads[i])) + "".join(map(words.__getitem__, c[1:])), i not in odd) for i, c in enumerate(cut)]
+        for w in once:
+            del words[w]
+        return out
 
-    def decode(self, ids: list[int]) -> bytes:
+    def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.vocabulary.tokens.__getitem__, ids))
 
 
+def numbers(spelled: str) -> list[int]:
+    return [int(i) for i in spelled[1:].split(",")] if spelled else []
+
+
 _encoders: dict[tuple[str, str], Encoder] = {}
 
 
@@ -256,12 +285,13 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]
 def _encode(path: str, pattern: str, with_ids: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path, pattern)
-        spell = {i: str(i) for i in e.vocabulary.tokens}.__getitem__
         for doc_ids, texts in _blocks(batches):
             rows = []
-            for doc_id, ids in zip(doc_ids, e.texts(texts)):
-                listed = hashlib.sha256(",".join(map(spell, ids)).encode()).hexdigest()
-                rows.append((doc_id, len(ids), listed, hashlib.sha256(e.decode(ids)).hexdigest(), ids if with_ids else None))
+            for doc_id, text, (spelled, same) in zip(doc_ids, texts, e.spelled(texts)):
+                ids = numbers(spelled) if with_ids or not same else []
+                decoded = text.encode() if same else e.decode(ids)
+                rows.append((doc_id, spelled.count(","), hashlib.sha256(spelled[1:].encode()).hexdigest(), hashlib.sha256(decoded).hexdigest(),
+                             ids if with_ids else None))
             yield from arrow_rows(RESULT, rows).to_batches()
 
     return run

@@ -101,10 +101,18 @@ def base_by_definition(text):
 def test_base_spans_equal_the_patterns(documents):
     r = random.Random(2)
     texts = ["".join(r.choice("a@.1 2-+_(@.b9.") for _ in range(r.randint(0, 30))) for _ in range(20_000)]
-    for text in texts + [t for _, t in documents] + ["4111111111111111 x", "1" * 5000, "a." * 3000 + "@", "000000000000000000000001.2.3.4"]:
+    for text in texts + [t for _, t in documents] + ["4111111111111111 x", "1" * 5000, "a." * 3000 + "@", "000000000000000000000001.2.3.4",
+                                                         "0" * 4200 + ".1.1.1"]:
         assert P.base_spans(text) == base_by_definition(text)
 
 
+def test_base_spans_of_long_numbers():
+    """Parts beyond the digits that an integer may be read from."""
+    for zeros in (4301, 100_000):
+        text = "0" * zeros + "7.1.1.1 and 1.2.3." + "0" * zeros + "256"
+        assert P.base_spans(text) == [(1, 0, zeros + 7)]
+
+
 def test_op2_keeps_the_base(spark, documents):
     rows = {r.doc_id: r for r in registry.op2_pii(spark, SF).collect()}
     assert len(rows) == len(documents)
@@ -415,6 +423,20 @@ def test_bpe_equals_tiktoken(bpe, documents):
             assert ids == other.encode_ordinary(text) and own.decode(ids) == text.encode()
 
 
+def test_bpe_words_kept_in_two_generations(bpe, monkeypatch):
+    """Few kept words, met again and again: the same ids."""
+    from billmodel.llm import byte_bpe as B
+
+    _, other = bpe
+    monkeypatch.setattr(B, "KEPT_WORDS", 20)
+    own, r = Encoder(RANKS, public_tokenizers.PATTERN), random.Random(4)
+    words = [f"wo{i}rd{'x' * (i % 60)}" for i in range(90)]
+    for _ in range(40):
+        texts = [" ".join(r.choices(words, k=12)) for _ in range(3)]
+        assert own.texts(texts) == [other.encode_ordinary(t) for t in texts]
+        assert len(own.words) <= 20 + 36 and len(own.older) <= 20 + 36
+
+
 def test_segment_trees_agree(bpe):
     own, _ = bpe
     r = random.Random(3)
