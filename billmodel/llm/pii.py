@@ -85,7 +85,7 @@ def base_spans(text: str) -> list[Span]:
             at = text.find("@", at + 1)
     if not _DIGIT.search(text):
         return out
-    out += [(IP, m.start(), m.end()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split("."))]
+    out += [(IP, m.start(), m.end()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m.group().split("."))]
     for m in _CARD.finditer(text):
         digits = re.sub("[ -]", "", m.group())
         if 16 <= len(digits) <= 19 and luhn(digits):
