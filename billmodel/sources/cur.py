@@ -2,7 +2,8 @@
 
 Types are enforced: money and amounts that are not DECIMAL become
 ``MONEY`` (wide enough for any amount of a bill; a value beyond it is an error,
-never cut off), and times become zone-less UTC, whatever the session's zone.
+never cut off), and times become zone-less UTC, whatever the session's zone: by
+their epoch count, or for texts by the offset that they state (none: UTC).
 DECIMAL columns keep their own scale.
 
 The export is schema-on-read and service dependent: accounts without reserved
@@ -14,7 +15,11 @@ narrower export. All other columns pass through untouched.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import reduce
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.types import StructType
@@ -79,31 +84,122 @@ def conform(df: DataFrame, extra: dict[str, str] | None = None) -> DataFrame:
     return df.select(*out, *missing)
 
 
+def utc(instant: Column) -> Column:
+    """The zone-less UTC time of an instant, counted from the epoch: the session's
+    zone, which has one hour twice and lacks another every year, has no part in it."""
+    seconds = (F.unix_micros(instant) / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+
+
+# A time's offset from UTC, at the end of its text.
+OFFSET = r"(Z|[+-][0-9]{1,2}(:?[0-9]{2}){0,2})\s*$"
+CLOCK_AND_OFFSET = r"[0-9]:[0-9]{1,2}(:[0-9.]+)?\s*" + OFFSET
+
+
 def _typed(name: str, kind: T.DataType, wanted: str | None) -> Column:
     c = F.col(f"`{name}`")
     if wanted == "double" and not isinstance(kind, T.DecimalType):
         return c.cast(MONEY)
     if wanted == "timestamp_ntz" and isinstance(kind, T.TimestampType):
-        return F.convert_timezone(None, F.lit("UTC"), c.cast("timestamp_ntz"))
+        return utc(c)
     if wanted == "timestamp_ntz" and isinstance(kind, T.StringType):
-        return F.regexp_replace(c, r"(Z|\+00:?00)$", "").cast("timestamp_ntz")
+        text = F.nullif(F.trim(c), F.lit(""))
+        return F.when(text.rlike(CLOCK_AND_OFFSET), utc(F.regexp_replace(text, r"\s+([+-])", "$1").cast("timestamp"))).otherwise(text.cast("timestamp_ntz"))
     return c
 
 
-def read_cur(spark: SparkSession, path: str, *, merge_schema: bool = True,
-             schema: StructType | str | None = None) -> DataFrame:
+def read_cur(spark: SparkSession, path: str, *, merge_schema: bool = True, schema: StructType | str | None = None,
+             files: list[str] | None = None) -> DataFrame:
     """A1: scan the exported Parquet bill (directory partitions are discovered).
 
     The export gains columns over time, so file schemas are merged by
     default; a fixed ``schema`` (or ``merge_schema=False``) skips reading every
-    file footer up front.
+    file footer up front. Where files store a column in types that don't merge
+    (a price as DOUBLE, later as DECIMAL), they are read in groups that do, each
+    cast, and united. ``files`` reads only these files of the export.
     """
-    reader = spark.read
+    paths = [path] if files is None else files
+    reader = _reader(spark, path, paths)
     if schema is not None:
-        reader = reader.schema(schema)
-    else:
-        reader = reader.option("mergeSchema", "true" if merge_schema else "false")
-    return conform(reader.parquet(path))
+        return conform(reader.schema(schema).parquet(*paths))
+    if not merge_schema:
+        return conform(reader.parquet(*paths))
+    return united([conform(_merged(spark, path, some)) for some in merging_groups(spark, path, paths)])
+
+
+def _reader(spark: SparkSession, path: str, paths: list[str]) -> DataFrameReader:
+    """Partition columns come from the folders below the export's."""
+    return spark.read if paths == [path] else spark.read.option("basePath", path)
+
+
+def _merged(spark: SparkSession, path: str, paths: list[str]) -> DataFrame:
+    return _reader(spark, path, paths).option("mergeSchema", "true").parquet(*paths)
+
+
+def merges(spark: SparkSession, path: str, paths: list[str]) -> bool:
+    """Whether the files' schemas merge (Spark reads their footers side by side)."""
+    try:
+        _merged(spark, path, paths)
+        return True
+    except (Py4JJavaError, PySparkException) as e:
+        if not any(f"[{c}]" in str(e) for c in NOT_MERGING):
+            raise
+        return False
+
+
+# Error conditions of schemas that don't merge.
+NOT_MERGING = ("CANNOT_MERGE_SCHEMAS", "CANNOT_MERGE_INCOMPATIBLE_DATA_TYPE")
+
+
+def merging_groups(spark: SparkSession, path: str, paths: list[str]) -> list[list[str]]:
+    """The paths' files in groups whose schemas merge, the paths if all do. Files
+    are halved in the order of their names, in which an export changes its types
+    once in a while, so there are few groups; neighbours that merge are put
+    together again."""
+    if merges(spark, path, paths):
+        return [paths]
+    names = sorted(paths if paths != [path] else spark.read.option("mergeSchema", "false").parquet(path).inputFiles())
+
+    def cut(some: list[str]) -> list[list[str]]:
+        if len(some) == 1 or merges(spark, path, some):
+            return [some]
+        return cut(some[: len(some) // 2]) + cut(some[len(some) // 2 :])
+
+    groups: list[list[str]] = []
+    for some in cut(names):
+        fits = next((g for g in groups if merges(spark, path, [g[0], g[-1], some[0], some[-1]]) and merges(spark, path, g + some)), None)
+        if fits is None:
+            groups.append(list(some))
+        else:
+            fits += some
+    return groups
+
+
+def united(parts: list[DataFrame]) -> DataFrame:
+    """Conformed parts of a bill as one: a column that they store in different
+    types becomes the widest number, else text."""
+    if len(parts) == 1:
+        return parts[0]
+    kinds: dict[str, list[T.DataType]] = {}
+    for p in parts:
+        for f in p.schema.fields:
+            some = kinds.setdefault(f.name, [])
+            if f.dataType not in some and not isinstance(f.dataType, T.NullType):
+                some.append(f.dataType)
+    to = {n: _common(some) for n, some in kinds.items() if len(some) > 1}
+    typed = [p.select(*[(F.col(f"`{n}`").cast(to[n]) if n in to else F.col(f"`{n}`")).alias(n) for n in p.columns]) for p in parts]
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), typed)
+
+
+def _common(kinds: list[T.DataType]) -> T.DataType:
+    if all(isinstance(k, T.DecimalType) for k in kinds):
+        scale, whole = max(k.scale for k in kinds), max(k.precision - k.scale for k in kinds)
+        return T.DecimalType(min(38, scale + whole), scale)
+    if all(isinstance(k, T.NumericType) for k in kinds):
+        if any(isinstance(k, T.DecimalType) for k in kinds) and not any(isinstance(k, (T.FloatType, T.DoubleType)) for k in kinds):
+            return T.DecimalType(38, max(k.scale for k in kinds if isinstance(k, T.DecimalType)))
+        return T.DoubleType() if any(isinstance(k, T.FractionalType) for k in kinds) else T.LongType()
+    return T.StringType()
 
 
 def refresh_partitions(spark: SparkSession, table: str) -> None:
