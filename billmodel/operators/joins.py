@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 DEFAULT_BROADCAST_BYTES = 64 << 20
 # Session setting that overrides the default bound (no code change needed).
@@ -26,8 +27,11 @@ def broadcast_bound(df: DataFrame, max_bytes: int | None) -> int:
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
-    """Whether a table of texts is within the bound (one small job)."""
+    """Whether a table of texts (and arrays of texts) is within the bound (one
+    small job)."""
     width = F.lit(ROW_BYTES)
-    for c in df.columns:
-        width = width + F.coalesce(F.octet_length(c), F.lit(0))
+    for f in df.schema.fields:
+        text = F.array_join(f.name, "") if isinstance(f.dataType, ArrayType) else F.col(f.name)
+        count = F.size(f.name) * ROW_BYTES if isinstance(f.dataType, ArrayType) else F.lit(0)
+        width = width + F.coalesce(F.octet_length(text), F.lit(0)) + count
     return (df.agg(F.sum(width.cast("long"))).first()[0] or 0) <= broadcast_bound(df, max_bytes)

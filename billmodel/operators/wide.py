@@ -45,6 +45,9 @@ WIDE_MODEL_COLUMNS = [
     "rds_storage_gb_month", "bb_elb_name", "bb_elb_usage_type", "bb_elb_type",
 ]
 PARTITION_COLUMN = "bb_usage_year_month"
+# The commitment of used and unused rows alike. The model's table has none for
+# unused RI rows, so it is there for those that ask for it.
+ARN_COLUMN = "_bb_commitment_arn"
 
 
 def _facets(rds_only: bool) -> dict:
@@ -53,7 +56,7 @@ def _facets(rds_only: bool) -> dict:
     return fs
 
 
-def _with_cluster_names(base: DataFrame, fs: dict, names: DataFrame | None, max_bytes: int | None) -> DataFrame:
+def _with_cluster_names(base: DataFrame, fs: dict, names: DataFrame | None, max_bytes: int | None, all_names: bool) -> DataFrame:
     """Kept base rows plus the EMR name lookup (``_emr_*`` columns; without
     ``names`` only the candidate ids).
 
@@ -68,10 +71,11 @@ def _with_cluster_names(base: DataFrame, fs: dict, names: DataFrame | None, max_
         other.guarded("bb_emr_cluster_id").alias("_emr_tag_id"),
         fee.guarded("bb_emr_cluster_id").alias("_emr_fee_id"),
     )
-    return kept if names is None else emr.attach_cluster_names(kept, names, "_emr_tag_id", "_emr_fee_id", max_bytes)
+    return kept if names is None else emr.attach_cluster_names(
+        kept, names, "_emr_tag_id", "_emr_fee_id", max_bytes, all_names)
 
 
-def _base_rows(base: DataFrame, rds_only: bool, names: DataFrame | None, max_bytes: int | None) -> DataFrame:
+def _base_rows(base: DataFrame, rds_only: bool, names: DataFrame | None, max_bytes: int | None, all_names: bool) -> DataFrame:
     """Model columns of every kept base row: one projection over one scan."""
     fs = _facets(rds_only)
     ebs, ec2, od, spot, ri, sp = (fs[k] for k in ("ebs", "ec2", "ec2_on_demand", "ec2_spot", "ri_used", "sp_used"))
@@ -144,18 +148,19 @@ def _base_rows(base: DataFrame, rds_only: bool, names: DataFrame | None, max_byt
     }
     if names is None:
         del model["bb_emr_cluster_name"]
-    rows = _with_cluster_names(base, fs, names, max_bytes)
+    rows = _with_cluster_names(base, fs, names, max_bytes, all_names)
     return rows.select(
         c("bb_id"),
         *[model[n].alias(n) for n in WIDE_MODEL_COLUMNS if n in model],
         *[c(n) for n in base.columns if n != "bb_id"],
+        F.coalesce(sp.guarded("bb_sp_arn"), ri.guarded("bb_ri_arn")).alias(ARN_COLUMN),
         c("_bb_usage_year_month").alias(PARTITION_COLUMN),
     )
 
 
-def _leftover_rows(base: DataFrame, fill_unused: bool, fee_grain: str) -> DataFrame:
+def _leftover_rows(base: DataFrame, fill_unused: bool, fee_grain: str, used: DataFrame | None) -> DataFrame:
     """Leftover rows of both kinds, from one pass over the fees and one over the usage."""
-    left = commitments.unused(base, ("ri", "sp"), fill_unused=fill_unused, fee_grain=fee_grain)
+    left = commitments.unused(base, ("ri", "sp"), fill_unused=fill_unused, fee_grain=fee_grain, used=used)
     sp, ri = F.col("kind") == "sp", F.col("kind") == "ri"
     return left.select(
         "bb_id",
@@ -166,6 +171,7 @@ def _leftover_rows(base: DataFrame, fill_unused: bool, fee_grain: str) -> DataFr
         F.when(sp, F.col("cost")).alias("bb_sp_cost_unused"),
         F.when(sp, F.lit("Unused")).alias("bb_sp_cost_type"),
         F.when(ri, F.lit("Unused")).alias("bb_ri_cost_type"),
+        F.col("arn").alias(ARN_COLUMN),
         F.col("day").alias("bb_usage_date"),
         F.col("month").alias(PARTITION_COLUMN),
     )
@@ -173,7 +179,8 @@ def _leftover_rows(base: DataFrame, fill_unused: bool, fee_grain: str) -> DataFr
 
 def wide_costs(base: DataFrame, *, fill_unused: bool = False, fee_grain: str = "row",
                rds_only: bool = False, emr_broadcast_bytes: int | None = None,
-               emr_names: DataFrame | None = None, with_names: bool = True) -> DataFrame:
+               emr_names: DataFrame | None = None, with_names: bool = True, used: DataFrame | None = None,
+               all_names: bool = False, with_arn: bool = False, lines: DataFrame | None = None) -> DataFrame:
     """The wide cost table (``bb_bwt_costs``) from the base bill (``base_costs``).
 
     Options default to the model's behaviour: ``fill_unused`` (COALESCE a
@@ -181,13 +188,19 @@ def wide_costs(base: DataFrame, *, fill_unused: bool = False, fee_grain: str = "
     per commitment and period before subtracting), ``rds_only`` (fill the RDS
     columns on AmazonRDS lines only). ``emr_names`` is a dimension of one name
     per cluster id (``emr.cluster_name_by_id``), for instance of the whole bill
-    when ``base`` holds only some months. ``with_names=False`` leaves the EMR
+    when ``base`` holds only some months; ``used`` are commitments' totals that are
+    known already (``commitments.used_totals``). ``with_names=False`` leaves the EMR
     name column out, and with it the dimension: nothing runs before the plan is
-    used, for the many reports that do not read the name.
+    used, for the many reports that do not read the name. ``all_names`` repeats a
+    line for every name its clusters have, as the model does (``emr``; a given
+    ``emr_names`` then has arrays). ``with_arn`` adds the hidden column of every
+    row's commitment. ``lines`` are the base's rows once more, for the branch that
+    reads them all (with an observation on them, say).
     """
     names = None
     if with_names:
-        names = emr.cluster_name_by_id(base) if emr_names is None else emr_names
-    rows = _base_rows(base, rds_only, names, emr_broadcast_bytes)
-    order = rows.columns
-    return rows.unionByName(_leftover_rows(base, fill_unused, fee_grain), allowMissingColumns=True).select(*order)
+        by_id = emr.cluster_names_by_id if all_names else emr.cluster_name_by_id
+        names = by_id(base) if emr_names is None else emr_names
+    rows = _base_rows(base if lines is None else lines, rds_only, names, emr_broadcast_bytes, all_names)
+    order = [c for c in rows.columns if with_arn or c != ARN_COLUMN]
+    return rows.unionByName(_leftover_rows(base, fill_unused, fee_grain, used), allowMissingColumns=True).select(*order)

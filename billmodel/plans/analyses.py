@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.wide import ARN_COLUMN
 from ..sources.cur import DEPARTMENT_TAG
 
 MONTH = "bb_usage_year_month"
@@ -101,24 +102,25 @@ def parent_service_rollup(wide: DataFrame) -> DataFrame:
             .agg(F.sum("bb_cost").alias("cost")))
 
 
-def commitment_utilisation(wide: DataFrame, ri_unused: DataFrame) -> DataFrame:
+def commitment_utilisation(wide: DataFrame, ri_unused: DataFrame | None = None) -> DataFrame:
     """Used and unused cost per commitment and month.
 
-    SP rows and used RI rows come from one pass over the wide table. Unused
-    RI rows lose their arn in the wide table, so RI leftovers are taken from
-    the leftover rows themselves (``commitments.ri_unused``).
+    Unused RI rows lose their arn in the wide table. Rows that still have it
+    (``wide_costs(with_arn=True)``) need one pass; a written table's RI leftovers
+    are taken from the leftover rows themselves (``commitments.ri_unused``).
     """
-    sp = F.col("bb_sp_cost_type").isNotNull()
-    used = wide.where(sp | (F.col("bb_ri_cost_type") == "Used")).select(
+    sp, hidden = F.col("bb_sp_cost_type").isNotNull(), ARN_COLUMN in wide.columns
+    ri = F.col("bb_ri_cost_type").isNotNull() if hidden else F.col("bb_ri_cost_type") == "Used"
+    rows = wide.where(sp | ri).select(
         F.when(sp, F.lit("SavingsPlan")).otherwise(F.lit("ReservedInstance")).alias("commitment"),
-        F.when(sp, F.col("bb_sp_arn")).otherwise(F.col("bb_ri_arn")).alias("arn"),
+        F.col(ARN_COLUMN).alias("arn") if hidden else F.when(sp, F.col("bb_sp_arn")).otherwise(F.col("bb_ri_arn")).alias("arn"),
         F.col(MONTH).alias("month"),
         F.coalesce("bb_sp_cost_type", "bb_ri_cost_type").alias("cost_type"),
         "bb_cost")
-    ri_left = ri_unused.select(
-        F.lit("ReservedInstance").alias("commitment"), F.col("bb_ri_arn").alias("arn"),
-        F.col("_bb_usage_year_month").alias("month"), F.col("bb_ri_cost_type").alias("cost_type"), "bb_cost")
-    rows = used.unionByName(ri_left)
+    if not hidden:
+        rows = rows.unionByName(ri_unused.select(
+            F.lit("ReservedInstance").alias("commitment"), F.col("bb_ri_arn").alias("arn"),
+            F.col("_bb_usage_year_month").alias("month"), F.col("bb_ri_cost_type").alias("cost_type"), "bb_cost"))
     kind = F.col("cost_type")
     return rows.groupBy("commitment", "arn", "month").agg(
         F.coalesce(F.sum(F.when(kind == "Used", F.col("bb_cost"))), F.lit(0)).alias("used_cost"),
