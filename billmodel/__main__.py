@@ -19,6 +19,7 @@ import os
 from pyspark.sql import SparkSession
 
 from .model import CostModel
+from .plans.quality import Observed
 from .plans.views import publish_tables
 from .sources.cur import read_cur, refresh_partitions
 from .sources.dictionaries import write_dictionary
@@ -27,7 +28,7 @@ from .streaming.refresh import refresh_changes, refresh_months, watch_changes
 
 
 def _options(a: argparse.Namespace) -> dict:
-    return {"fill_unused": a.fill_unused, "fee_grain": a.fee_grain, "rds_only": a.rds_only}
+    return {"fill_unused": a.fill_unused, "fee_grain": a.fee_grain, "rds_only": a.rds_only, "all_names": a.all_names}
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -43,6 +44,7 @@ def main(argv: list[str] | None = None) -> None:
         s.add_argument("--fee-grain", choices=["row", "group"], default="row",
                        help="subtract usage per fee row (model default) or per summed commitment period")
         s.add_argument("--rds-only", action="store_true", help="fill the RDS columns on AmazonRDS lines only")
+        s.add_argument("--all-names", action="store_true", help="a line for every name of its clusters (default: one name)")
         if name != "check":
             s.add_argument("--out", required=True, help="output folder (wide table, tables or dictionaries)")
         if name in ("build", "refresh"):
@@ -68,18 +70,21 @@ def main(argv: list[str] | None = None) -> None:
         if a.months:
             refresh_months(spark, a.cur, a.out, a.months, table=a.table, **opts)
         else:
-            write_wide_table(CostModel(read_cur(spark, a.cur), **opts).wide, a.out, table=a.table)
+            observed = Observed()
+            write_wide_table(CostModel(read_cur(spark, a.cur), **opts).observed_wide(observed), a.out, table=a.table)
+            print("== total: bb_bwt_cost_total, cur_unblended_total, diff", *observed.totals(), sep=" | ")
+            print("== savings plans: a_total, b_total, diff", *observed.savings_plans(), sep=" | ")
     elif a.cmd == "refresh":
         refresh = watch_changes if a.watch else refresh_changes
         refresh(spark, a.cur, a.out, state=a.checkpoint, table=a.table, **opts)
     elif a.cmd == "publish":
-        for name in publish_tables(CostModel(read_cur(spark, a.cur), **opts), a.out, a.database):
+        for name in publish_tables(CostModel(read_cur(spark, a.cur), **opts), a.out, a.database, a.cur):
             print(name)
     elif a.cmd == "check":
         wide = read_wide_table(spark, a.wide) if a.wide else None
         m = CostModel(read_cur(spark, a.cur), wide=wide, **opts)
-        for title, df in [("key", m.key_check()), ("total", m.qc_total()), ("by service", m.qc_by_service()),
-                          ("savings plans", m.qc_savings_plans()), ("reserved", m.qc_reserved())]:
+        totals = m.totals()
+        for title, df in [("key", m.key_check()), *totals.checks().items()]:
             if a.out:
                 df.write.mode("overwrite").parquet(os.path.join(a.out, title.replace(" ", "_")))
             print(f"== {title}: {', '.join(df.columns)}")
@@ -87,6 +92,7 @@ def main(argv: list[str] | None = None) -> None:
             for count, row in enumerate(df.toLocalIterator(), 1):  # all rows, a partition at a time
                 print(*row, sep=" | ")
             print(f"-- {count} rows")
+        totals.unpersist()
     elif a.cmd == "dictionaries":
         m = CostModel(read_cur(spark, a.cur), **opts)
         write_dictionary(m.dict_line_item_type(), os.path.join(a.out, "line_item_line_item_type"))

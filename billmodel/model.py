@@ -24,11 +24,13 @@ from .sources.cur import conform, finalised
 
 class CostModel:
     def __init__(self, bill: DataFrame, *, fill_unused: bool = False, fee_grain: str = "row",
-                 rds_only: bool = False, emr_broadcast_bytes: int | None = None,
+                 rds_only: bool = False, emr_broadcast_bytes: int | None = None, all_names: bool = False,
                  wide: DataFrame | None = None):
         """``wide`` may be the already written wide table (``sources.sink``);
         reports and checks then read it instead of rebuilding it."""
         self.bill = conform(bill)
+        self.all_names = all_names
+        self._given = wide is not None
         if wide is not None:
             self.__dict__["wide"] = self.__dict__["unnamed_wide"] = wide
         self.fill_unused = fill_unused
@@ -38,9 +40,9 @@ class CostModel:
 
     def with_options(self, **options) -> "CostModel":
         """The same bill under other options (``fill_unused``, ``fee_grain``,
-        ``rds_only``, ``emr_broadcast_bytes``)."""
+        ``rds_only``, ``emr_broadcast_bytes``, ``all_names``)."""
         current = {"fill_unused": self.fill_unused, "fee_grain": self.fee_grain, "rds_only": self.rds_only,
-                   "emr_broadcast_bytes": self.emr_broadcast_bytes}
+                   "emr_broadcast_bytes": self.emr_broadcast_bytes, "all_names": self.all_names}
         current.update(options)
         return CostModel(self.bill, **current)
 
@@ -76,20 +78,29 @@ class CostModel:
         return emr.emr_cluster_names(self.base)
 
     def emr_name_lookup(self) -> DataFrame:
-        return emr.emr_name_lookup(self.base, self.emr_broadcast_bytes)
+        return emr.emr_name_lookup(self.base, self.emr_broadcast_bytes, self.all_names)
 
     # the wide table
+    @property
+    def _wide_options(self) -> dict:
+        return {"fill_unused": self.fill_unused, "fee_grain": self.fee_grain, "rds_only": self.rds_only}
+
     @cached_property
     def wide(self) -> DataFrame:
-        return wide_costs(self.base, fill_unused=self.fill_unused, fee_grain=self.fee_grain,
-                          rds_only=self.rds_only, emr_broadcast_bytes=self.emr_broadcast_bytes)
+        return wide_costs(self.base, **self._wide_options, emr_broadcast_bytes=self.emr_broadcast_bytes, all_names=self.all_names)
+
+    def observed_wide(self, observed: quality.Observed) -> DataFrame:
+        """The wide table, with Q1 and Q3 taken as it is written."""
+        lines = observed.lines(base_costs(self.bill))
+        return observed.wide(wide_costs(self.base, **self._wide_options, emr_broadcast_bytes=self.emr_broadcast_bytes,
+                                        all_names=self.all_names, lines=lines))
 
     @cached_property
     def unnamed_wide(self) -> DataFrame:
         """The wide table without the EMR cluster name, for all that does not
-        read it: no name dimension, no lookup, nothing eager."""
-        return wide_costs(self.base, fill_unused=self.fill_unused, fee_grain=self.fee_grain,
-                          rds_only=self.rds_only, with_names=False)
+        read it: no name dimension, no lookup, nothing eager. (With ``all_names``
+        a line has a row for each of its names, so the names are read.)"""
+        return self.wide if self.all_names else wide_costs(self.base, **self._wide_options, with_names=False)
 
     # report, checks, profile
     def ec2_hourly_usage(self, by_account: bool = False) -> DataFrame:
@@ -107,6 +118,10 @@ class CostModel:
     def qc_reserved(self) -> DataFrame:
         return quality.qc_reserved(self.unnamed_wide, self.base)
 
+    def totals(self) -> quality.Totals:
+        """Q1-Q4 from one pass over the wide table and one over the bill."""
+        return quality.Totals(self.unnamed_wide, self.base)
+
     def key_check(self) -> DataFrame:
         return quality.key_check(self.base)
 
@@ -122,5 +137,7 @@ class CostModel:
         if name == "parent_service_rollup":
             return analyses.parent_service_rollup(self.wide)
         if name == "commitment_utilisation":
-            return analyses.commitment_utilisation(self.unnamed_wide, self.ri_unused)
+            if self._given:
+                return analyses.commitment_utilisation(self.unnamed_wide, self.ri_unused)
+            return analyses.commitment_utilisation(wide_costs(self.base, **self._wide_options, with_names=False, with_arn=True))
         return getattr(analyses, name)(self.unnamed_wide, **options)
