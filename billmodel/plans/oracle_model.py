@@ -115,43 +115,44 @@ CUT = {
 }
 
 _AMOUNT, _COST, _RESOURCE = "line_item_usage_amount", "line_item_unblended_cost", "line_item_resource_id"
-_PERIODS = {"_bb_usage_date": "_bb_usage_date", "_bb_usage_year_month": "_bb_usage_year_month"}
+_DAY, _MONTH = "_bb_usage_date", "_bb_usage_year_month"
 _RI, _SP = "reservation_reservation_a_r_n", "savings_plan_savings_plan_a_r_n"
-# The facets' columns and where each comes from.
+# The facets' columns, in the model's order, and where each comes
+# from: a bill column, a label, a cut text or a constant.
 SOURCES: dict[str, dict[str, str]] = {
-    "marketplace": {"_bb_service": "'AWSMarketplace'", "bb_mp_seller": "line_item_legal_entity", "bb_mp_product_name": "product_product_name"},
-    "elb": {"bb_elb_name": "lb_name", "bb_elb_type": "lb_type", "bb_elb_usage_type": "elb_use", "bb_elb_hour": _AMOUNT},
-    "s3_requests": {"bb_s3_usage_type": "'Requests'", "bb_s3_requested_api": _OPERATION, "bb_s3_request_cost_tier": "tier",
-                    "bb_s3_num_requests": _AMOUNT, "bb_s3_bucket": _RESOURCE},
-    "s3_storage": {"bb_s3_usage_type": "'TimedStorage'", "bb_s3_storage_level": "level", "bb_s3_gb_month": _AMOUNT,
-                   "bb_s3_bucket": _RESOURCE, "bb_s3_is_overhead": f"{_OPERATION} LIKE '%SizeOverhead%'"},
-    "emr_other": {"bb_parent_service": "'AmazonEMR'", "bb_emr_cluster_id": "resource_tags_aws_elasticmapreduce_job_flow_id",
-                  "bb_emr_instance_role": "resource_tags_aws_elasticmapreduce_instance_group_role"},
-    "emr_fee": {"bb_parent_service": "'AmazonEMR'", "bb_emr_cluster_id": "cluster", "bb_emr_cluster_name": "resource_tags_user_name"},
-    "rds": {"bb_rds_usage_type": "rds_use", "bb_rds_engine": "product_database_engine", "bb_rds_azness": "product_deployment_option",
-            "bb_rds_instance_type": "product_instance_type", "bb_rds_instance_arn": _RESOURCE, "bb_rds_instance_name": "db_name",
-            "_bb_rds_platform": "platform", "_bb_rds_instance_type_family": "family", "_bb_rds_instance_type_grand_family": "grand_family",
-            "rds_instance_seconds": f"if(product_database_engine IS NULL, NULL, {_AMOUNT})",
-            "rds_storage_gb_month": f"if(product_volume_type IS NULL, NULL, {_AMOUNT})", "rds_storage_volume_type": "volume"},
-    "sp_recurring": {"bb_sp_arn": _SP, "bb_sp_cost_recur": _COST, "bb_cost": "0", **_PERIODS},
-    "sp_negation": {"bb_sp_arn": _SP, "bb_sp_cost_negation": _COST, "bb_cost": "0", "bb_ec2_seconds": "0", "_bb_usage_date": "_bb_usage_date"},
-    "sp_used": {"bb_usage_type": "'Savings Plans'", "bb_sp_cost_type": "'Used'", "bb_sp_arn": _SP, "bb_sp_term_year": "savings_plan_purchase_term",
-                "bb_cost_used": "savings_plan_savings_plan_effective_cost", **_PERIODS},
+    "data_transfer": {"_bb_parent_service": "_bb_service", "_bb_service": "'AWSDataTransfer'", "_bb_dt_gb": _AMOUNT,
+                      "_bb_dt_type": _TRANSFER, "bb_dt_dir": "direction"},
+    "ebs": {"_bb_parent_service": "_bb_service", "_bb_service": "'AmazonEBS'", "bb_ebs_volume_id": _RESOURCE,
+            "bb_ebs_volume_type": "product_volume_api_name", "bb_ebs_gb_month": _AMOUNT, "bb_cost": _COST, "_bb_ebs_usage_type": "ebs_use"},
+    "ec2": {"_bb_service": "'AmazonEC2'", "bb_ec2_instance_id": _RESOURCE, "bb_ec2_seconds": f"{_AMOUNT} * 3600",
+            "_bb_ec2_instance_type_family": "family", "_bb_ec2_instance_type_grand_family": "grand_family",
+            "_bb_ec2_instance_type": "product_instance_type", "bb_ec2_vcpu_seconds": f"TRY_CAST(product_vcpu AS INTEGER) * {_AMOUNT} * 3600",
+            "bb_ec2_platform": "platform"},
+    "ec2_on_demand": {"bb_ec2_purchase_option": "'On Demand'", "bb_cost_used": _COST},
+    "ec2_spot": {"bb_ec2_purchase_option": "'Spot'", "bb_cost_used": _COST},
+    "nat_gateway": {"_bb_vpc_usage_type": "'NAT Gateway'", "_bb_ec2_nat_hours": _AMOUNT},
+    "ri_paid": {_MONTH: _MONTH, _DAY: _DAY, "_bb_service": "_bb_service", "bb_ri_arn": _RI, "bb_ec2_hours": _AMOUNT,
+                "bb_ec2_instance_type_inferred": "reserved_type", "bb_cost": _COST},
     "ri_used": {"bb_ec2_purchase_option": "'Reserved Instance'", "bb_ri_cost_type": "'Used'", "bb_ri_arn": _RI,
                 "bb_ri_term_year": "pricing_lease_contract_length", "bb_cost_used": "reservation_effective_cost"},
-    "ri_paid": {"bb_ri_arn": _RI, "bb_cost": _COST, "bb_ec2_hours": _AMOUNT, "bb_ec2_instance_type_inferred": "reserved_type",
-                "_bb_service": "_bb_service", **_PERIODS},
-    "nat_gateway": {"_bb_vpc_usage_type": "'NAT Gateway'", "_bb_ec2_nat_hours": _AMOUNT},
-    "ec2_spot": {"bb_ec2_purchase_option": "'Spot'", "bb_cost_used": _COST},
-    "ec2_on_demand": {"bb_ec2_purchase_option": "'On Demand'", "bb_cost_used": _COST},
-    "ec2": {"_bb_service": "'AmazonEC2'", "bb_ec2_instance_id": _RESOURCE, "bb_ec2_platform": "platform",
-            "_bb_ec2_instance_type": "product_instance_type", "_bb_ec2_instance_type_family": "family",
-            "_bb_ec2_instance_type_grand_family": "grand_family", "bb_ec2_seconds": f"{_AMOUNT} * 3600",
-            "bb_ec2_vcpu_seconds": f"TRY_CAST(product_vcpu AS INTEGER) * {_AMOUNT} * 3600"},
-    "ebs": {"_bb_service": "'AmazonEBS'", "_bb_parent_service": "_bb_service", "_bb_ebs_usage_type": "ebs_use", "bb_cost": _COST,
-            "bb_ebs_volume_id": _RESOURCE, "bb_ebs_volume_type": "product_volume_api_name", "bb_ebs_gb_month": _AMOUNT},
-    "data_transfer": {"_bb_service": "'AWSDataTransfer'", "_bb_parent_service": "_bb_service", "_bb_dt_type": _TRANSFER,
-                      "_bb_dt_gb": _AMOUNT, "bb_dt_dir": "direction"},
+    "sp_used": {_DAY: _DAY, _MONTH: _MONTH, "bb_usage_type": "'Savings Plans'", "bb_sp_cost_type": "'Used'", "bb_sp_arn": _SP,
+                "bb_cost_used": "savings_plan_savings_plan_effective_cost", "bb_sp_term_year": "savings_plan_purchase_term"},
+    "sp_negation": {_DAY: _DAY, "bb_sp_arn": _SP, "bb_sp_cost_negation": _COST, "bb_cost": "0", "bb_ec2_seconds": "0"},
+    "sp_recurring": {_DAY: _DAY, _MONTH: _MONTH, "bb_sp_arn": _SP, "bb_sp_cost_recur": _COST, "bb_cost": "0"},
+    "rds": {"bb_rds_usage_type": "rds_use", "_bb_rds_platform": "platform", "bb_rds_engine": "product_database_engine",
+            "bb_rds_azness": "product_deployment_option", "bb_rds_instance_type": "product_instance_type", "bb_rds_instance_arn": _RESOURCE,
+            "bb_rds_instance_name": "db_name", "_bb_rds_instance_type_family": "family", "_bb_rds_instance_type_grand_family": "grand_family",
+            "rds_instance_seconds": f"if(product_database_engine IS NULL, NULL, {_AMOUNT})", "rds_storage_volume_type": "volume",
+            "rds_storage_gb_month": f"if(product_volume_type IS NULL, NULL, {_AMOUNT})"},
+    "emr_fee": {"bb_parent_service": "'AmazonEMR'", "bb_emr_cluster_name": "resource_tags_user_name", "bb_emr_cluster_id": "cluster"},
+    "emr_other": {"bb_parent_service": "'AmazonEMR'", "bb_emr_cluster_id": "resource_tags_aws_elasticmapreduce_job_flow_id",
+                  "bb_emr_instance_role": "resource_tags_aws_elasticmapreduce_instance_group_role"},
+    "s3_storage": {"bb_s3_gb_month": _AMOUNT, "bb_s3_bucket": _RESOURCE, "bb_s3_storage_level": "level",
+                   "bb_s3_usage_type": "'TimedStorage'", "bb_s3_is_overhead": f"{_OPERATION} LIKE '%SizeOverhead%'"},
+    "s3_requests": {"bb_s3_requested_api": _OPERATION, "bb_s3_request_cost_tier": "tier", "bb_s3_num_requests": _AMOUNT,
+                    "bb_s3_bucket": _RESOURCE, "bb_s3_usage_type": "'Requests'"},
+    "elb": {"bb_elb_name": "lb_name", "bb_elb_hour": _AMOUNT, "bb_elb_usage_type": "elb_use", "bb_elb_type": "lb_type"},
+    "marketplace": {"bb_mp_seller": "line_item_legal_entity", "bb_mp_product_name": "product_product_name", "_bb_service": "'AWSMarketplace'"},
 }
 
 # Wide columns that several facets compete for, best first ("" is the line itself).
@@ -201,7 +202,7 @@ def _shown(column: str) -> str:
     return column[1:] if column.startswith("_bb_") else column
 
 
-def model_ctes(filled: bool = False, rds_only: bool = False, grouped: bool = False) -> str:
+def model_ctes(filled: bool = False, rds_only: bool = False, grouped: bool = False, all_names: bool = False) -> str:
     """CTEs over ``cur`` ending in ``wide_raw``; options as in the library."""
     tested = sorted({t[0] for alternatives in MEMBERS.values() for a in alternatives for t in a} | {t[0] for t in RDS_ONLY[0]}
                     | {t[0] for rules in LABELS.values() for wanted, _, _ in rules for t in wanted})
@@ -221,6 +222,9 @@ def model_ctes(filled: bool = False, rds_only: bool = False, grouped: bool = Fal
   SELECT kind, MIN(bb_id) AS bb_id, arg_min_null(day, bb_id) AS day, arg_min_null(month, bb_id) AS month, arg_min_null(service, bb_id) AS service,
          arn, period, SUM(cost) AS cost
   FROM fee_lines GROUP BY kind, arn, period""" if grouped else "SELECT * FROM fee_lines"
+    cluster_rows = """SELECT DISTINCT r, bb_emr_cluster_name AS dim_name, id AS dim_id FROM candidates JOIN d_emr_names ON id = bb_emr_cluster_id""" if all_names else """
+  SELECT r, arg_min(bb_emr_cluster_name, (place, bb_emr_cluster_name)) AS dim_name, arg_min(id, (place, bb_emr_cluster_name)) AS dim_id
+  FROM candidates JOIN d_emr_names ON id = bb_emr_cluster_id GROUP BY r"""
     return rf"""
 bb_cur AS (SELECT * FROM cur WHERE bill_invoice_id <> ''),
 costs AS (
@@ -259,8 +263,7 @@ candidates AS (
   SELECT r, 1 AS place, {SOURCES['emr_other']['bb_emr_cluster_id']} AS id FROM marked WHERE bb_id IS NOT NULL AND list_contains(facets, 'emr_other')
   UNION ALL SELECT r, 2, cluster FROM marked WHERE bb_id IS NOT NULL AND list_contains(facets, 'emr_fee')),
 clusters AS (
-  SELECT r, arg_min(bb_emr_cluster_name, (place, bb_emr_cluster_name)) AS dim_name, arg_min(id, (place, bb_emr_cluster_name)) AS dim_id
-  FROM candidates JOIN d_emr_names ON id = bb_emr_cluster_id GROUP BY r),
+  {cluster_rows}),
 fee_lines AS (
   SELECT 'ri' AS kind, bb_id, _bb_usage_date AS day, _bb_usage_year_month AS month, _bb_service AS service, {_RI} AS arn,
          _bb_usage_year_month AS period, {_COST} AS cost

@@ -104,7 +104,6 @@ ARCHETYPE_FIELDS = [
 PERIOD_START = "2024-01-01 00:00:00"
 PERIOD_DAYS = 181
 PERIOD_MONTHS = 6
-SP_EVERY = 4  # every fourth supplier has a savings plan
 RI_FEE_USAGE_TYPE = "CNW1-HeavyUsage:m5.large"
 SP_FEE_USAGE_TYPE = "CNW1-ComputeSP:1yrNoUpfront"
 # Fees, b = the supplier's whole balance modulo 100: RI = 40 + b + month index;
@@ -213,7 +212,7 @@ def usage_lines(lineitem: DataFrame, arch: DataFrame) -> DataFrame:
         "product_deployment_option": F.col("a_deploy"),
         "reservation_reservation_a_r_n": F.when(typ == "DiscountedUsage", F.concat(F.lit("arn:ri/"), _s(sk))).otherwise(F.lit("")),
         "reservation_effective_cost": F.when(typ == "DiscountedUsage", cost),
-        "savings_plan_savings_plan_a_r_n": F.when(is_sp, F.concat(F.lit("arn:sp/"), _s(sk - sk % 4))).otherwise(F.lit("")),
+        "savings_plan_savings_plan_a_r_n": F.when(is_sp, F.concat(F.lit("arn:sp/"), _s(sk))).otherwise(F.lit("")),
         "savings_plan_savings_plan_effective_cost": F.when(typ == "SavingsPlanCoveredUsage", F.round(cost * F.lit(0.7).cast("decimal(2,1)"), 6).cast(DEC)),
         "savings_plan_purchase_term": F.when(is_sp, F.lit("1yr")).otherwise(F.lit("")),
         "resource_tags_user_name": F.when((res == "emr") & (pk % 7 != 0), F.concat(F.lit("cluster-"), _s(pk % 20))).otherwise(F.lit("")),
@@ -266,8 +265,8 @@ def _fee_rows(period: DataFrame, arn_col: str, prefix: str, fee_type: str,
 
 
 def fee_lines(supplier: DataFrame) -> DataFrame:
-    """RIFee rows per (month, supplier) and recurring-fee rows per (day, every
-    fourth supplier): the model finds what was used of them and what is left."""
+    """RIFee rows per (month, supplier) and recurring-fee rows per (day, supplier):
+    the model finds what was used of them and what is left."""
     base = F.lit(PERIOD_START).cast("timestamp_ntz")
     k = F.col("s_suppkey")
     balance = (F.floor(F.abs("s_acctbal")).cast("long") % 100).alias("b")
@@ -282,7 +281,7 @@ def fee_lines(supplier: DataFrame) -> DataFrame:
                 (F.lit(RI_FEE_BASE) + F.col("b") + F.col("i")).cast(DEC).alias("fee"))
     )
     days = (
-        periods(supplier.where(k % SP_EVERY == 0), PERIOD_DAYS)
+        periods(supplier, PERIOD_DAYS)
         .select((base + F.make_dt_interval(days=F.col("i"))).alias("start"), k, "b", "i")
         .select("start", F.date_format("start", "yyyy-MM-dd").alias("label"), F.concat(F.lit("arn:sp/"), _s(k)).alias("arn"),
                 (F.lit(SP_FEE_BASE) + F.col("b") + (F.col("i") % 7) * F.lit(SP_FEE_DAY_STEP).cast("decimal(2,1)")).cast(DEC).alias("fee"))
