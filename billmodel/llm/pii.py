@@ -5,7 +5,8 @@ e-mail addresses, IPv4 addresses (parts up to 255), card numbers (16 to 19
 digits that pass Luhn) and phone numbers (a plus and 8 to 15 digits).
 
 The model is trained here, on the driver, from labelled windows: base spans,
-some of them in other common spellings (another separator, no plus), and windows
+some of them in other common spellings (another separator, no plus, joined to a
+number that follows, so that the pattern runs on into it), and windows
 with digits or an ``@`` that are no personal data. They are picked kind by kind,
 so that harmless digits, however many, leave the others their place: at most
 ``BOUNDS`` different windows of each, from about ``TRAIN_DOCS`` documents (by a
@@ -13,9 +14,10 @@ hash of the text over all rows), and for kinds still short of their bound from
 ever more documents, all rows in the end. All kinds hold a digit or an ``@``, so the model reads the
 surroundings of these characters, in overlapping windows; where windows overlap
 their tag scores are averaged, weighted by the distance to the window's edge, and
-one Viterbi pass over the whole stretch reconciles them. A span of the model is
-added if it overlaps no base span and is well-formed (a local part and a domain;
-a Luhn-valid number of 13 to 19 digits; 7 to 15 digits with phone separators).
+one Viterbi pass over the whole stretch reconciles them, around the base spans. A
+span of the model is added if it overlaps no base span and is well-formed (a local part and a domain;
+a Luhn-valid number of 13 to 19 digits; 7 to 15 digits with a plus or phone
+separators).
 
 Defined results: a null text is empty and has no spans; null ids are kept;
 repeated rows give repeated results; extra columns are ignored; an empty table
@@ -35,11 +37,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from billmodel.llm.common import CHUNK, arrow_rows, ship_package
-from billmodel.llm.pii_model import CLASSES, KINDS, Tagger, classes, spans_of
+from billmodel.llm.pii_model import CLASSES, KINDS, NEVER, Tagger, classes, spans_of
 
 RESULT = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, masked string"
 WINDOW, STRIDE, REACH = 64, 32, 40
-TRAIN_DOCS, TRAIN_WINDOWS, TRAIN_STEPS = 20_000, 2_400, 240
+TRAIN_DOCS, TRAIN_WINDOWS, TRAIN_STEPS = 20_000, 2_400, 480
 EMAIL, IP, CARD, PHONE, NONE = range(5)
 #: Training windows of each kind, and of those that are no personal data.
 BOUNDS = {EMAIL: TRAIN_WINDOWS // 4, IP: TRAIN_WINDOWS // 4, CARD: TRAIN_WINDOWS // 4, PHONE: TRAIN_WINDOWS // 4, NONE: TRAIN_WINDOWS // 2}
@@ -105,7 +107,7 @@ def well_formed(kind: int, text: str) -> bool:
         return bool(re.fullmatch(r"[0-9]{1,3}(\.[0-9]{1,3}){3}", text)) and all(int(p) <= 255 for p in text.split("."))
     if kind == CARD:
         return bool(re.fullmatch(r"[0-9][0-9 .-]+[0-9]", text)) and 13 <= len(digits) <= 19 and luhn(digits)
-    return bool(re.fullmatch(r"\+?\(?[0-9][0-9 ()./-]+[0-9]", text)) and 7 <= len(digits) <= 15
+    return bool(re.fullmatch(r"\+?\(?[0-9][0-9 ()./-]+[0-9]", text)) and 7 <= len(digits) <= 15 and digits != text
 
 
 # --- training ------------------------------------------------------------------------
@@ -235,6 +237,10 @@ def _respelled(text: str, tags: np.ndarray, n: int) -> tuple[str, np.ndarray] |
                 keep[at], changed = False, True
                 if at + 1 < len(text):
                     tags[at + 1] = 1 + 2 * PHONE
+            elif ch in "()" and n % 4 < 2:  # (555) 01 as 555-01
+                keep[at], changed = False, True
+                if ch == ")" and at + 1 < len(text) and text[at + 1] == " ":
+                    chars[at + 1] = "-"
             elif ch in " -" and n % 3 == 1:
                 chars[at], changed = ".", True
         elif tags[at] and kinds[at] == CARD and ch == " " and n % 3 == 2:
@@ -244,6 +250,30 @@ def _respelled(text: str, tags: np.ndarray, n: int) -> tuple[str, np.ndarray] |
     return "".join(c for c, k in zip(chars, keep) if k), tags[keep]
 
 
+def _joined(examples: list[tuple[str, np.ndarray]]) -> list[tuple[str, np.ndarray]]:
+    """Numbers that follow each other, a space apart: a phone number and, in turn,
+    an address, a card, another phone number or a plain number (no span)."""
+    def spans(n: int) -> list[Span]:
+        return spans_of(examples[n][1])
+
+    phones = [n for n in range(len(examples)) if any(k == PHONE for k, _, _ in spans(n))]
+    others = [(n, x) for n in range(len(examples)) for x in spans(n) if x[0] != EMAIL]
+    out = []
+    for i, n in enumerate(phones):
+        text, tags = examples[n]
+        _, start, end = next(x for x in spans(n) if x[0] == PHONE)
+        m, (kind, s, e) = others[i * 7 % len(others)]
+        more, more_tags = examples[m][0][s:e], examples[m][1][s:e]
+        if i % 4 == 3:
+            more, more_tags = str(10 ** (i % 5) * (3 + i % 7)), np.zeros(i % 5 + 1, np.int64)
+        first = max(0, start - (i * 5) % 24)
+        joined = text[first:end] + " " + more + text[end:]
+        labels = np.concatenate([tags[first:end], [0], more_tags, tags[end:]])
+        if end - first + 1 + len(more) <= WINDOW:
+            out.append((joined[:WINDOW], labels[:WINDOW]))
+    return out
+
+
 def train(docs: DataFrame, text_col: str = "text", train_docs: int = TRAIN_DOCS) -> Tagger | None:
     """A model fitted on labelled windows of about ``train_docs`` documents, more
     where these don't have enough of a kind; None without any labelled window."""
@@ -251,7 +281,8 @@ def train(docs: DataFrame, text_col: str = "text", train_docs: int = TRAIN_DOCS)
     examples = [(s, np.frombuffer(t, np.uint8).astype(np.int64)) for s, t in training_windows(docs, text_col, train_docs)]
     if not any(t.any() for _, t in examples):
         return None
-    examples += [x for n, (s, t) in enumerate(examples) if t.any() and (x := _respelled(s, t.copy(), n))]
+    joined = _joined(examples)
+    examples += [x for n, (s, t) in enumerate(examples + joined) for m in (n, n + 5) if t.any() and (x := _respelled(s, t.copy(), m))] + joined
     chars = np.full((len(examples), WINDOW), CLASSES, np.int64)
     tags = np.zeros((len(examples), WINDOW), np.int64)
     for r, (s, t) in enumerate(examples):
@@ -276,13 +307,28 @@ def stretches(text: str) -> list[tuple[int, int]]:
     return [(s, e) for s, e in out]
 
 
+def _merged_edges(spans: list[Span]) -> list[tuple[int, int]]:
+    """What the spans cover, in order."""
+    out: list[tuple[int, int]] = []
+    for s, e in sorted((s, e) for _, s, e in spans):
+        if out and s <= out[-1][1]:
+            out[-1] = out[-1][0], max(e, out[-1][1])
+        else:
+            out.append((s, e))
+    return out
+
+
 #: Weight of a window's positions: less towards the edges, where context is cut.
 _WEIGHT = np.minimum(np.arange(1, WINDOW + 1), np.arange(WINDOW, 0, -1)).astype(np.float32)
 
 
-def model_spans(model: Tagger, texts: list[str]) -> list[list[Span]]:
-    """Spans that the model sees in each text, windows reconciled."""
+def model_spans(model: Tagger, texts: list[str], taken: list[list[Span]] | None = None) -> list[list[Span]]:
+    """Spans that the model sees in each text, windows reconciled. What is
+    ``taken`` lies outside its spans: the path goes around it, so that a number
+    that runs on into a known one still ends where that begins."""
     places = [(d, s, e) for d, text in enumerate(texts) for s, e in stretches(text)]
+    edges = [_merged_edges(x) for x in taken] if taken else []
+    ends = [[b for _, b in x] for x in edges]
     out: list[list[Span]] = [[] for _ in texts]
     step = 1024  # stretches at once
     for first in range(0, len(places), step):
@@ -311,8 +357,12 @@ def model_spans(model: Tagger, texts: list[str]) -> list[list[Span]]:
                     rows, of = [], []
         if rows:
             score()
-        for x, w in zip(sums, weights):
+        for (d, s, e), x, w in zip(some, sums, weights):
             x /= w
+            for a, b in edges[d][bisect_left(ends[d], s + 1) :] if taken else ():
+                if a >= e:
+                    break
+                x[max(a - s, 0) : b - s, 1:] = NEVER
         for (d, s, _), tags in zip(some, model.decode(sums)):
             out[d] += [(k, s + a, s + b) for k, a, b in spans_of(tags)]
     return out
@@ -323,7 +373,7 @@ def find_spans(texts: list[str], model: Tagger | None) -> list[tuple[list[Span],
     marked = [d for d, text in enumerate(texts) if _TRIGGER.search(text)]
     base = {d: base_spans(texts[d]) for d in marked}
     out: list[tuple[list[Span], list[Span]]] = [([], []) for _ in texts]
-    seen = model_spans(model, [texts[d] for d in marked]) if model and marked else [[] for _ in marked]
+    seen = model_spans(model, [texts[d] for d in marked], [base[d] for d in marked]) if model and marked else [[] for _ in marked]
     for d, more in zip(marked, seen):
         taken = sorted((s, e) for _, s, e in base[d])
         starts = [s for s, _ in taken]

@@ -186,6 +186,64 @@ def test_model_finds_held_out_spans(spark):
     assert base == [] and all(P.well_formed(k, number[s:e]) for k, s, e in every)
 
 
+def test_model_adds_what_the_patterns_miss(spark):
+    """Spellings beyond the patterns, in documents that were not trained on."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    held_out = docs.filter("doc_id in (1377, 7052)").collect()
+    model = P.train(docs.filter("doc_id not in (1377, 7052)"))
+    for row in held_out:  # a phone number that the pattern runs beyond, into an address
+        (base, every), = P.find_spans([row.text], model)
+        assert [row.text[s:e] for k, s, e in every if k == P.PHONE and (k, s, e) not in base] == [{1377: "+1 (826) 555-4081", 7052: "+1 (843) 555-7672"}[row.doc_id]]
+    r = random.Random(3)
+    number = lambda sep="-": f"{r.randint(200, 999)}{sep}{r.randint(200, 999)}{sep}{r.randint(1000, 9999)}"
+    address = lambda: ".".join(str(r.randint(1, 255)) for _ in range(4))
+    words = "der die and the of to in la les que el los thing reand".split()
+    say = lambda n: " ".join(r.choices(words, k=n))
+    forms = {"no plus": lambda: (number(), ""), "dots": lambda: ("+1." + number("."), ""), "an address follows": lambda: (f"+1 {number()}", " " + address()),
+             "in parentheses": lambda: (f"+1 ({r.randint(200, 999)}) {r.randint(200, 999)}-{r.randint(1000, 9999)}", " " + address()),
+             "a card follows": lambda: (f"+1 {number()}", " 4111 1111 1111 1111")}
+    for form, make in forms.items():
+        found = 0
+        for _ in range(100):
+            phone, more = make()
+            front = say(8) + " "
+            (_, every), = P.find_spans([f"{front}{phone}{more} {say(8)}"], model)
+            found += (P.PHONE, len(front), len(front) + len(phone)) in every
+        assert found >= 90, (form, found)
+    clean = [f"{say(5)} {r.randint(0, 10 ** 6)} {say(4)} {r.random():.3f} {say(3)} 2024-0{r.randint(1, 9)}" for _ in range(200)]
+    assert sum(len(every) for _, every in P.find_spans(clean, model)) <= 2
+
+
+def test_windows_are_reconciled_as_defined(spark):
+    """Averages of overlapping windows' scores and one best path, worked out plainly."""
+    model, r = Tagger(4, seed=9), random.Random(6)
+    model.moves = np.random.default_rng(2).normal(0, 1, model.moves.shape).astype(np.float32)
+    model.out *= 8
+    texts = ["".join(r.choice("ab1@. +2") for _ in range(n)) for n in (5, 64, 65, 150, 333)]
+    taken = [[], [(P.IP, 10, 17)], [], [(P.CARD, 0, 20), (P.IP, 15, 30)], [(P.PHONE, 300, 333)]]
+    for blocked in (None, taken):
+        for d, text in enumerate(texts):
+            want = []
+            for s, e in P.stretches(text):
+                sums, weights = np.zeros((e - s, len(model.bias))), np.zeros(e - s)
+                last = max(0, e - s - P.WINDOW)
+                for at in sorted({*range(0, max(1, last), P.STRIDE), last}):
+                    row = np.full((1, P.WINDOW), P.CLASSES)
+                    piece = P.classes(text[s + at : min(e, s + at + P.WINDOW)])
+                    row[0, : len(piece)] = piece
+                    scores = model.emissions(row)[0]
+                    for i in range(len(piece)):
+                        weight = min(i + 1, P.WINDOW - i)
+                        sums[at + i] += weight * scores[i]
+                        weights[at + i] += weight
+                scores = (sums / weights[:, None]).astype(np.float32)
+                for _, a, b in blocked[d] if blocked else []:
+                    for i in range(max(a, s), min(b, e)):
+                        scores[i - s, 1:] = -1e4
+                want += [(k, s + a, s + b) for k, a, b in spans_of(model.decode([scores])[0])]
+            assert P.model_spans(model, [text], None if blocked is None else [blocked[d]])[0] == want
+
+
 def test_model_learns_among_harmless_digits(spark):
     """Tables of harmless numbers with nearly all windows, and a sample with few
     of the labelled rows: the model still finds what the patterns miss."""
