@@ -104,7 +104,9 @@ def _typed(name: str, kind: T.DataType, wanted: str | None) -> Column:
         return utc(c)
     if wanted == "timestamp_ntz" and isinstance(kind, T.StringType):
         text = F.nullif(F.trim(c), F.lit(""))
-        return F.when(text.rlike(CLOCK_AND_OFFSET), utc(F.regexp_replace(text, r"\s+([+-])", "$1").cast("timestamp"))).otherwise(text.cast("timestamp_ntz"))
+        stated = F.regexp_replace(F.regexp_replace(text, r"\s+([+-])", "$1"), r"([T ][0-9]{1,2}:[0-9]{1,2})([+-]|Z)", "$1:00$2")  # 21:30Z
+        stated = F.regexp_replace(stated, r"(:[0-9.]+[+-][0-9]{1,2})$", "$1:00")  # -08
+        return F.when(text.rlike(CLOCK_AND_OFFSET), utc(stated.cast("timestamp"))).otherwise(text.cast("timestamp_ntz"))
     return c
 
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+
 import pytest
 
 from __spark_entry__ import entry
@@ -10,6 +14,7 @@ from billmodel.plans.registry import registered_queries
 from conftest import SF_SMALL
 from tools.oracle_check import compare, duck_connection
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 QUERIES = registered_queries()
 SQL = oracle_queries()
 
@@ -34,3 +39,12 @@ def test_entry_smoke(spark):
     df = entry(spark)
     assert df.count() > 0
     assert "bb_cost" in df.columns and df.columns[-1] == "bb_usage_year_month"
+
+
+@pytest.mark.parametrize("missing", ["billmodel.llm", "corpus_pipeline", "zstandard", "xxhash"])
+def test_entry_without_the_document_operators(missing):
+    """Where they or a library of theirs can't be imported, the model's queries stay."""
+    code = (f"import sys; sys.modules[{missing!r}] = None; sys.path.insert(0, {ROOT!r})\n"
+            "import __spark_entry__ as e\nassert 'wide_costs' in e.queries() and not any(q.startswith('op') for q in e.queries())\n"
+            "assert set(e.queries()) == set(e.oracle_sql())")
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=120)
