@@ -14,6 +14,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from billmodel.session import checkpoint_dir
 
@@ -102,6 +103,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
 BYTE_VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 WORD_BASE = 0x9FB21C651E98DF25
 GRAM_BASE = 0xD6E8FEB86659FD93
+#: Longer words are hashed as a whole.
+POLYNOMIAL_BYTES = 64
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -180,6 +183,9 @@ class Words:
             np.cumsum(BYTE_VALUES[data] * power, out=sums[1:])
             undo = powers(pow(WORD_BASE, -1, 1 << 64), len(data), "unword")
             self.hashes = mixed((sums[self.end] - sums[self.start]) * undo[self.start])
+            # polynomials modulo 2**64 meet on long texts of a certain build
+            for i in np.flatnonzero(self.end - self.start > POLYNOMIAL_BYTES).tolist():
+                self.hashes[i] = xxh3_64_intdigest(joined[self.start[i] : self.end[i]])
         else:
             self.hashes = np.zeros(0, np.uint64)
         self.data = data

@@ -60,15 +60,17 @@ class _Part:
             at = ends[self.doc[ends] == self.doc[ends - (n - 1)]]
         return at, rolled(self.hashes, n)[at - (n - 1)] if len(at) else np.zeros(0, np.uint64)
 
-    def outside(self, grams: np.ndarray, at: np.ndarray, counted: np.ndarray, totals: np.ndarray) -> np.ndarray:
-        """How often each n-gram occurs outside the document of its place."""
-        number = np.searchsorted(counted, grams)
-        key = self.doc[at] * max(1, len(counted)) + number
+    def outside(self, number: np.ndarray, at: np.ndarray, totals: np.ndarray) -> np.ndarray:
+        """How often each n-gram (by its number) occurs outside the document of its
+        place. Only those that the part holds more than once can be in their
+        document twice; they alone are sorted by document."""
+        own = np.ones(len(number), np.int64)
+        again = np.flatnonzero((np.bincount(number, minlength=len(totals)) > 1)[number])
+        key = self.doc[at[again]] * max(1, len(totals)) + number[again]
         order = np.argsort(key)
         new = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))[: len(key)]
         sizes = np.diff(np.concatenate([new, [len(key)]]))
-        own = np.empty(len(key), np.int64)
-        own[order] = np.repeat(sizes, sizes)
+        own[again[order]] = np.repeat(sizes, sizes)
         return totals[number].astype(np.int64) - own
 
 
@@ -118,8 +120,8 @@ class _Known:
         at = None
         for n in range(1, orders + 1):
             at, grams = p.grams(n, at)
-            counted = np.unique(grams)
-            outside = p.outside(grams, at, counted, _totals(answers, counted, n, buckets)) if len(at) else np.zeros(0, np.int64)
+            counted, number = np.unique(grams, return_inverse=True)
+            outside = p.outside(number, at, _totals(answers, counted, n, buckets)) if len(at) else np.zeros(0, np.int64)
             self.at.append(at[outside > 0])
             self.count.append(outside[outside > 0])
             at = None if n < 2 else self.next(p, n)

@@ -65,6 +65,18 @@ def test_substring_dedup_odd_rows(spark):
     assert kept == {1: "a b c d", 2: "x y"}
 
 
+def test_words_that_polynomials_do_not_tell_apart(spark):
+    """Two different words of 1024 letters (Thue and Morse's, and its opposite),
+    then the same 19 words: nothing repeats."""
+    signs = [bin(i).count("1") % 2 for i in range(1024)]
+    tail = " ".join(f"w{i}" for i in range(19))
+    rows = [(1, "".join("ab"[x] for x in signs) + " " + tail), (2, "".join("ba"[x] for x in signs) + " " + tail), (3, "c " + tail + " " + tail)]
+    got = {r.doc_id: r.n_removed for r in substring_dedup(odd(spark, rows)).collect()}
+    assert got == {1: 0, 2: 0, 3: 0}
+    rows[1] = (2, rows[0][1])
+    assert {r.doc_id: r.n_removed for r in substring_dedup(odd(spark, rows)).collect()} == {1: 0, 2: 20, 3: 0}
+
+
 def removed_bytes(docs, length, keep):
     strings, counts = [(i, (t or "").encode()) for i, t in docs], Counter()
     for _, b in strings:
