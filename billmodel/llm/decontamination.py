@@ -1,8 +1,8 @@
 """Benchmark decontamination: size-partitioned MinHash containment search.
 
 A test item leaks into a document if at least ``threshold`` of the item's
-different shingles (``shingle`` words; lower-cased words of letters, digits and
-non-ASCII characters, so case and punctuation don't hide a leak) are in the
+different shingles (``shingle`` words; lower-cased words of Unicode letters and
+digits, so case, punctuation and typographic marks don't hide a leak) are in the
 document. Items are short and documents may be very long, so the share of the
 *document* says nothing and signatures of whole documents would lose the items.
 
@@ -21,7 +21,8 @@ Items are the stated query set and go to the tasks in blocks of at most
 shuffled nor collected.
 
 Nulls and odd rows: a null or empty text has no shingles and neither leaks nor
-is leaked into; a text of fewer words than a shingle is one shingle; null ids
+is leaked into; an item of fewer words than a shingle is one shingle, of all its
+words, and is searched for by that length in documents of any length; null ids
 are kept; repeated rows (of items, too) give repeated results; extra columns are
 ignored; without items, or without documents, the result is empty.
 """
@@ -47,47 +48,51 @@ BLOCK_WORDS = 2_000_000
 _APART = np.ones(256, bool)
 _APART[[*range(48, 58), *range(97, 123), *range(128, 256)]] = False
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
+#: Non-ASCII characters that are neither letters nor digits.
+_MARK = re.compile(r"[^\x00-\x7f\w]")
 
 
-def shingles(text: str | None, size: int) -> set[bytes]:
-    """Different shingles of a text, as the text of their words."""
-    words = _WORD.findall((text or "").lower().encode())
-    if len(words) < size:
-        return {b" ".join(words)} if words else set()
+def plain(text: str | None) -> str:
+    """A text whose words are its runs of ASCII letters and digits and of
+    non-ASCII characters."""
+    text = (text or "").lower()
+    return text if text.isascii() else _MARK.sub(" ", text)
+
+
+def words_of(text: str | None) -> list[bytes]:
+    return _WORD.findall(plain(text).encode())
+
+
+def shingles(words: list[bytes], size: int) -> set[bytes]:
+    """Different shingles of ``size`` words, as their text."""
     return set(map(b" ".join, zip(*(words[i:] for i in range(size)))))
 
 
-def shingle_hashes(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all shingles of lower-cased texts, and the text each is of."""
-    words = Words(texts, _APART)
-    hashes, doc = words.hashes, words.doc
-    n = max(0, len(hashes) - size + 1)
-    within = np.flatnonzero(doc[:n] == doc[size - 1 : size - 1 + n])
-    out, of = [rolled(hashes, size)[within]], [doc[within]]
-    counts = np.bincount(doc, minlength=len(texts))
-    ends = np.cumsum(counts)
-    for d in np.flatnonzero((counts > 0) & (counts < size)):
-        out.append(rolled(hashes[ends[d] - counts[d] : ends[d]], int(counts[d])))
-        of.append(np.array([d]))
-    return np.concatenate(out), np.concatenate(of)
+def shingle_hashes(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all shingles of ``size`` words, and the text each is of."""
+    n = max(0, len(words.hashes) - size + 1)
+    within = np.flatnonzero(words.doc[:n] == words.doc[size - 1 : size - 1 + n])
+    return rolled(words.hashes, size)[within], words.doc[within]
 
 
 class Sketches:
     """Bottom-k MinHash sketches of a block of items, by size class."""
 
     def __init__(self, items: list[tuple[int | None, str | None]], size: int, threshold: float):
-        self.size, self.threshold = size, threshold
-        self.items = [(i, s) for i, t in items if (s := shingles(t, size))]
-        self.need = [self.needed(len(s)) for _, s in self.items]
-        #: least number of shared shingles in the class -> sorted hashes, item of each, filter on low bits
-        self.classes: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
-        by_class: dict[int, list[int]] = {}
-        for n, (_, s) in enumerate(self.items):
-            by_class.setdefault(len(s).bit_length(), []).append(n)
-        for members in by_class.values():
+        self.threshold = threshold
+        cut = [(i, w) for i, t in items if (w := words_of(t))]
+        #: (id, words of a shingle, shingles)
+        self.items = [(i, min(size, len(w)), shingles(w, min(size, len(w)))) for i, w in cut]
+        self.need = [self.needed(len(s)) for *_, s in self.items]
+        #: shingle length -> classes: least number of shared shingles in it, sorted hashes, item of each, filter on low bits
+        self.classes: dict[int, list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]] = {}
+        by_class: dict[tuple[int, int], list[int]] = {}
+        for n, (_, length, s) in enumerate(self.items):
+            by_class.setdefault((length, len(s).bit_length()), []).append(n)
+        for (length, _), members in by_class.items():
             hashes, of = [], []
             for n in members:
-                h = np.array(sorted(self._hash(s) for s in self.items[n][1]), np.uint64)
+                h = np.sort(shingle_hashes(Words(sorted(self.items[n][2]), _APART), length)[0])
                 k = len(h) - self.need[n] + 1
                 hashes.append(h[:k])
                 of.append(np.full(k, n))
@@ -96,37 +101,37 @@ class Sketches:
             flat = flat[order]
             low = np.zeros(1 << max(16, (16 * len(flat)).bit_length()), bool)
             low[(flat & np.uint64(len(low) - 1)).astype(np.int64)] = True
-            self.classes.append((min(self.need[n] for n in members), flat, owner[order], low))
+            self.classes.setdefault(length, []).append((min(self.need[n] for n in members), flat, owner[order], low))
 
     def needed(self, n: int) -> int:
         return max(1, math.ceil(self.threshold * n - 1e-9))
 
-    def _hash(self, shingle: bytes) -> int:
-        hashes, _ = shingle_hashes([shingle], min(self.size, shingle.count(b" ") + 1))
-        return int(hashes[0])
-
-    def candidates(self, hashes: np.ndarray, of: np.ndarray, texts: int) -> set[tuple[int, int]]:
+    def candidates(self, words: Words, texts: int) -> set[tuple[int, int]]:
         """(text, item) pairs that share a sketch value."""
-        sizes = np.bincount(of, minlength=texts)
         out: set[tuple[int, int]] = set()
-        for least, flat, owner, low in self.classes:
-            hit = np.flatnonzero(low[(hashes & np.uint64(len(low) - 1)).astype(np.int64)])
-            hit = hit[sizes[of[hit]] >= least]
-            first, last = np.searchsorted(flat, hashes[hit], "left"), np.searchsorted(flat, hashes[hit], "right")
-            for h, a, b in zip(hit[last > first].tolist(), first[last > first].tolist(), last[last > first].tolist()):
-                d = int(of[h])
-                out.update((d, i) for i in owner[a:b].tolist())
+        for length, classes in self.classes.items():
+            hashes, of = shingle_hashes(words, length)
+            sizes = np.bincount(of, minlength=texts)
+            for least, flat, owner, low in classes:
+                hit = np.flatnonzero(low[(hashes & np.uint64(len(low) - 1)).astype(np.int64)])
+                hit = hit[sizes[of[hit]] >= least]
+                first, last = np.searchsorted(flat, hashes[hit], "left"), np.searchsorted(flat, hashes[hit], "right")
+                for h, a, b in zip(hit[last > first].tolist(), first[last > first].tolist(), last[last > first].tolist()):
+                    d = int(of[h])
+                    out.update((d, i) for i in owner[a:b].tolist())
         return out
 
     def leaks(self, texts: list[str]) -> Iterator[tuple[int, int | None, int, int, float]]:
-        """(text, item id, shingles, shared, containment) of verified leaks."""
-        hashes, of = shingle_hashes([t.encode() for t in texts], self.size)
-        last, own = -1, set()
-        for d, i in sorted(self.candidates(hashes, of, len(texts))):
+        """(text, item id, shingles, shared, containment) of verified leaks of
+        ``plain`` texts."""
+        last, own = -1, {}
+        for d, i in sorted(self.candidates(Words([t.encode() for t in texts], _APART), len(texts))):
             if d != last:
-                last, own = d, shingles(texts[d], self.size)
-            item_id, wanted = self.items[i]
-            shared = len(wanted & own)
+                last, own, words = d, {}, words_of(texts[d])
+            item_id, length, wanted = self.items[i]
+            if length not in own:
+                own[length] = shingles(words, length)
+            shared = len(wanted & own[length])
             if shared >= self.need[i]:
                 yield d, item_id, len(wanted), shared, shared / len(wanted)
 
@@ -137,7 +142,7 @@ def _search(sketches: Sketches):
             ids, texts, held, rows = [], [], 0, []
             for i, t in zip(batch.column(0), batch.column(1)):
                 ids.append(i.as_py())
-                texts.append((t.as_py() or "").lower())
+                texts.append(plain(t.as_py()))
                 held += len(texts[-1])
                 if held >= CHUNK:
                     rows += [(ids[d], *rest) for d, *rest in sketches.leaks(texts)]
@@ -182,7 +187,7 @@ def without_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", ite
                     out[end - len(texts) + d] = False
 
             for n, t in enumerate(column, 1):
-                texts.append((t.as_py() or "").lower())
+                texts.append(plain(t.as_py()))
                 held += len(texts[-1])
                 if held >= CHUNK:
                     flush(n)

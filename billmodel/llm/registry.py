@@ -76,16 +76,17 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP5_SQL = r"""
-WITH doc_words AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower(text), '[0-9a-z\x{80}-\x{10FFFF}]+') AS ws FROM documents),
-item_words AS (SELECT row_number() OVER () AS q, item_id, regexp_extract_all(lower(text), '[0-9a-z\x{80}-\x{10FFFF}]+') AS ws FROM benchmark),
+WITH doc_words AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS ws FROM documents),
+item_words AS (SELECT row_number() OVER () AS q, item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS ws FROM benchmark),
+lengths AS (SELECT DISTINCT least(len(ws), 5) AS k FROM item_words WHERE len(ws) > 0),
 doc_shingles AS (
-  SELECT DISTINCT r, array_to_string(ws[i:i+4], ' ') AS g
-  FROM (SELECT r, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM doc_words WHERE len(ws) > 0)),
+  SELECT DISTINCT r, k, array_to_string(ws[i:i+k-1], ' ') AS g
+  FROM (SELECT r, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM doc_words, lengths WHERE len(ws) >= k)),
 item_shingles AS (
-  SELECT DISTINCT q, array_to_string(ws[i:i+4], ' ') AS g
-  FROM (SELECT q, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM item_words WHERE len(ws) > 0)),
+  SELECT DISTINCT q, k, array_to_string(ws[i:i+k-1], ' ') AS g
+  FROM (SELECT q, ws, least(len(ws), 5) AS k, unnest(range(1, len(ws) - least(len(ws), 5) + 2)) AS i FROM item_words WHERE len(ws) > 0)),
 sizes AS (SELECT q, count(*) AS n FROM item_shingles GROUP BY q),
-shared AS (SELECT r, q, count(*) AS n_shared FROM doc_shingles JOIN item_shingles USING (g) GROUP BY r, q)
+shared AS (SELECT r, q, count(*) AS n_shared FROM doc_shingles JOIN item_shingles USING (k, g) GROUP BY r, q)
 SELECT doc_id, item_id, CAST(n AS BIGINT) AS n_shingles, CAST(n_shared AS BIGINT) AS n_shared, CAST(n_shared AS DOUBLE) / n AS containment
 FROM shared JOIN sizes USING (q) JOIN doc_words USING (r) JOIN item_words USING (q)
 WHERE n_shared >= 0.8 * n
