@@ -41,6 +41,22 @@ def test_entry_smoke(spark):
     assert "bb_cost" in df.columns and df.columns[-1] == "bb_usage_year_month"
 
 
+def test_benchs_projection_is_the_oracles_wide_table(con):
+    """The yardstick that is timed gives the table that is checked."""
+    from billmodel.plans.oracle import fixture_ctes
+    from tools.duckdb_projection import projection
+
+    con.execute(f"CREATE OR REPLACE TEMP TABLE bill AS WITH {fixture_ctes()} SELECT * FROM cur")
+    names = [d[0] for d in con.sql(f"SELECT * FROM ({projection('bill')}) LIMIT 0").description]
+    con.execute(f"CREATE OR REPLACE TEMP TABLE plain AS {projection('bill')}")
+    con.execute(f"CREATE OR REPLACE TEMP TABLE checked AS {SQL['wide_costs']}")
+    assert sorted(names) == sorted(d[0] for d in con.sql("SELECT * FROM checked LIMIT 0").description)
+    typed = {c: t for c, t, *_ in con.sql("DESCRIBE checked").fetchall()}
+    listed = lambda _: ", ".join(f'CAST("{c}" AS {k}) AS "{c}"' for c, k in sorted(typed.items()))
+    differ = con.sql(f"(SELECT {listed('plain')} FROM plain EXCEPT ALL SELECT {listed('checked')} FROM checked)").fetchall()
+    assert differ == [] and con.sql("SELECT count(*) FROM plain").fetchone() == con.sql("SELECT count(*) FROM checked").fetchone()
+
+
 @pytest.mark.parametrize("missing", ["billmodel.llm", "corpus_pipeline", "zstandard", "xxhash"])
 def test_entry_without_the_document_operators(missing):
     """Where they or a library of theirs can't be imported, the model's queries stay."""
