@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from billmodel import CostModel
+from billmodel.sources import cur
 from billmodel.sources.dictionaries import read_dictionary, write_dictionary
 from billmodel.sources.fixture import lineitem_bill
 from billmodel.sources.sink import read_wide_table, write_wide_table
@@ -223,3 +224,16 @@ def test_cluster_without_shared_folder_is_an_error():
     sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="spark://host:7077")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_dir(SimpleNamespace(sparkContext=sc))
+
+
+def test_files_of_two_types_are_grouped_in_few_steps(spark, tmp_path, monkeypatch):
+    """Two writes of many files each, whose names alternate when sorted."""
+    path, asked = f"{tmp_path}/cur", []
+    for kind in ("double", "string"):
+        spark.range(0, 40, 1, 20).select(F.col("id").cast("string").alias("identity_line_item_id"), F.col("id").cast(kind).alias("line_item_usage_amount")).write.mode("append").parquet(path)
+    plain = cur.merges
+    monkeypatch.setattr(cur, "merges", lambda spark, path, some: asked.append(len(some)) or plain(spark, path, some))
+    groups = cur.merging_groups(spark, path, [path])
+    assert sorted(map(len, groups)) == [20, 20] and len(asked) <= 12 and sum(asked) <= 200
+    amounts = cur.read_cur(spark, path).select(F.sum("line_item_usage_amount"), F.count("*")).first()
+    assert (int(amounts[0]), amounts[1]) == (2 * sum(range(40)), 80)
