@@ -112,6 +112,8 @@ RI_FEE_BASE = 40
 SP_FEE_BASE = 2
 SP_FEE_DAY_STEP = "0.5"
 FEE_HOURS = 720
+#: Fee rows that a task makes, about.
+FEE_ROWS = 250_000
 
 DEC = T.DecimalType(18, 6)
 
@@ -266,12 +268,19 @@ def _fee_rows(period: DataFrame, arn_col: str, prefix: str, fee_type: str,
 
 def fee_lines(supplier: DataFrame) -> DataFrame:
     """RIFee rows per (month, supplier) and recurring-fee rows per (day, supplier):
-    the model finds what was used of them and what is left."""
+    the model finds what was used of them and what is left.
+
+    A supplier gives 187 of them, so a file that is one task to read holds the rows
+    of many: suppliers are dealt out before they are repeated."""
+    suppliers = supplier.count()
     base = F.lit(PERIOD_START).cast("timestamp_ntz")
     k = F.col("s_suppkey")
     balance = (F.floor(F.abs("s_acctbal")).cast("long") % 100).alias("b")
 
     def periods(rows: DataFrame, count: int) -> DataFrame:
+        tasks = -(-suppliers * count // FEE_ROWS)
+        if tasks > 1:
+            rows = rows.select("s_suppkey", "s_acctbal").repartition(tasks)
         return rows.select(k, balance, F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias("i"))
 
     months = (

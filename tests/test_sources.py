@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from billmodel import CostModel
-from billmodel.sources import cur
+from billmodel.sources import cur, fixture
 from billmodel.sources.dictionaries import read_dictionary, write_dictionary
 from billmodel.sources.fixture import lineitem_bill
 from billmodel.sources.sink import read_wide_table, write_wide_table
@@ -226,6 +226,19 @@ def test_cluster_without_shared_folder_is_an_error():
         checkpoint_dir(SimpleNamespace(sparkContext=sc))
 
 
+def test_fee_rows_are_made_by_many_tasks(spark):
+    """A supplier table of one task: no task makes most of its fee rows."""
+    suppliers = spark.range(1, 8_001, 1, 1).selectExpr("id % 7000 AS s_suppkey", "CAST(id % 900 AS DOUBLE) - 400 AS s_acctbal")
+    fees = fixture.fee_lines(suppliers)
+    tasks = fees.select(F.spark_partition_id().alias("task")).groupBy("task").count().collect()
+    assert sum(r["count"] for r in tasks) == 8_000 * (fixture.PERIOD_DAYS + fixture.PERIOD_MONTHS)
+    assert max(r["count"] for r in tasks) <= 1.2 * fixture.FEE_ROWS
+    keys = {r[0] for r in fees.where("line_item_line_item_type = 'RIFee'").select("reservation_reservation_a_r_n").distinct().collect()}
+    assert keys == {f"arn:ri/{k}" for k in range(7_000)}
+    few = fixture.fee_lines(suppliers.limit(3)).where("line_item_line_item_type = 'SavingsPlanRecurringFee'")
+    assert few.count() == 3 * fixture.PERIOD_DAYS
+
+
 def test_files_of_two_types_are_grouped_in_few_steps(spark, tmp_path, monkeypatch):
     """Two writes of many files each, whose names alternate when sorted."""
     path, asked = f"{tmp_path}/cur", []
