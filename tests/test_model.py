@@ -371,3 +371,38 @@ def test_tag_column_is_free(small_model):
     by_unit = small_model.analysis("department_share", tag="resource_tags_user_business")
     assert by_unit.columns == ["business", "cost", "share_pct"]
     assert abs(sum(r.share_pct for r in by_unit.collect()) - 100) < 1e-6
+
+
+def test_wide_shuffled_names_choose_rows_by_a_plain_condition(spark):
+    """Lines with no id, a blank one, NULLs in what the condition reads, no key."""
+    flow, role = "resource_tags_aws_elasticmapreduce_job_flow_id", "resource_tags_aws_elasticmapreduce_instance_group_role"
+    emr, arn = "ElasticMapReduce", "arn:aws-cn:elasticmapreduce:cn-northwest-1:1:cluster/j-"
+    rows = [
+        line(line_item_product_code=emr, line_item_resource_id=arn + "A", resource_tags_user_name="a"),
+        line(line_item_product_code=emr, line_item_resource_id="none", resource_tags_user_name="b"),
+        line(line_item_product_code=emr, line_item_resource_id=None, **{flow: "j-A"}),
+        line(line_item_product_code=None, **{flow: "j-A"}),
+        line(line_item_product_code=None, **{flow: None, role: "CORE"}),
+        line(line_item_product_code="AmazonEC2", **{flow: "", role: "CORE"}),
+        line(line_item_product_code="AmazonEC2", **{flow: None, role: None}),
+        line(identity_line_item_id=None, line_item_product_code=emr, line_item_resource_id=arn + "A"),
+    ]
+    for names in (False, True):
+        wide = [CostModel(make_bill(spark, rows), emr_broadcast_bytes=b, all_names=names).wide for b in (None, 0)]
+        small, large = (sorted(map(repr, w.collect())) for w in wide)
+        assert len(small) == len(rows) and small == large
+
+
+def test_grouped_fees_are_spread(spark, monkeypatch):
+    """More fee rows than the session's partitions should hold go to more parts."""
+    from billmodel.operators import commitments
+
+    rows = [line(line_item_line_item_type="RIFee", line_item_product_code="AmazonEC2", reservation_reservation_a_r_n=f"ri-{i % 30}",
+                 line_item_unblended_cost=i) for i in range(90)]
+    m = CostModel(make_bill(spark, rows), fee_grain="group")
+    want = sorted(map(tuple, m.ri_unused.collect()))
+    assert len(want) == 30 and sum(r[-1] for r in want) == sum(range(90))
+    monkeypatch.setattr(commitments, "FEE_ROWS", 3)
+    spread = CostModel(m.bill, fee_grain="group").ri_unused
+    assert sorted(map(tuple, spread.collect())) == want
+    assert "REPARTITION_BY_NUM" in spread._jdf.queryExecution().executedPlan().toString()
