@@ -15,6 +15,9 @@ work (classification, cost model, leftovers, reports) happens here.
 
 from __future__ import annotations
 
+import datetime as dt
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -138,13 +141,46 @@ BILL_COLUMNS = [
 ]
 
 
+# Resource ids by kind: text before a number of the part, its modulus (None: the
+# part key itself) and the text after it. Other kinds have a blank id.
+RESOURCES: dict[str, tuple[str, int | None, str]] = {
+    "inst": ("i-", 500, ""),
+    "vol": ("vol-", None, ""),
+    "bucket": ("bucket-", 20, ""),
+    "rds": ("arn:aws-cn:rds:cn-northwest-1:1:db:db-", 30, ""),
+    "alb": ("arn:aws-cn:elb:cn-northwest-1:1:loadbalancer/app/lb-", 10, "/50dc"),
+    "clb": ("arn:aws-cn:elb:cn-northwest-1:1:loadbalancer/lb-", 10, ""),
+    "emr": ("arn:aws-cn:elasticmapreduce:cn-northwest-1:1:cluster/j-C", 10, ""),
+}
+
+
 def archetypes(spark: SparkSession) -> DataFrame:
-    schema = T.StructType(
-        [T.StructField("a_i", T.IntegerType(), False)]
-        + [T.StructField(n, T.StringType(), False) for n in ARCHETYPE_FIELDS[1:18]]
-        + [T.StructField("a_hours", T.IntegerType(), False), T.StructField("a_desc", T.StringType(), False)]
-    )
-    return spark.createDataFrame(ARCHETYPES, schema)
+    """The archetype rows, with what follows from an archetype alone: a line only
+    looks it up, so that the code of a line stays small enough to be compiled."""
+    import pyarrow as pa  # a local table, which the optimizer sees into
+
+    rows = []
+    for a in ARCHETYPES:
+        r = dict(zip(ARCHETYPE_FIELDS, a, strict=True))
+        before, modulus, after = RESOURCES.get(r["a_resource"], (None, None, None))
+        r["a_desc"] = r["a_desc"] or f"{r['a_type']} {r['a_usage']}"
+        r |= {"a_length": dt.timedelta(hours=r["a_hours"]), "a_amount": Decimal(r["a_hours"]) - Decimal("0.5") if r["a_hours"] > 1 else None,
+              "a_before": before, "a_modulus": modulus, "a_after": after,
+              "a_entity": "AWS Marketplace" if r["a_resource"] == "seller" else "AWS",
+              "a_role": "CORE" if r["a_tag"] in ("flow", "role") else "",
+              "a_term": "1yr" if r["a_type"] in ("SavingsPlanCoveredUsage", "SavingsPlanNegation") else "",
+              "a_sign": -1 if r["a_type"] in ("Credit", "Refund", "SavingsPlanNegation") else int(r["a_type"] != "DiscountedUsage")}
+        rows.append(r)
+    text, number = pa.string(), pa.int64()
+    schema = pa.schema(
+        [pa.field("a_i", pa.int32(), False)]
+        + [pa.field(n, text, False) for n in ARCHETYPE_FIELDS[1:18]]
+        + [pa.field("a_hours", pa.int32(), False), pa.field("a_desc", text, False),
+           pa.field("a_length", pa.duration("us"), False), pa.field("a_amount", pa.decimal128(18, 6)),
+           pa.field("a_before", text), pa.field("a_modulus", number), pa.field("a_after", text),
+           pa.field("a_entity", text, False), pa.field("a_role", text, False), pa.field("a_term", text, False),
+           pa.field("a_sign", pa.int32(), False)])
+    return spark.createDataFrame(pa.Table.from_pylist(rows, schema=schema))
 
 
 def _s(c: Column) -> Column:
@@ -163,28 +199,23 @@ def usage_lines(lineitem: DataFrame, arch: DataFrame) -> DataFrame:
     x = li.join(F.broadcast(arch), "a_i")
     typ = F.col("a_type")
     res = F.col("a_resource")
-    cost = (F.col("l_extendedprice").cast("decimal(18,2)") * F.lit(0.0001).cast("decimal(18,4)")).cast(DEC)
     # Interval arithmetic on zone-less timestamps: the wall clock, in any
     # session time zone.
-    start = F.lit(PERIOD_START).cast("timestamp_ntz") + F.make_dt_interval(
-        days=(ok % PERIOD_DAYS).cast("int"), hours=(sk % 24).cast("int"))
-    is_sp = typ.isin("SavingsPlanCoveredUsage", "SavingsPlanNegation")
-    resource = (
-        F.when(res == "inst", F.concat(F.lit("i-"), _s(pk % 500)))
-        .when(res == "vol", F.concat(F.lit("vol-"), _s(pk)))
-        .when(res == "bucket", F.concat(F.lit("bucket-"), _s(pk % 20)))
-        .when(res == "rds", F.concat(F.lit("arn:aws-cn:rds:cn-northwest-1:1:db:db-"), _s(pk % 30)))
-        .when(res == "alb", F.concat(F.lit("arn:aws-cn:elb:cn-northwest-1:1:loadbalancer/app/lb-"), _s(pk % 10), F.lit("/50dc")))
-        .when(res == "clb", F.concat(F.lit("arn:aws-cn:elb:cn-northwest-1:1:loadbalancer/lb-"), _s(pk % 10)))
-        .when(res == "emr", F.concat(F.lit("arn:aws-cn:elasticmapreduce:cn-northwest-1:1:cluster/j-C"), _s(pk % 10)))
-        .otherwise(F.lit(""))
-    )
+    x = x.withColumns({
+        "cost": (F.col("l_extendedprice").cast("decimal(18,2)") * F.lit(0.0001).cast("decimal(18,4)")).cast(DEC),
+        "start": F.lit(PERIOD_START).cast("timestamp_ntz") + F.make_dt_interval(
+            days=(ok % PERIOD_DAYS).cast("int"), hours=(sk % 24).cast("int")),
+    })
+    cost, start = F.col("cost"), F.col("start")
+    is_sp = F.col("a_term") != ""
+    number = F.when(F.col("a_modulus").isNull(), pk).otherwise(pk % F.col("a_modulus"))
+    resource = F.when(F.col("a_before").isNull(), F.lit("")).otherwise(F.concat("a_before", _s(number), "a_after"))
     cols = {
         "identity_line_item_id": F.concat_ws("-", _s(ok), _s(ln), _s(pk), _s(sk), _s(F.to_date("l_shipdate"))),
         "line_item_usage_start_date": start,
-        "line_item_usage_end_date": start + F.make_dt_interval(hours=F.col("a_hours")),
+        "line_item_usage_end_date": start + F.col("a_length"),
         "bill_invoice_id": F.when(ok % 50 == 0, F.lit("")).when(ok % 50 == 1, F.lit(None).cast("string")).otherwise(F.lit("INV-1")),
-        "bill_billing_entity": F.when(res == "seller", F.lit("AWS Marketplace")).otherwise(F.lit("AWS")),
+        "bill_billing_entity": F.col("a_entity"),
         "line_item_legal_entity": F.when(res == "seller", F.concat(F.lit("Seller "), _s(pk % 3))).otherwise(F.lit("AWS")),
         "line_item_line_item_type": typ,
         "line_item_product_code": F.col("a_product"),
@@ -192,11 +223,11 @@ def usage_lines(lineitem: DataFrame, arch: DataFrame) -> DataFrame:
         "line_item_operation": F.col("a_operation"),
         "line_item_resource_id": resource,
         "line_item_usage_account_id": F.concat(F.lit("acct-"), _s(sk % 5)),
-        "line_item_usage_amount": F.when(F.col("a_hours") > 1, (F.col("a_hours") - F.lit(0.5)).cast(DEC)).otherwise(F.col("l_quantity").cast(DEC)),
-        "line_item_unblended_cost": F.when(typ == "DiscountedUsage", F.lit(0).cast(DEC))
-        .when(typ.isin("Credit", "Refund", "SavingsPlanNegation"), (-cost).cast(DEC))
+        "line_item_usage_amount": F.coalesce("a_amount", F.col("l_quantity").cast(DEC)),
+        "line_item_unblended_cost": F.when(F.col("a_sign") == 0, F.lit(0).cast(DEC))
+        .when(F.col("a_sign") < 0, (-cost).cast(DEC))
         .otherwise(cost),
-        "line_item_line_item_description": F.when(F.col("a_desc") != "", F.col("a_desc")).otherwise(F.concat(typ, F.lit(" "), F.col("a_usage"))),
+        "line_item_line_item_description": F.col("a_desc"),
         "pricing_lease_contract_length": F.when(typ == "DiscountedUsage", F.when(pk % 2 == 0, F.lit("1yr")).otherwise(F.lit("3yr"))).otherwise(F.lit("")),
         "product_product_family": F.col("a_family"),
         "product_product_name": F.col("a_product"),
@@ -216,10 +247,10 @@ def usage_lines(lineitem: DataFrame, arch: DataFrame) -> DataFrame:
         "reservation_effective_cost": F.when(typ == "DiscountedUsage", cost),
         "savings_plan_savings_plan_a_r_n": F.when(is_sp, F.concat(F.lit("arn:sp/"), _s(sk))).otherwise(F.lit("")),
         "savings_plan_savings_plan_effective_cost": F.when(typ == "SavingsPlanCoveredUsage", F.round(cost * F.lit(0.7).cast("decimal(2,1)"), 6).cast(DEC)),
-        "savings_plan_purchase_term": F.when(is_sp, F.lit("1yr")).otherwise(F.lit("")),
+        "savings_plan_purchase_term": F.col("a_term"),
         "resource_tags_user_name": F.when((res == "emr") & (pk % 7 != 0), F.concat(F.lit("cluster-"), _s(pk % 20))).otherwise(F.lit("")),
         "resource_tags_aws_elasticmapreduce_job_flow_id": F.when(F.col("a_tag") == "flow", F.concat(F.lit("j-C"), _s(pk % 12))).otherwise(F.lit("")),
-        "resource_tags_aws_elasticmapreduce_instance_group_role": F.when(F.col("a_tag").isin("flow", "role"), F.lit("CORE")).otherwise(F.lit("")),
+        "resource_tags_aws_elasticmapreduce_instance_group_role": F.col("a_role"),
         "resource_tags_user_business": F.when(ln % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("unit-"), _s(pk % 6))),
         "resource_tags_user_department": F.when(ok % 5 == 0, F.lit("")).when(ok % 5 == 1, F.lit(None).cast("string")).otherwise(F.concat(F.lit("dept-"), _s(ok % 4))),
     }

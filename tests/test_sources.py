@@ -239,6 +239,44 @@ def test_fee_rows_are_made_by_many_tasks(spark):
     assert few.count() == 3 * fixture.PERIOD_DAYS
 
 
+def _largest_method(spark, df):
+    """Bytes of the largest method that Spark generates for a plan."""
+    stages = df._jdf.queryExecution().debug().codegenToSeq()
+    return max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size()))
+
+
+@pytest.fixture
+def derived_bill(spark, tmp_path):
+    k = "(id * 7919) % 3000"
+    spark.range(0, 600).selectExpr("id AS l_orderkey", f"{k} AS l_partkey", f"{k} % 40 AS l_suppkey", "CAST(id % 7 AS INT) AS l_linenumber",
+                                   "CAST(id % 50 AS DOUBLE) AS l_quantity", "CAST(id AS DOUBLE) / 3 AS l_extendedprice",
+                                   "TIMESTAMP_NTZ'1995-01-01 00:00:00' AS l_shipdate").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(0, 40).selectExpr("id AS s_suppkey", "CAST(id AS DOUBLE) AS s_acctbal").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield lineitem_bill(spark, str(tmp_path))
+    spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+# The JVM never compiles a method of more than 8,000 bytes: every row would be interpreted.
+COMPILED = 8_000
+
+
+@pytest.mark.parametrize("options", [{}, {"rds_only": True}, {"all_names": True}])
+def test_lines_are_compiled(spark, derived_bill, options):
+    from billmodel.plans.registry import edge
+
+    m = CostModel(derived_bill, **options)
+    assert _largest_method(spark, edge(m.base)) < COMPILED
+    assert _largest_method(spark, edge(m.wide)) < COMPILED
+    assert derived_bill.where("line_item_line_item_type NOT IN ('RIFee', 'SavingsPlanRecurringFee')").count() == 600
+
+
+def test_lines_of_shuffled_names_are_compiled(spark, derived_bill):
+    from billmodel.plans.registry import edge
+
+    assert _largest_method(spark, edge(CostModel(derived_bill, emr_broadcast_bytes=0).wide)) < COMPILED
+
+
 def test_files_of_two_types_are_grouped_in_few_steps(spark, tmp_path, monkeypatch):
     """Two writes of many files each, whose names alternate when sorted."""
     path, asked = f"{tmp_path}/cur", []
