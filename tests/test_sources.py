@@ -271,6 +271,13 @@ def test_lines_are_compiled(spark, derived_bill, options):
     assert derived_bill.where("line_item_line_item_type NOT IN ('RIFee', 'SavingsPlanRecurringFee')").count() == 600
 
 
+def test_lines_of_all_names_are_repeated_in_compiled_code(spark, derived_bill):
+    """A lambda over every line's names would keep the step out of the generated code."""
+    plan = CostModel(derived_bill, all_names=True).wide._jdf.queryExecution().executedPlan().toString()
+    (step,) = [row for row in plan.splitlines() if "Generate explode(CASE" in row]
+    assert re.search(r"\*\(\d+\) Generate", step) and "lambda" not in step
+
+
 def test_lines_of_shuffled_names_are_compiled(spark, derived_bill):
     from billmodel.plans.registry import edge
 
