@@ -106,3 +106,38 @@ def test_extract_or_null_and_least(spark):
                                         extract_or_null(F.col("s"), r"^(a)", 1),
                                         least_one(F.col("x"))).collect()]
     assert got == [(None, "a", 0.5), (None, None, 1.0), (None, None, None)]
+
+
+SEARCHED = [("RI_INSTANCE_TYPE", 1, ":"), ("RDS_NAME", 1, ":"), ("EMR_CLUSTER_ID", 1, "j-"), ("S3_REQUEST_TIER", 1, "-Tier"),
+            ("ELB_NAME", 2, ":loadbalancer/"), ("ELB_TYPE", 1, "LoadBalancing:"), ("INSTANCE_FAMILY", 1, "."), ("INSTANCE_GRAND_FAMILY", 1, ".")]
+
+
+def test_texts_are_searched_once(spark):
+    """Texts that can't match are not searched, others once; the values are those of an extract, NULL for none."""
+    from billmodel.operators import facets
+
+    texts = [None, "", ":", ".", "a:", ":b", "a:b:", "a:b:c", "a:b\nc:d", "a:b\n", "j-", "j-C1", "x/j-C1/j-C2", "j-a\nj-b", "u-Requests-Tier1",
+             "-Tier1", "u-Tier1-Tier2", "u-Tierx", "n:loadbalancer/app/lb-1/50dc", "n:loadbalancer/lb-1", "LoadBalancing:", "LoadBalancing:Net",
+             "xLoadBalancing:Net", "m5.large", "db.m6g.xlarge", "m5.", ".large", "u-24tb1.metal", "General Purpose-GP3", "-", "GP3"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    s = F.col("s")
+    found = [extract_or_null(s, getattr(facets, n, None) or getattr(K, n), g, holds) for n, g, holds in SEARCHED]
+    plain = [F.nullif(F.regexp_extract(s, getattr(facets, n, None) or getattr(K, n), g), F.lit("")) for n, g, _ in SEARCHED]
+    out = df.select(*[c.alias(f"c{i}") for i, c in enumerate(found)])
+    assert [tuple(r) for r in out.collect()] == [tuple(r) for r in df.select(*plain).collect()]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_extract") == len(SEARCHED)  # nullif(regexp_extract) has it twice
+    volume = K.rds_volume_type(F.lit("u"), F.lit("d"), s)
+    suffix = F.nullif(F.regexp_extract(s, K.RDS_VOLUME_SUFFIX, 2), F.lit(""))
+    assert df.where(~volume.eqNullSafe(suffix)).count() == 0
+
+
+def test_a_search_is_the_last_test_of_a_line(spark):
+    """The pattern of instance hours is tried only on lines that pass the plain tests."""
+    from billmodel.operators import facets
+
+    names = ["line_item_product_code", "line_item_usage_type", "line_item_line_item_type", "product_vcpu", "product_servicecode"]
+    df = spark.createDataFrame([("AmazonEC2", "u-BoxUsage:m5.large", "Usage", "2", "AmazonEC2")], names)
+    plan = df.where(facets.ec2().predicate)._jdf.queryExecution().analyzed().toString()
+    assert all(plan.index("RLIKE") > plan.index(n) for n in names) and plan.index("RLIKE") > plan.rindex("NOT (")
+    assert df.where(facets.ec2().predicate).count() == 1
