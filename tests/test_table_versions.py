@@ -5,14 +5,18 @@ from __future__ import annotations
 import datetime as dt
 import glob
 import os
+import time
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from billmodel import CostModel
+from billmodel.plans import registry
 from billmodel.sources import sink
+from billmodel.sources.fixture import lineitem_bill
 from billmodel.sources.sink import MANIFESTS, VERSION, read_manifest, read_wide_table, vacuum, write_wide_table
-from conftest import line, make_bill
+from conftest import SF_SMALL, line, make_bill
 
 MONTHS = {m: dt.datetime(2024, m, 1) for m in (1, 2, 3)}
 
@@ -116,3 +120,59 @@ def test_files_follow_bytes(spark, tmp_path):
     assert [count("plain", f"2024-0{m}") for m in (1, 2, 3)] == [12, 12, 12]
     assert read_wide_table(spark, f"{tmp_path}/balanced").count() == 60_000
     assert os.path.isdir(f"{tmp_path}/balanced/{MANIFESTS}")
+
+
+def _shuffled(spark) -> dict[str, int]:
+    """Bytes of the shuffle files that are there."""
+    found = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    files = [found.apply(i) for i in range(found.size())]
+    return {f.getName(): f.length() for f in files if f.getName().startswith("shuffle_")}
+
+
+def test_months_that_tasks_hold_enough_of_are_not_shuffled(spark, tmp_path, monkeypatch):
+    """Rows of a month in a task, on average, and months in a task decide; the rows are
+    the same, and what a shuffle wrote is gone after the write."""
+    rows = spark.range(4_000, numPartitions=4).selectExpr(
+        "id", "sha2(cast(id AS string), 512) AS body", "CASE id % 4 WHEN 0 THEN NULL ELSE concat('2024-0', id % 4) END AS bb_usage_year_month")
+    ids = lambda p: sorted((r.id, r.bb_usage_year_month) for r in read_wide_table(spark, p).select("id", "bb_usage_year_month").collect())
+    for name, lines, most, files, month in (("lie", 250, 4, 4, "2024-01"), ("lie", 250, 4, 4, sink.NULL_PARTITION), ("few", 251, 4, 1, "2024-01"), ("many", 250, 3, 1, "2024-01")):
+        monkeypatch.setattr(sink, "FILE_LINES", lines, raising=False)
+        monkeypatch.setattr(sink, "MOST_OPEN", most, raising=False)
+        path, before = f"{tmp_path}/{name}-{month}", set(_shuffled(spark))
+        write_wide_table(rows, path)
+        assert len(glob.glob(f"{path}/{VERSION}=*/bb_usage_year_month={month}/*.parquet")) == files
+        left = lambda: sum(n for f, n in _shuffled(spark).items() if f not in before)
+        until = time.time() + 20
+        while left() > 50_000 and time.time() < until:  # executors remove them in the background
+            time.sleep(0.2)
+        assert left() <= 50_000  # the texts alone have 512,000
+        assert ids(path) == sorted(((i, f"2024-0{i % 4}" if i % 4 else None) for i in range(4_000)), key=lambda x: x[0])
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_an_empty_table_has_no_months_open(spark, tmp_path):
+    rows = spark.range(0).selectExpr("id", "cast(NULL AS string) AS bb_usage_year_month")
+    assert sink.months_open(rows) is None
+    write_wide_table(rows, f"{tmp_path}/none")
+    assert read_wide_table(spark, f"{tmp_path}/none").count() == 0
+
+
+@pytest.mark.parametrize("query", ["_refreshed", "_mixed_files", "_published_counts", "_observed"])
+def test_queries_that_write_the_table_do_not_shuffle_large_pieces(spark, monkeypatch, query):
+    m = CostModel(lineitem_bill(spark, SF_SMALL).where("pmod(xxhash64(identity_line_item_id), 4) = 0").localCheckpoint())
+    hints, hint = [], type(m.bill).hint
+    monkeypatch.setattr(type(m.bill), "hint", lambda df, name, *more: (hints.append(name), hint(df, name, *more))[1])
+    monkeypatch.setattr(sink, "FILE_LINES", 1, raising=False)
+    got = getattr(registry, query)(m)
+    assert "rebalance" not in hints
+    if query in ("_refreshed", "_mixed_files"):
+        cols = ["bb_id", "bb_cost", "bb_emr_cluster_name", "bb_usage_year_month"]
+        rows = lambda df: Counter((r[0], None if r[1] is None else float(r[1]), *r[2:]) for r in df.select(cols).collect())
+        assert rows(got) == rows(m.wide)
+    elif query == "_observed":
+        seen = got.first()
+        assert (float(seen.bb_bwt_cost_total), float(seen.cur_unblended_total)) == tuple(map(float, m.qc_total().first()[:2]))
+        assert (float(seen.sp_fees), float(seen.sp_cost)) == tuple(map(float, m.qc_savings_plans().first()[:2]))
+    else:
+        counts = {r.view.rsplit(".", 1)[-1]: r.line_count for r in got.collect()}
+        assert (counts["bb_bwt_costs"], counts["bb_dwd_costs"]) == (m.wide.count(), m.base.count())
