@@ -70,8 +70,8 @@ def main(argv: list[str] | None = None) -> None:
         if a.months:
             refresh_months(spark, a.cur, a.out, a.months, table=a.table, **opts)
         else:
-            observed = Observed()
-            write_wide_table(CostModel(read_cur(spark, a.cur), **opts).observed_wide(observed), a.out, table=a.table)
+            observed, model = Observed(), CostModel(read_cur(spark, a.cur), **opts)
+            write_wide_table(model.observed_wide(observed), a.out, table=a.table, counted=model.unnamed_wide)
             print("== total: bb_bwt_cost_total, cur_unblended_total, diff", *observed.totals(), sep=" | ")
             print("== savings plans: a_total, b_total, diff", *observed.savings_plans(), sep=" | ")
     elif a.cmd == "refresh":
